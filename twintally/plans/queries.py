@@ -146,3 +146,140 @@ def q_late_flag(spark, sf_dir):
     p = _fx(spark, sf_dir).partner_events()
     return p.select("operator_code", "partner_txn_id", "business_date", "file_arrival_date",
                     money.late_flag(F.col("file_arrival_date"), F.col("business_date")).alias("is_late_arrival"))
+
+
+# ---------------------------------------------------------------------------
+# Marts and data-quality checks
+# ---------------------------------------------------------------------------
+
+from ..operators import marts as M  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+
+
+def _stg(spark, sf_dir):
+    f = _fx(spark, sf_dir)
+    fact = fact_breaks(f.partner_events(), f.platform_events(), f.churn(), run_ts=O.RUN_TS)
+    return (M.stg_partner_events(f.partner_events()), M.stg_platform_events(f.platform_events()),
+            M.stg_reconciliation_break(fact))
+
+
+def _daily(spark, sf_dir):
+    p, i, fact = _stg(spark, sf_dir)
+    return M.mart_daily(p, i, fact, built_at=O.RUN_TS)
+
+
+def _monthly(spark, sf_dir):
+    return M.mart_monthly_close(_stg(spark, sf_dir)[2], built_at=O.RUN_TS)
+
+
+@register("stg_partner_events", O.marts("SELECT * FROM o_stgp"))
+def q_stg_partner_events(spark, sf_dir):
+    return _stg(spark, sf_dir)[0]
+
+
+@register("stg_platform_events", O.marts("SELECT * FROM o_stgi"))
+def q_stg_platform_events(spark, sf_dir):
+    return _stg(spark, sf_dir)[1]
+
+
+@register("stg_reconciliation_break", O.engine(f"SELECT {O.FACT_COLS} FROM o_fact"))
+def q_stg_reconciliation_break(spark, sf_dir):
+    return _stg(spark, sf_dir)[2]
+
+
+@register("partner_population", O.marts(
+    "SELECT business_date, operator_code, partner_txn_count, CAST(partner_amount_raw AS DECIMAL(18,2)) "
+    "AS partner_amount_raw FROM o_pp"))
+def q_partner_population(spark, sf_dir):
+    return M.partner_population(_stg(spark, sf_dir)[0])
+
+
+@register("platform_population", O.marts(
+    "SELECT business_date, operator_code, internal_txn_count, CAST(internal_amount_raw AS DECIMAL(18,2)) "
+    "AS internal_amount_raw FROM o_ip"))
+def q_platform_population(spark, sf_dir):
+    return M.platform_population(_stg(spark, sf_dir)[1])
+
+
+@register("source_population", O.marts("SELECT * FROM o_pop"))
+def q_source_population(spark, sf_dir):
+    p, i, _ = _stg(spark, sf_dir)
+    return M.source_population(p, i)
+
+
+@register("break_counts_by_category", O.marts("SELECT * FROM o_cat"))
+def q_break_counts_by_category(spark, sf_dir):
+    return M.break_counts_by_category(_stg(spark, sf_dir)[2])
+
+
+@register("mart_daily", O.marts("SELECT * FROM o_daily"))
+def q_mart_daily(spark, sf_dir):
+    return _daily(spark, sf_dir)
+
+
+@register("mart_monthly_close", O.marts("SELECT * FROM o_monthly"))
+def q_mart_monthly_close(spark, sf_dir):
+    return _monthly(spark, sf_dir)
+
+
+@register("month_bucket", O.fx(
+    "SELECT operator_code, partner_txn_id, business_date, CAST(date_trunc('month', business_date) AS DATE) "
+    "AS close_month FROM fx_partner"))
+def q_month_bucket(spark, sf_dir):
+    from ..functions.timestamps import month_bucket
+    p = _fx(spark, sf_dir).partner_events()
+    return p.select("operator_code", "partner_txn_id", "business_date",
+                    month_bucket(F.col("business_date")).alias("close_month"))
+
+
+@register("drilldown_breaks", O.marts(
+    f"SELECT f.*, d.break_count, d.match_rate FROM o_fact f JOIN o_daily d "
+    f"ON f.business_date = d.business_date AND f.operator_code = d.operator_code "
+    f"WHERE f.recon_status NOT IN ('MATCHED', 'LATE_ARRIVAL')"))
+def q_drilldown_breaks(spark, sf_dir):
+    p, i, fact = _stg(spark, sf_dir)
+    return M.drilldown_breaks(M.mart_daily(p, i, fact, built_at=O.RUN_TS), fact)
+
+
+@register("dq_not_null", O.marts(
+    O.null_count_sql("reconciliation_daily", "o_daily", Q.DAILY_NOT_NULL) + " UNION ALL " +
+    O.null_count_sql("revenue_monthly_close", "o_monthly", Q.MONTHLY_NOT_NULL)))
+def q_dq_not_null(spark, sf_dir):
+    return Q.dq_not_null(_daily(spark, sf_dir), _monthly(spark, sf_dir))
+
+
+@register("dq_unique_combination", O.marts(
+    "SELECT business_date, operator_code, count(*) AS n_rows FROM o_daily "
+    "GROUP BY business_date, operator_code HAVING count(*) > 1"))
+def q_dq_unique_combination(spark, sf_dir):
+    return Q.dq_unique_combination(_daily(spark, sf_dir))
+
+
+@register("dq_matched_balanced", O.engine(
+    "SELECT business_date, operator_code, partner_txn_id, partner_amount, internal_amount, amount_variance "
+    "FROM o_fact WHERE recon_status = 'MATCHED' AND abs(amount_variance) > 0.01"))
+def q_dq_matched_balanced(spark, sf_dir):
+    return Q.dq_matched_balanced(_stg(spark, sf_dir)[2])
+
+
+@register("dq_no_double_counting", O.engine(
+    "SELECT operator_code, partner_txn_id, count(*) AS occurrences FROM o_fact "
+    "WHERE partner_txn_id IS NOT NULL AND partner_amount > 0 "
+    "GROUP BY operator_code, partner_txn_id HAVING count(*) > 1"))
+def q_dq_no_double_counting(spark, sf_dir):
+    return Q.dq_no_double_counting(_stg(spark, sf_dir)[2])
+
+
+@register("dq_unknown_txn_type", O.fx(
+    "SELECT business_date, operator_code, count(*) AS unknown_count FROM fx_partner "
+    "WHERE txn_type = 'unknown' GROUP BY business_date, operator_code"))
+def q_dq_unknown_txn_type(spark, sf_dir):
+    return Q.dq_unknown_txn_type(_fx(spark, sf_dir).partner_events())
+
+
+@register("dq_platform_reused", O.engine(
+    "SELECT operator_code, platform_event_id, count(*) AS partner_rows, "
+    "CAST(sum(internal_amount) AS DECIMAL(18,2)) AS internal_amount_counted FROM o_fact "
+    "WHERE match_confidence = 'fallback' GROUP BY operator_code, platform_event_id HAVING count(*) > 1"))
+def q_dq_platform_reused(spark, sf_dir):
+    return Q.dq_platform_reused(_fact(spark, sf_dir))
