@@ -283,3 +283,446 @@ def q_dq_unknown_txn_type(spark, sf_dir):
     "WHERE match_confidence = 'fallback' GROUP BY operator_code, platform_event_id HAVING count(*) > 1"))
 def q_dq_platform_reused(spark, sf_dir):
     return Q.dq_platform_reused(_fact(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Raw landing files -> bronze -> silver partner stream
+# ---------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from ..config import FEEDS  # noqa: E402
+from ..operators import normalize as N  # noqa: E402
+from ..operators import platform as PL  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import fixture_files, landing  # noqa: E402
+
+_LANDING: dict = {}
+# The arrival / business date window used by the date-set operators.
+WEEK = ("2024-01-03", "2024-01-09")
+
+
+def landing_root(spark: SparkSession, sf_dir: str) -> dict:
+    """Landing files rendered from the fixture, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDING:
+        root = scratch_path(spark, "landing")
+        _LANDING[key] = fixture_files.write_landing(_fx(spark, sf_dir), root)
+    return _LANDING[key]
+
+
+def _bronze(spark, sf_dir, dates=None):
+    return N.bronze_operator_feeds(spark, landing_root(spark, sf_dir)["operator_feeds"], dates=dates,
+                                   ingested_at=O.RUN_TS)
+
+
+def _normalized(spark, sf_dir):
+    return N.normalize_partner(_bronze(spark, sf_dir))
+
+
+def _week_dates():
+    lo, hi = (_dt.date.fromisoformat(d) for d in WEEK)
+    return [lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
+
+
+@register("scan_by_arrival_token", O.raw(
+    f"SELECT operator_code, r_id AS partner_txn_id, file_arrival_date FROM o_raw "
+    f"WHERE file_arrival_date BETWEEN DATE '{WEEK[0]}' AND DATE '{WEEK[1]}'"))
+def q_scan_by_arrival_token(spark, sf_dir):
+    root = landing_root(spark, sf_dir)["operator_feeds"]
+    frames = []
+    for feed in FEEDS.values():
+        df = landing.scan_feed(spark, root, feed, dates=_week_dates())
+        if df is not None:
+            frames.append(df.select(F.lit(feed.operator_code).alias("operator_code"),
+                                    F.col(feed.raw_for("partner_txn_id")).alias("partner_txn_id"),
+                                    "file_arrival_date"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("scan_csv_feed", O.raw_feed_select("telco_b"))
+def q_scan_csv_feed(spark, sf_dir):
+    return landing.scan_csv_feed(spark, landing_root(spark, sf_dir)["operator_feeds"], FEEDS["telco_b"])
+
+
+@register("scan_json_feed", O.raw_feed_select("telco_c"))
+def q_scan_json_feed(spark, sf_dir):
+    return landing.scan_json_feed(spark, landing_root(spark, sf_dir)["operator_feeds"], FEEDS["telco_c"])
+
+
+@register("bronze_natural_key", O.raw(
+    "SELECT operator_code, r_id AS partner_txn_id, file_arrival_date FROM o_raw"))
+def q_bronze_natural_key(spark, sf_dir):
+    root = landing_root(spark, sf_dir)["operator_feeds"]
+    frames = [N.bronze_natural_key(landing.scan_feed(spark, root, f), f)
+              .select(F.lit(op).alias("operator_code"), "partner_txn_id", "file_arrival_date")
+              for op, f in FEEDS.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("stamp_ingest_metadata", O.raw(
+    "SELECT operator_code, r_id AS partner_txn_id, file_arrival_date, "
+    "CASE WHEN operator_code IN ('telco_c', 'wallet_x') THEN 'json' ELSE 'csv' END AS _source_format, "
+    f"TIMESTAMP '{O.RUN_TS}' AS _ingested_at FROM o_raw"))
+def q_stamp_ingest_metadata(spark, sf_dir):
+    root = landing_root(spark, sf_dir)["operator_feeds"]
+    frames = [N.stamp_ingest_metadata(landing.scan_feed(spark, root, f), f, ingested_at=O.RUN_TS)
+              .select(*N.BRONZE_META) for f in FEEDS.values()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("dedupe_batch", O.raw(
+    "SELECT DISTINCT operator_code, r_id AS partner_txn_id, file_arrival_date, r_amount, r_time FROM o_raw"))
+def q_dedupe_batch(spark, sf_dir):
+    n = N.normalize_columns(_bronze(spark, sf_dir))
+    return n.select("operator_code", "partner_txn_id", "file_arrival_date",
+                    F.col("amount").alias("r_amount"), F.col("txn_ts_local").alias("r_time"))
+
+
+@register("normalize_columns", O.raw(
+    "SELECT DISTINCT operator_code, r_id AS partner_txn_id, r_account AS msisdn_or_account, r_type AS txn_type, "
+    "r_plan AS plan_code, r_amount AS amount, r_currency AS currency, r_time AS txn_ts_local, "
+    "file_arrival_date FROM o_raw"))
+def q_normalize_columns(spark, sf_dir):
+    return N.normalize_columns(_bronze(spark, sf_dir))
+
+
+@register("map_txn_type", O.raw(
+    "SELECT DISTINCT operator_code, r_id AS partner_txn_id, file_arrival_date, r_type AS raw_type, "
+    "canon_type AS txn_type FROM o_raw"))
+def q_map_txn_type(spark, sf_dir):
+    n = N.normalize_columns(_bronze(spark, sf_dir))
+    return n.select("operator_code", "partner_txn_id", "file_arrival_date", F.col("txn_type").alias("raw_type"),
+                    N.map_txn_type().alias("txn_type"))
+
+
+@register("normalize_currency", O.raw(
+    "SELECT DISTINCT operator_code, r_id AS partner_txn_id, file_arrival_date, r_currency AS raw_currency, "
+    "currency FROM o_raw"))
+def q_normalize_currency(spark, sf_dir):
+    n = N.normalize_columns(_bronze(spark, sf_dir))
+    return n.select("operator_code", "partner_txn_id", "file_arrival_date", F.col("currency").alias("raw_currency"),
+                    N.normalize_currency().alias("currency"))
+
+
+def _time_query(ops, column: str):
+    def q(spark, sf_dir):
+        n = _normalized(spark, sf_dir).where(F.col("operator_code").isin(*ops))
+        return n.select("operator_code", "partner_txn_id", "file_arrival_date",
+                        F.col("_time_text").alias("raw_time"), column)
+    return q
+
+
+def _time_sql(ops, expr, name):
+    inlist = ", ".join(f"'{o}'" for o in ops)
+    return O.raw(f"SELECT DISTINCT operator_code, r_id AS partner_txn_id, file_arrival_date, r_time AS raw_time, "
+                 f"CASE WHEN bad_ts THEN NULL ELSE {expr} END AS {name} FROM o_raw "
+                 f"WHERE operator_code IN ({inlist})")
+
+
+NAIVE_OPS = ("telco_a", "telco_b", "wallet_y")
+INSTANT_OPS = ("telco_c", "telco_d", "wallet_x")
+
+register("parse_ts_epoch_millis", _time_sql(("telco_d",), "txn_ts_utc", "txn_ts_utc"))(
+    _time_query(("telco_d",), "txn_ts_utc"))
+register("parse_ts_offset", _time_sql(("telco_c",), "txn_ts_utc", "txn_ts_utc"))(
+    _time_query(("telco_c",), "txn_ts_utc"))
+register("parse_ts_zulu", _time_sql(("wallet_x",), "txn_ts_utc", "txn_ts_utc"))(
+    _time_query(("wallet_x",), "txn_ts_utc"))
+register("parse_ts_naive", _time_sql(NAIVE_OPS, "txn_ts_local", "txn_ts_local"))(
+    _time_query(NAIVE_OPS, "txn_ts_local"))
+register("tz_to_utc", _time_sql(NAIVE_OPS, "txn_ts_utc", "txn_ts_utc"))(
+    _time_query(NAIVE_OPS, "txn_ts_utc"))
+register("tz_from_utc", _time_sql(INSTANT_OPS, "txn_ts_local", "txn_ts_local"))(
+    _time_query(INSTANT_OPS, "txn_ts_local"))
+register("derive_business_date", _time_sql(tuple(FEEDS), "business_date", "business_date"))(
+    _time_query(tuple(FEEDS), "business_date"))
+
+
+@register("cast_amount", O.raw(
+    "SELECT DISTINCT operator_code, r_id AS partner_txn_id, file_arrival_date, r_amount AS raw_amount, "
+    "CASE WHEN bad_amt THEN NULL ELSE amount END AS amount FROM o_raw"))
+def q_cast_amount(spark, sf_dir):
+    return _normalized(spark, sf_dir).select("operator_code", "partner_txn_id", "file_arrival_date",
+                                             F.col("_amount_text").alias("raw_amount"), "amount")
+
+
+@register("dq_quarantine", O.raw(
+    "SELECT DISTINCT operator_code, r_id AS partner_txn_id, file_arrival_date, r_time AS raw_time, "
+    "r_amount AS raw_amount, CASE WHEN bad_ts THEN 'unparsable_time' ELSE 'unparsable_amount' END AS reason "
+    "FROM o_raw WHERE bad_ts OR bad_amt"))
+def q_dq_quarantine(spark, sf_dir):
+    return N.quarantined(_normalized(spark, sf_dir))
+
+
+@register("silver_partner_events", O.fx("SELECT * FROM fx_partner"))
+def q_silver_partner_events(spark, sf_dir):
+    return N.silver_partner_events(_bronze(spark, sf_dir))
+
+
+@register("filter_business_dates", O.fx(
+    f"SELECT * FROM fx_partner WHERE business_date BETWEEN DATE '{WEEK[0]}' AND DATE '{WEEK[1]}'"))
+def q_filter_business_dates(spark, sf_dir):
+    return N.silver_partner_events(_bronze(spark, sf_dir), dates=WEEK)
+
+
+@register("latest_arrival", O.fx("SELECT * FROM fx_partner"))
+def q_latest_arrival(spark, sf_dir):
+    b = _fx(spark, sf_dir).partner_bronze().where(~F.col("bad_ts") & ~F.col("bad_amt"))
+    return N.latest_arrival(b.select(*N.SILVER_PARTNER_COLUMNS))
+
+
+@register("normalize_partner_rows", O.raw(
+    "SELECT DISTINCT operator_code, r_id AS partner_txn_id, file_arrival_date, "
+    "canon_type AS txn_type FROM o_raw WHERE NOT (bad_ts OR bad_amt)"))
+def q_normalize_partner_rows(spark, sf_dir):
+    n = _normalized(spark, sf_dir).where(F.col("_quarantine_reason").isNull())
+    return n.select("operator_code", "partner_txn_id", "file_arrival_date", "txn_type")
+
+
+# ---------------------------------------------------------------------------
+# Internal change files -> bronze images -> silver platform stream
+# ---------------------------------------------------------------------------
+
+from ..config import CDC_TABLES  # noqa: E402
+
+
+def _cdc(spark, sf_dir, table, dates=None):
+    root = landing_root(spark, sf_dir)["internal"]
+    return PL.read_cdc(spark, root, table, dates=dates, ingested_at=O.RUN_TS)
+
+
+def _image(spark, sf_dir, table):
+    return PL.latest_image(_cdc(spark, sf_dir, table), CDC_TABLES[table].keys)
+
+
+@register("scan_json_cdc", O.fx(
+    "SELECT platform_event_id AS sub_id, user_id, operator_code, plan_id, partner_txn_id, status, "
+    "strftime(make_timestamp(CAST(utc_s AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') AS created_ts, "
+    "CAST(amount AS DOUBLE) AS amount FROM fx_platform_all WHERE event_type = 'subscription_success' "
+    "UNION ALL SELECT platform_event_id, user_id, operator_code, plan_id, partner_txn_id, 'pending', "
+    "strftime(make_timestamp(CAST(utc_s AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S'), CAST(amount AS DOUBLE) "
+    "FROM fx_platform_all WHERE event_type = 'subscription_success' AND k % 5 = 0"))
+def q_scan_json_cdc(spark, sf_dir):
+    return _cdc(spark, sf_dir, "sub_initial").drop("file_arrival_date", "_ingested_at")
+
+
+@register("platform_sub_initial", O.fx("SELECT * EXCLUDE (business_date) FROM fx_platform "
+                                       "WHERE event_type = 'subscription_success'"))
+def q_platform_sub_initial(spark, sf_dir):
+    return PL.platform_sub_initial(_image(spark, sf_dir, "sub_initial"))
+
+
+@register("platform_recursion_success", O.fx("SELECT * EXCLUDE (business_date) FROM fx_platform "
+                                             "WHERE event_type = 'recursion_success'"))
+def q_platform_recursion_success(spark, sf_dir):
+    return PL.platform_recursion_success(_image(spark, sf_dir, "sub_recursion_success"))
+
+
+@register("platform_recursion_failure", O.fx("SELECT * EXCLUDE (business_date) FROM fx_platform "
+                                             "WHERE event_type = 'recursion_failure'"))
+def q_platform_recursion_failure(spark, sf_dir):
+    return PL.platform_recursion_failure(_image(spark, sf_dir, "sub_recursion_failure"))
+
+
+@register("silver_platform_events", O.fx("SELECT * FROM fx_platform"))
+def q_silver_platform_events(spark, sf_dir):
+    return PL.silver_platform_events(_image(spark, sf_dir, "sub_initial"),
+                                     _image(spark, sf_dir, "sub_recursion_success"),
+                                     _image(spark, sf_dir, "sub_recursion_failure"))
+
+
+@register("churn_events", O.fx("SELECT * FROM fx_churn"))
+def q_churn_events(spark, sf_dir):
+    return PL.churn_events(_image(spark, sf_dir, "user_churn_events").drop("file_arrival_date", "_ingested_at"))
+
+
+# ---------------------------------------------------------------------------
+# Sinks, table sources and the restatement pipeline
+# ---------------------------------------------------------------------------
+
+from ..plans import pipeline as P  # noqa: E402
+from ..sinks import partitions as K  # noqa: E402
+from ..sources import tables as T  # noqa: E402
+
+_LAKE: dict = {}
+# The arrival dates re-delivered in the second (restatement) run.
+RERUN = ("2024-01-20", "2024-01-31")
+
+
+def _dates_between(lo: str, hi: str):
+    a, b = _dt.date.fromisoformat(lo), _dt.date.fromisoformat(hi)
+    return [a + _dt.timedelta(days=i) for i in range((b - a).days + 1)]
+
+
+def lake_for(spark: SparkSession, sf_dir: str) -> P.Lake:
+    """A lakehouse built from the landing files: every arrival date once,
+    then a re-run of the later arrival dates (must not change any table)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKE:
+        landing_ = landing_root(spark, sf_dir)
+        lake = P.Lake(scratch_path(spark, "lake"))
+        P.restate(spark, landing_, lake, None, run_ts=O.RUN_TS)
+        P.restate(spark, landing_, lake, _dates_between(*RERUN), run_ts=O.RUN_TS)
+        _LAKE[key] = lake
+    return _LAKE[key]
+
+
+@register("restate_dates", O.engine("SELECT * FROM o_fact"))
+def q_restate_dates(spark, sf_dir):
+    return K.read_table(spark, lake_for(spark, sf_dir).fact).select(*overlays.FACT_COLUMNS)
+
+
+@register("mart_incremental_daily", O.marts("SELECT * FROM o_daily"))
+def q_mart_incremental_daily(spark, sf_dir):
+    d = K.read_table(spark, lake_for(spark, sf_dir).daily)
+    return d.select(*[c for c in d.columns if c != "business_date"], "business_date")
+
+
+@register("mart_full_rebuild", O.marts("SELECT * FROM o_monthly"))
+def q_mart_full_rebuild(spark, sf_dir):
+    return K.read_table(spark, lake_for(spark, sf_dir).monthly)
+
+
+@register("ingest_row_counts", O.marts(
+    "SELECT 'bronze.operator_feeds' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM fx_partner_bronze "
+    "UNION ALL SELECT 'silver.partner_events', count(*) FROM fx_partner "
+    "UNION ALL SELECT 'silver.platform_events', count(*) FROM fx_platform "
+    "UNION ALL SELECT 'gold.fact_reconciliation_break', count(*) FROM o_fact"))
+def q_ingest_row_counts(spark, sf_dir):
+    """Rows written per layer, observed inside the write jobs (no re-count)."""
+    landing_ = landing_root(spark, sf_dir)
+    lake = P.Lake(scratch_path(spark, "lake-counts"))
+    log = P.restate(spark, landing_, lake, None, run_ts=O.RUN_TS)
+    rows = [("bronze.operator_feeds", log["bronze_feeds"]["rows"]),
+            ("silver.partner_events", log["silver_partner"]["rows"]),
+            ("silver.platform_events", log["silver_platform"]["rows"]),
+            ("gold.fact_reconciliation_break", log["gold"]["rows"])]
+    return spark.createDataFrame(rows, "table_name string, n_rows bigint")
+
+
+@register("scan_partition_pruned", O.raw(
+    "SELECT DISTINCT operator_code, r_id AS partner_txn_id, file_arrival_date, r_amount AS value "
+    "FROM o_raw WHERE operator_code = 'telco_a'"))
+def q_scan_partition_pruned(spark, sf_dir):
+    b = T.scan_partition_pruned(spark, lake_for(spark, sf_dir).bronze_feeds, "operator_code", ["telco_a"])
+    return b.select("operator_code", "partner_txn_id", "file_arrival_date", "value")
+
+
+@register("read_optional_table", O.fx("SELECT * FROM fx_partner"))
+def q_read_optional_table(spark, sf_dir):
+    from ..operators.normalize import SILVER_PARTNER_COLUMNS
+    from pyspark.sql.types import StructType
+    lake = lake_for(spark, sf_dir)
+    contract = _fx(spark, sf_dir).partner_events().schema
+    present = T.read_optional_table(spark, lake.silver_partner, contract)
+    absent = T.read_optional_table(spark, lake.path("silver", "no_such_table"), contract)
+    assert isinstance(contract, StructType)
+    return present.unionByName(absent).select(*SILVER_PARTNER_COLUMNS)
+
+
+def _registered(spark, sf_dir, db: str) -> str:
+    lake = lake_for(spark, sf_dir)
+    K.register_external_table(spark, db, "partner_events", lake.silver_partner)
+    return f"`{db}`.`partner_events`"
+
+
+@register("register_external_tables", O.fx("SELECT * FROM fx_partner"))
+def q_register_external_tables(spark, sf_dir):
+    from ..operators.normalize import SILVER_PARTNER_COLUMNS
+    return spark.table(_registered(spark, sf_dir, "silver_reg")).select(*SILVER_PARTNER_COLUMNS)
+
+
+@register("read_catalog_table", O.fx(
+    "SELECT business_date, operator_code, count(*) AS n_rows FROM fx_partner GROUP BY 1, 2"))
+def q_read_catalog_table(spark, sf_dir):
+    t = T.read_catalog_table(spark, _registered(spark, sf_dir, "silver_cat"))
+    return t.groupBy("business_date", "operator_code").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _silver_copy(spark, sf_dir, name, partition_by=("business_date",)):
+    path = scratch_path(spark, name)
+    K.full_overwrite(_fx(spark, sf_dir).partner_events(), path, list(partition_by))
+    return path
+
+
+@register("sink_replace_partition", O.fx(
+    f"SELECT * FROM fx_partner WHERE NOT (business_date BETWEEN DATE '{WEEK[0]}' AND DATE '{WEEK[1]}') "
+    f"OR (txn_type <> 'recursion_success' AND business_date <> DATE '{WEEK[1]}')"))
+def q_sink_replace_partition(spark, sf_dir):
+    """Replace a week of dates; the last day gets no rows and must vanish."""
+    from ..operators.normalize import SILVER_PARTNER_COLUMNS
+    path = _silver_copy(spark, sf_dir, "replace")
+    week = _week_dates()
+    new = (_fx(spark, sf_dir).partner_events()
+           .where(F.col("business_date").between(F.lit(WEEK[0]).cast("date"), F.lit(WEEK[1]).cast("date")))
+           .where((F.col("txn_type") != "recursion_success") & (F.col("business_date") != F.lit(WEEK[1]).cast("date"))))
+    K.replace_partitions(new, path, ["business_date"], [(d,) for d in week])
+    return K.read_table(spark, path).select(*SILVER_PARTNER_COLUMNS)
+
+
+@register("sink_full_overwrite", O.fx("SELECT * FROM fx_partner"))
+def q_sink_full_overwrite(spark, sf_dir):
+    """A table re-written with another partition layout (reset, not merge)."""
+    from ..operators.normalize import SILVER_PARTNER_COLUMNS
+    path = _silver_copy(spark, sf_dir, "overwrite")
+    K.replace_partitions(_fx(spark, sf_dir).partner_events(), path, ["operator_code"],
+                         [(op,) for op in FEEDS])
+    return K.read_table(spark, path).select(*SILVER_PARTNER_COLUMNS)
+
+
+SUB_IMAGE_SQL = (
+    "SELECT platform_event_id AS sub_id, user_id, operator_code, plan_id, partner_txn_id, status, "
+    "strftime(make_timestamp(CAST(utc_s AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') AS created_ts, "
+    "CAST(amount AS DOUBLE) AS amount, "
+    "CAST(DATE '1970-01-01' + CAST(utc_s // 86400 + CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS DATE) "
+    "AS file_arrival_date FROM fx_platform_all WHERE event_type = 'subscription_success'")
+
+
+@register("sink_merge_upsert", O.fx(SUB_IMAGE_SQL))
+def q_sink_merge_upsert(spark, sf_dir):
+    """Change files merged in two passes (early arrivals, then the rest)."""
+    changes = _cdc(spark, sf_dir, "sub_initial").drop("_ingested_at")
+    path = scratch_path(spark, "merge")
+    cut = F.lit(WEEK[1]).cast("date")
+    K.merge_upsert(changes.where(F.col("file_arrival_date") <= cut), path, CDC_TABLES["sub_initial"].keys,
+                   ["operator_code"])
+    K.merge_upsert(changes.where(F.col("file_arrival_date") > cut), path, CDC_TABLES["sub_initial"].keys,
+                   ["operator_code"])
+    return K.read_table(spark, path).select(*changes.columns)
+
+
+@register("sink_schema_evolution", O.fx(
+    "SELECT sub_id, user_id, operator_code, plan_id, partner_txn_id, "
+    "CASE WHEN operator_code = 'telco_b' THEN upper(status) ELSE status END AS status, created_ts, amount, "
+    "file_arrival_date, CASE WHEN operator_code = 'telco_b' THEN 'app' END AS channel "
+    f"FROM ({SUB_IMAGE_SQL}) z"))
+def q_sink_schema_evolution(spark, sf_dir):
+    """A narrower source with a new column: matched rows keep the columns
+    the source lacks, the new column widens the table."""
+    changes = _cdc(spark, sf_dir, "sub_initial").drop("_ingested_at")
+    path = scratch_path(spark, "evolve")
+    keys = CDC_TABLES["sub_initial"].keys
+    K.merge_upsert(changes, path, keys, ["operator_code"])
+    image = K.read_table(spark, path)
+    upd = (image.where(F.col("operator_code") == "telco_b")
+           .select("sub_id", "operator_code", F.upper("status").alias("status"), "file_arrival_date",
+                   F.lit("app").alias("channel")))
+    K.merge_upsert(upd, path, keys, ["operator_code"])
+    return K.read_table(spark, path).select(*changes.columns, "channel")
+
+
+@register("sink_parquet_snapshot", O.engine("SELECT * FROM o_fact"))
+def q_sink_parquet_snapshot(spark, sf_dir):
+    path = scratch_path(spark, "snapshot")
+    K.export_snapshot(K.read_table(spark, lake_for(spark, sf_dir).fact), path)
+    return spark.read.parquet(path).select(*overlays.FACT_COLUMNS)

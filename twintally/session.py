@@ -22,6 +22,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.mergeSchema": "false",
+    # plan text is for logs only; keep it bounded for deep plans
+    "spark.sql.maxPlanStringLength": "1000000",
 }
 
 
