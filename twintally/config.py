@@ -194,6 +194,9 @@ class ReconConfig:
     # Rank the latest arrival before restricting to business dates, so a
     # correction that moves a row to another date removes the stale copy.
     rank_before_date_filter: bool = False
+    # Cache the tier-1 join that every later step reads (memory, spilling to
+    # disk). Off: each consumer re-reads and re-shuffles both inputs.
+    cache_tier1: bool = True
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
