@@ -726,3 +726,21 @@ def q_sink_parquet_snapshot(spark, sf_dir):
     path = scratch_path(spark, "snapshot")
     K.export_snapshot(K.read_table(spark, lake_for(spark, sf_dir).fact), path)
     return spark.read.parquet(path).select(*overlays.FACT_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# Streaming: restate on file arrival
+# ---------------------------------------------------------------------------
+
+@register("stream_restate_on_arrival", O.engine("SELECT * FROM o_fact"))
+def q_stream_restate_on_arrival(spark, sf_dir):
+    """Landing files discovered by a checkpointed file stream; a second run
+    finds nothing new and leaves the tables as they are."""
+    from ..streaming.arrivals import restate_on_arrival
+    landing_ = landing_root(spark, sf_dir)
+    lake = P.Lake(scratch_path(spark, "lake-stream"))
+    ckpt = scratch_path(spark, "stream-ckpt")
+    restate_on_arrival(spark, landing_, lake, ckpt, run_ts=O.RUN_TS)
+    again = restate_on_arrival(spark, landing_, lake, ckpt, run_ts=O.RUN_TS)
+    assert again == [], "files already seen were processed again"
+    return K.read_table(spark, lake.fact).select(*overlays.FACT_COLUMNS)
