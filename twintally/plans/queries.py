@@ -744,3 +744,10 @@ def q_stream_restate_on_arrival(spark, sf_dir):
     again = restate_on_arrival(spark, landing_, lake, ckpt, run_ts=O.RUN_TS)
     assert again == [], "files already seen were processed again"
     return K.read_table(spark, lake.fact).select(*overlays.FACT_COLUMNS)
+
+
+@register("match_fallback_one_to_one", O.engine_one_to_one(f"SELECT {O.PAIR_COLS} FROM o_zip"))
+def q_match_fallback_one_to_one(spark, sf_dir):
+    f = _fx(spark, sf_dir)
+    from ..operators.reconcile import matcher
+    return matcher(f.partner_events(), f.platform_events(), ReconConfig(pairing="one_to_one")).fallback
