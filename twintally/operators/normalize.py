@@ -165,6 +165,16 @@ def parse_times(feeds: dict = FEEDS, raw: Column | None = None) -> tuple[Column,
     return _by_operator(utc), _by_operator(local)
 
 
+def business_date_of_raw(bronze_columns, feeds: dict = FEEDS) -> Column:
+    """Business date straight from a bronze row's raw time text (NULL when
+    unparsable); used to index arrival partitions by the dates they hold."""
+    present = set(bronze_columns)
+    raw_time = _by_operator({op: F.col(f.raw_for("txn_ts_local")).cast("string") for op, f in feeds.items()
+                             if f.raw_for("txn_ts_local") in present}, F.lit(None).cast("string"))
+    utc, _ = parse_times(feeds, raw=raw_time)
+    return to_business_date(utc)
+
+
 def normalize_partner(bronze: DataFrame, feeds: dict = FEEDS) -> DataFrame:
     """Bronze -> canonical rows with quarantine reasons (not yet filtered)."""
     t = normalize_columns(bronze, feeds)

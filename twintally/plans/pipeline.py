@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CDC_TABLES, DEFAULT_RECON, FEEDS, OPERATORS, ReconConfig
@@ -43,6 +44,11 @@ class Lake:
     def bronze_cdc(self, table: str):
         return self.path("bronze", table)
 
+    @property
+    def arrival_index(self):
+        """(operator_code, file_arrival_date) -> business dates held."""
+        return self.path("bronze", "operator_feeds_arrival_index")
+
     @property
     def silver_partner(self):
         return self.path("silver", "partner_events")
@@ -95,17 +101,46 @@ def landed_arrival_dates(spark: SparkSession, landing: dict) -> list:
 # Bronze
 # ---------------------------------------------------------------------------
 
+INDEX_SCHEMA = "operator_code string, file_arrival_date date, business_date date, ingest_seq bigint"
+
+
+def read_arrival_index(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The latest index entry set per (operator, arrival date): the log is
+    append-only, a re-ingested arrival partition supersedes older entries."""
+    log = read_table(spark, lake.arrival_index)
+    latest = log.groupBy("operator_code", "file_arrival_date").agg(F.max("ingest_seq").alias("ingest_seq"))
+    return log.join(latest, ["operator_code", "file_arrival_date", "ingest_seq"], "left_semi")
+
+
 def ingest_operator_feeds(spark: SparkSession, feeds_root: str, lake: Lake, arrival_dates,
                           ingested_at=None) -> dict:
-    """Replace the (operator, arrival date) partitions that received files."""
+    """Replace the (operator, arrival date) partitions that received files.
+
+    The business dates each arrival partition holds are observed inside the
+    same write job (no second pass over the data) and kept in a small index
+    table, so a later restatement of a date reads only the arrival
+    partitions that contain it.
+    """
     declared = []
     for op, feed in FEEDS.items():
         for d in _batch_dates(landing_paths(spark, f"{feeds_root}/{op}", op, arrival_dates), op):
             declared.append((op, d))
     if not declared:
-        return {"rows": 0}
+        return {"rows": 0, "business_dates": []}
     bronze = N.bronze_operator_feeds(spark, feeds_root, dates=arrival_dates, ingested_at=ingested_at)
-    return replace_partitions(bronze, lake.bronze_feeds, ["operator_code", "file_arrival_date"], declared)
+    obs = Observation("arrival_index")
+    tagged = (bronze.withColumn("_bd", N.business_date_of_raw(bronze.columns))
+              .observe(obs, F.collect_set(F.struct("operator_code", "file_arrival_date", "_bd")).alias("idx"))
+              .drop("_bd"))
+    log = replace_partitions(tagged, lake.bronze_feeds, ["operator_code", "file_arrival_date"], declared)
+    seq = time.time_ns()
+    idx = [tuple(r) + (seq,) for r in (obs.get.get("idx") or []) if r[2] is not None]
+    # declared partitions that ended up empty still get an entry (no dates)
+    seen = {(r[0], r[1]) for r in idx}
+    idx += [(op, d, None, seq) for op, d in declared if (op, d) not in seen]
+    spark.createDataFrame(idx, INDEX_SCHEMA).coalesce(1).write.mode("append").parquet(lake.arrival_index)
+    log["business_dates"] = sorted({r[2] for r in idx if r[2] is not None})
+    return log
 
 
 def ingest_cdc(spark: SparkSession, internal_root: str, lake: Lake, arrival_dates, ingested_at=None) -> dict:
@@ -117,13 +152,17 @@ def ingest_cdc(spark: SparkSession, internal_root: str, lake: Lake, arrival_date
     return out
 
 
-def touched_business_dates(spark: SparkSession, lake: Lake, arrival_dates) -> list:
+def touched_business_dates(spark: SparkSession, lake: Lake, arrival_dates, partner_dates=None) -> list:
     """Business dates of the rows that arrived on the given dates (both
     sides): the dates whose silver, gold and daily mart must be restated.
-    The result is one row per date, so collecting it is bounded."""
+    ``partner_dates`` are the dates observed during the bronze feed write;
+    without them the new bronze partitions are read. The result is one row
+    per date, so collecting it is bounded."""
     ad = [F.lit(_dt.date.fromisoformat(str(d)).isoformat()).cast("date") for d in arrival_dates]
     frames = []
-    if table_exists(spark, lake.bronze_feeds):
+    if partner_dates is not None:
+        frames.append(spark.createDataFrame([(d,) for d in partner_dates], "business_date date"))
+    elif table_exists(spark, lake.bronze_feeds):
         b = read_table(spark, lake.bronze_feeds).where(F.col("file_arrival_date").isin(ad))
         frames.append(N.normalize_partner(b).select("business_date"))
     for t, ts_col in (("sub_initial", "created_ts"), ("sub_recursion_success", "recurrence_ts"),
@@ -145,11 +184,25 @@ def touched_business_dates(spark: SparkSession, lake: Lake, arrival_dates) -> li
 
 def build_silver_partner(spark: SparkSession, lake: Lake, dates, lookback_days: int = 1,
                          cfg: ReconConfig = DEFAULT_RECON) -> dict:
-    """Rows of the dates can only have arrived on or after the earliest date
-    minus the largest zone shift (one day): older arrival partitions are
-    pruned, not read."""
-    lo = min(dates) - _dt.timedelta(days=lookback_days)
-    bronze = read_table(spark, lake.bronze_feeds).where(F.col("file_arrival_date") >= F.lit(lo.isoformat()).cast("date"))
+    """Read only the bronze arrival partitions that hold rows of the dates
+    (from the arrival index). Without an index, or when ranking across dates,
+    rows of the dates can only have arrived on or after the earliest date
+    minus the largest zone shift (one day), so older partitions are pruned."""
+    bronze = read_table(spark, lake.bronze_feeds)
+    parts = None
+    if table_exists(spark, lake.arrival_index) and not cfg.rank_before_date_filter:
+        from ..operators.matching import filter_dates
+        parts = [tuple(r) for r in filter_dates(read_arrival_index(spark, lake), dates)
+                 .select("operator_code", "file_arrival_date").distinct().collect()]
+    if parts is not None:
+        cond = F.lit(False)
+        for op, ad in parts:
+            cond = cond | ((F.col("operator_code") == op)
+                           & (F.col("file_arrival_date") == F.lit(ad.isoformat()).cast("date")))
+        bronze = bronze.where(cond)
+    else:
+        lo = min(dates) - _dt.timedelta(days=lookback_days)
+        bronze = bronze.where(F.col("file_arrival_date") >= F.lit(lo.isoformat()).cast("date"))
     silver = N.silver_partner_events(bronze, dates=dates, rank_before_date_filter=cfg.rank_before_date_filter)
     return replace_partitions(silver, lake.silver_partner, ["business_date"], [(d,) for d in dates])
 
@@ -204,7 +257,7 @@ def restate(spark: SparkSession, landing: dict, lake: Lake, arrival_dates=None,
     log = {"arrival_dates": len(arrival_dates)}
     log["bronze_feeds"] = ingest_operator_feeds(spark, landing["operator_feeds"], lake, arrival_dates, run_ts)
     log["bronze_cdc"] = ingest_cdc(spark, landing["internal"], lake, arrival_dates, run_ts)
-    dates = touched_business_dates(spark, lake, arrival_dates)
+    dates = touched_business_dates(spark, lake, arrival_dates, log["bronze_feeds"].get("business_dates"))
     log["business_dates"] = len(dates)
     if dates:
         log["silver_partner"] = build_silver_partner(spark, lake, dates, cfg=cfg)
