@@ -751,3 +751,13 @@ def q_match_fallback_one_to_one(spark, sf_dir):
     f = _fx(spark, sf_dir)
     from ..operators.reconcile import matcher
     return matcher(f.partner_events(), f.platform_events(), ReconConfig(pairing="one_to_one")).fallback
+
+
+@register("dq_matched_balanced_tolerance", O.engine(
+    "SELECT business_date, operator_code, partner_txn_id, partner_amount, internal_amount, amount_variance "
+    f"FROM o_fact WHERE recon_status = 'MATCHED' AND NOT coalesce({O.match_sql('partner_amount', 'internal_amount')}, "
+    "FALSE)"))
+def q_dq_matched_balanced_tolerance(spark, sf_dir):
+    """The balance test with the matcher's own predicate (no false alarms on
+    rows matched by the relative rule)."""
+    return Q.dq_matched_balanced(_stg(spark, sf_dir)[2], tolerance_aware=True)
