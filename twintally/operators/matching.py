@@ -65,6 +65,12 @@ PAIR_COLUMNS = (
 )
 
 STRONG_KEY = ("business_date", "operator_code", "partner_txn_id")
+# Input columns the fact carries; with ``slim=True`` nothing else is read,
+# shuffled or cached.
+PARTNER_FACT_INPUT = ("operator_code", "partner_txn_id", "msisdn_or_account", "txn_type", "amount", "currency",
+                      "txn_ts_utc", "business_date", "file_arrival_date")
+PLATFORM_FACT_INPUT = ("operator_code", "platform_event_id", "event_type", "user_id", "partner_txn_id", "amount",
+                       "event_ts_utc", "business_date")
 AMOUNT_KEY = ("operator_code", "txn_type", "business_date")
 
 
@@ -206,10 +212,14 @@ class Match:
     """
 
     def __init__(self, partner: DataFrame, platform: DataFrame,
-                 cfg: ReconConfig = DEFAULT_RECON, dates=None, persist: bool | None = None):
+                 cfg: ReconConfig = DEFAULT_RECON, dates=None, persist: bool | None = None,
+                 slim: bool = False):
         self.cfg = cfg
         self.partner = partner_money(partner, dates)
         self.platform = filter_dates(platform, dates)
+        if slim:
+            self.partner = self.partner.select(*PARTNER_FACT_INPUT)
+            self.platform = self.platform.select(*PLATFORM_FACT_INPUT)
         self.persist = cfg.cache_tier1 if persist is None else persist
         self._cached: list[DataFrame] = []
 

@@ -138,10 +138,11 @@ class OneToOneMatch(Match):
     chunk_rows = CHUNK_ROWS
 
     def __init__(self, partner: DataFrame, platform: DataFrame,
-                 cfg: ReconConfig = DEFAULT_RECON, dates=None, persist: bool | None = None):
+                 cfg: ReconConfig = DEFAULT_RECON, dates=None, persist: bool | None = None,
+                 slim: bool = False):
         if cfg.fallback_window_days != 0:
             raise ValueError("one_to_one pairing needs fallback_window_days=0")
-        super().__init__(partner, platform, cfg, dates, persist)
+        super().__init__(partner, platform, cfg, dates, persist, slim)
 
     P_ORDER = ("partner_txn_id", "msisdn_or_account", "txn_ts_utc", "file_arrival_date", "plan_code", "currency")
     I_ORDER = ("platform_event_id", "user_id", "event_ts_utc", "sub_id")
@@ -159,11 +160,13 @@ class OneToOneMatch(Match):
 
     @cached_property
     def _p_ranked(self) -> DataFrame:
-        return rank_within(self._p_in, [*AMOUNT_KEY, "amount"], self.P_ORDER, self.chunk_rows, "_rank")
+        order = [c for c in self.P_ORDER if c in self._p_in.columns]
+        return rank_within(self._p_in, [*AMOUNT_KEY, "amount"], order, self.chunk_rows, "_rank")
 
     @cached_property
     def _i_ranked(self) -> DataFrame:
-        return rank_within(self._i_in, [*AMOUNT_KEY, "amount"], self.I_ORDER, self.chunk_rows, "_rank")
+        order = [c for c in self.I_ORDER if c in self._i_in.columns]
+        return rank_within(self._i_in, [*AMOUNT_KEY, "amount"], order, self.chunk_rows, "_rank")
 
     @cached_property
     def _counts(self) -> DataFrame:

@@ -11,17 +11,17 @@ from .overlays import finish_fact
 
 
 def matcher(partner: DataFrame, platform: DataFrame, cfg: ReconConfig = DEFAULT_RECON,
-            dates=None) -> Match:
+            dates=None, slim: bool = False) -> Match:
     if cfg.pairing == "one_to_one":
         from .pairing import OneToOneMatch
-        return OneToOneMatch(partner, platform, cfg, dates)
-    return Match(partner, platform, cfg, dates)
+        return OneToOneMatch(partner, platform, cfg, dates, slim=slim)
+    return Match(partner, platform, cfg, dates, slim=slim)
 
 
 def fact_breaks(partner: DataFrame, platform: DataFrame, churn: DataFrame | None = None,
                 cfg: ReconConfig = DEFAULT_RECON, dates=None, run_ts=None) -> DataFrame:
     """One row per matched pair, unmatched partner row, or unmatched platform row."""
-    m = matcher(partner, platform, cfg, dates)
+    m = matcher(partner, platform, cfg, dates, slim=True)
     return finish_fact(m.classified, churn, cfg, run_ts)
 
 

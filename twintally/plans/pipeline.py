@@ -23,7 +23,8 @@ from ..config import CDC_TABLES, DEFAULT_RECON, FEEDS, OPERATORS, ReconConfig
 from ..operators import marts as M
 from ..operators import normalize as N
 from ..operators import platform as PL
-from ..operators.reconcile import fact_breaks
+from ..operators.overlays import finish_fact
+from ..operators.reconcile import matcher
 from ..session import configure
 from ..sinks.partitions import merge_upsert, read_table, replace_partitions, full_overwrite
 from ..sources.landing import landing_paths
@@ -225,8 +226,12 @@ def build_gold(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig = DEFAUL
     churn = None
     if table_exists(spark, lake.bronze_cdc("user_churn_events")):
         churn = PL.churn_events(read_table(spark, lake.bronze_cdc("user_churn_events")))
-    fact = fact_breaks(partner, platform, churn, cfg, dates=dates, run_ts=run_ts)
-    return replace_partitions(fact, lake.fact, ["business_date"], [(d,) for d in dates])
+    m = matcher(partner, platform, cfg, dates, slim=True)
+    try:
+        fact = finish_fact(m.classified, churn, cfg, run_ts)
+        return replace_partitions(fact, lake.fact, ["business_date"], [(d,) for d in dates])
+    finally:
+        m.release()  # the cached tier-1 table is only needed while the fact is written
 
 
 def daily_mart_for(spark: SparkSession, lake: Lake, dates, built_at=None) -> DataFrame:
