@@ -93,6 +93,24 @@ def main():
                                            M.stg_reconciliation_break(fact), built_at=RUN_TS),
         "mart_monthly_close": lambda: M.mart_monthly_close(M.stg_reconciliation_break(fact), built_at=RUN_TS),
     }
+    # A hot day: every row of one operator on one day repeated HOT times with
+    # distinct ids (the theta join's pair count grows with HOT^2 there).
+    hot = int(os.environ.get("BENCH_HOT", "40"))
+
+    def amplify(df, idcol):
+        day = F.lit("2024-01-10").cast("date")
+        is_hot = (F.col("operator_code") == "telco_a") & (F.col("business_date") == day)
+        rep = F.explode(F.when(is_hot, F.sequence(F.lit(1), F.lit(hot))).otherwise(F.array(F.lit(0))))
+        out = df.select("*", rep.alias("_rep"))
+        return out.withColumn(idcol, F.when(F.col("_rep") > 0, F.concat_ws("~", F.col(idcol), F.col("_rep")))
+                              .otherwise(F.col(idcol))).drop("_rep")
+
+    full_overwrite(amplify(partner, "partner_txn_id"), f"{scratch}/hot_p", ["business_date"])
+    full_overwrite(amplify(platform, "platform_event_id"), f"{scratch}/hot_i", ["business_date"])
+    hp, hi = read_table(spark, f"{scratch}/hot_p"), read_table(spark, f"{scratch}/hot_i")
+    queries["hot_day_fallback_bucketed"] = lambda: Match(hp, hi, CFG).fallback
+    queries["hot_day_fallback_theta"] = lambda: theta_fallback(hp, hi)
+
     headline = ("fact_breaks", "match_fallback", "silver_partner_events", "mart_daily", "mart_monthly_close")
 
     times = {}
@@ -116,7 +134,8 @@ def main():
         "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
         "cpus": CPUS,
         "rows": {"orders": fx.orders().count(), "silver_partner": n_partner, "fact": n_fact},
-        "notes": "match_fallback_theta is the plain theta-join form, for comparison; not in value",
+        "notes": ("match_fallback_theta is the plain theta-join form and hot_day_* repeat one operator-day "
+                  f"{hot}x with distinct ids; both for comparison, not in value"),
     }))
     spark.stop()
 
