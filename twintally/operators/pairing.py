@@ -24,10 +24,12 @@ The fallback window must be 0 in this mode.
 from __future__ import annotations
 
 import heapq
+import sys
 from decimal import Decimal
 from functools import cached_property
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -63,12 +65,13 @@ def rank_within(df: DataFrame, group_cols, order_cols, chunk_rows: int = CHUNK_R
             .drop("_chunks", "_chunk", "_rn", "_off"))
 
 
-def _within_tolerance(p: Decimal, i: Decimal, cfg: ReconConfig) -> bool:
+def _within_tolerance(p: Decimal, i: Decimal, abs_tol: Decimal, rel_tol: Decimal) -> bool:
     d = abs(p - i)
-    return d <= cfg.amount_abs_tolerance or d <= cfg.amount_rel_tolerance * max(abs(p), Decimal("0.01"))
+    return d <= abs_tol or d <= rel_tol * max(abs(p), Decimal("0.01"))
 
 
-def greedy_allocate(amounts: list[tuple[Decimal, int, int]], cfg: ReconConfig) -> list[tuple]:
+def greedy_allocate(amounts: list[tuple[Decimal, int, int]], cfg: ReconConfig | None = None,
+                    abs_tol: Decimal | None = None, rel_tol: Decimal | None = None) -> list[tuple]:
     """Greedy pairing of leftover counts on a line of distinct amounts.
 
     ``amounts``: (amount, partner_left, platform_left), one side zero.
@@ -78,6 +81,8 @@ def greedy_allocate(amounts: list[tuple[Decimal, int, int]], cfg: ReconConfig) -
     amounts, so a heap of adjacent pairs gives the smallest-distance-first
     order in O(k log k).
     """
+    if cfg is not None:
+        abs_tol, rel_tol = cfg.amount_abs_tolerance, cfg.amount_rel_tolerance
     items = sorted((a, lp, li) for a, lp, li in amounts if lp > 0 or li > 0)
     k = len(items)
     side = [0 if lp > 0 else 1 for _, lp, _ in items]
@@ -92,7 +97,7 @@ def greedy_allocate(amounts: list[tuple[Decimal, int, int]], cfg: ReconConfig) -
         if 0 <= a < k and 0 <= b < k and side[a] != side[b]:
             p, i = (a, b) if side[a] == 0 else (b, a)
             pa, ia = items[p][0], items[i][0]
-            if _within_tolerance(pa, ia, cfg):
+            if _within_tolerance(pa, ia, abs_tol, rel_tol):
                 heapq.heappush(heap, (abs(pa - ia), pa, ia, a, b))
 
     for j in range(k - 1):
@@ -179,7 +184,10 @@ class OneToOneMatch(Match):
     @cached_property
     def allocations(self) -> DataFrame:
         """Phase-2 rank ranges per (operator, type, date), from distinct amounts."""
-        cfg = self.cfg
+        # Only plain values reach the executors: the helper and this module are
+        # pickled by value, so workers need no copy of the package.
+        abs_tol, rel_tol = Decimal(self.cfg.amount_abs_tolerance), Decimal(self.cfg.amount_rel_tolerance)
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
         left = self._counts.select(
             *AMOUNT_KEY, "amount",
             F.greatest(F.col("np") - F.col("ni"), F.lit(0)).alias("lp"),
@@ -190,7 +198,7 @@ class OneToOneMatch(Match):
         def alloc(pdf: pd.DataFrame) -> pd.DataFrame:
             zipped = {a: int(z) for a, z in zip(pdf["amount"], pdf["zipped"])}
             rows = greedy_allocate([(a, int(lp), int(li)) for a, lp, li in
-                                    zip(pdf["amount"], pdf["lp"], pdf["li"])], cfg)
+                                    zip(pdf["amount"], pdf["lp"], pdf["li"])], None, abs_tol, rel_tol)
             head = pdf.iloc[0]
             return pd.DataFrame(
                 [(head["operator_code"], head["txn_type"], head["business_date"], pa, ia, n,
