@@ -79,9 +79,17 @@ def layout_of(spark: SparkSession, path: str) -> list[str]:
         p = f"{p}/{dirs[0]}"
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
+    """Group rows by the table's partition columns before writing, through
+    the REBALANCE hint: adaptive execution coalesces small output partitions
+    and splits a skewed one (a hot day) across tasks, so neither thousands of
+    tiny files nor one overloaded writer task appear."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def full_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
     """Write the table from scratch (first write, or a layout change)."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -112,7 +120,7 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], pa
     if not table_exists(spark, path) or layout_of(spark, path) != partition_by:
         full_overwrite(checked, path, partition_by)
     else:
-        (checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (rebalanced(checked, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
     m = obs.get
     written = {tuple(_fmt(v) for v in r) for r in (m.get("written") or [])}

@@ -83,7 +83,7 @@ def write_partner_feeds(fx: Fixture, root: str, feeds=None) -> None:
     """Write every feed under ``root/<operator>/batch=<operator>_<yyyyMMdd>/``."""
     bronze = fx.partner_bronze()
     for feed in (feeds or FEEDS).values():
-        rows = feed_rows(bronze, feed)
+        rows = feed_rows(bronze, feed).hint("rebalance", "batch")
         w = rows.write.mode("overwrite").partitionBy("batch")
         if feed.file_format == "csv":
             w.options(header="true", sep=feed.csv_options["sep"]).csv(f"{root}/{feed.operator_code}")
@@ -150,7 +150,8 @@ def write_cdc_files(fx: Fixture, root: str) -> None:
     """Write ``root/<folder>/batch=<folder>_<yyyyMMdd>/`` JSON lines per table."""
     for folder, df in cdc_rows(fx).items():
         nums = tuple(c for c in NUMERIC_CDC if c in df.columns)
-        _json_lines(df, numeric=nums).write.mode("overwrite").partitionBy("batch").text(f"{root}/{folder}")
+        (_json_lines(df, numeric=nums).hint("rebalance", "batch")
+         .write.mode("overwrite").partitionBy("batch").text(f"{root}/{folder}"))
 
 
 def write_landing(fx: Fixture, root: str) -> dict:
