@@ -4,7 +4,7 @@ import random
 from collections import Counter
 from decimal import Decimal
 
-from helpers import D0, frames, i_row, p_row
+from helpers import frames, i_row, p_row
 from twintally.config import ReconConfig
 from twintally.operators.pairing import OneToOneMatch, greedy_allocate, rank_within
 

@@ -65,13 +65,6 @@ def late_flag(arrival, bdate, cfg: ReconConfig = DEFAULT_RECON) -> Column:
     )
 
 
-def safe_ratio(num, den, digits: int = 4) -> Column:
-    """``round(coalesce(num,0) / nullif(den,0), digits)`` as DOUBLE."""
-    n = F.coalesce(_c(num), F.lit(0)).cast("double")
-    d = _c(den).cast("double")
-    return F.round(F.when(d != 0, n / d), digits)
-
-
 def signed_amount(amount, txn_type) -> Column:
     """Refunds reduce revenue."""
     a = _c(amount)

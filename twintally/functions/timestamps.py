@@ -63,10 +63,10 @@ def business_date(ts_utc) -> Column:
 def parse_feed_time(raw, feed: FeedSpec) -> tuple[Column, Column]:
     """Return ``(txn_ts_utc, txn_ts_local)`` for one feed's raw time text."""
     if feed.ts_format == "epoch_millis":
-        inst = F.timestamp_millis(_c(raw).try_cast("bigint"))
+        inst = parse_epoch_millis(raw)
         return inst, from_utc(inst, feed.timezone)
     if feed.ts_is_instant:
-        inst = parse_with_pattern(raw, feed.parse_pattern)
+        inst = parse_offset(raw, feed.parse_pattern)
         return inst, from_utc(inst, feed.timezone)
     wall = parse_naive(raw, feed.parse_pattern)
     return to_utc(wall, feed.timezone), wall

@@ -42,7 +42,7 @@ from ..config import (
     MONEY_TYPES,
     ReconConfig,
 )
-from ..functions.money import AMOUNT_TYPE, amounts_match, zero_amount
+from ..functions.money import amounts_match, zero_amount
 
 # Columns every classified row carries before the overlays.
 PAIR_COLUMNS = (

@@ -26,7 +26,7 @@ from ..operators import platform as PL
 from ..operators.overlays import finish_fact
 from ..operators.reconcile import matcher
 from ..session import configure
-from ..sinks.partitions import merge_upsert, read_table, replace_partitions, full_overwrite
+from ..sinks.partitions import full_overwrite, merge_upsert, observed, read_table, replace_partitions
 from ..sources.landing import landing_paths
 from ..sources.tables import list_dirs, table_exists
 
@@ -135,7 +135,7 @@ def ingest_operator_feeds(spark: SparkSession, feeds_root: str, lake: Lake, arri
               .drop("_bd"))
     log = replace_partitions(tagged, lake.bronze_feeds, ["operator_code", "file_arrival_date"], declared)
     seq = time.time_ns()
-    idx = [tuple(r) + (seq,) for r in (obs.get.get("idx") or []) if r[2] is not None]
+    idx = [tuple(r) + (seq,) for r in (observed(obs).get("idx") or []) if r[2] is not None]
     # declared partitions that ended up empty still get an entry (no dates)
     seen = {(r[0], r[1]) for r in idx}
     idx += [(op, d, None, seq) for op, d in declared if (op, d) not in seen]

@@ -7,7 +7,6 @@ NULL), adaptive execution on, and dynamic partition overwrite for sinks.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -80,16 +79,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can see local paths."""
-    if path.startswith("file:"):
-        p = path[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    return path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_path(path))

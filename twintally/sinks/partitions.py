@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, configure
-from ..sources.tables import delete_path, list_dirs, path_exists, table_exists
+from ..sources.tables import delete_path, list_dirs, table_exists
 
 
 def _fmt(v) -> str:
@@ -95,8 +95,7 @@ def full_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None
     w.parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], partitions,
-                       observe_counts: bool = False) -> dict:
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], partitions) -> dict:
     """Swap exactly the declared partitions of the table at ``path``.
 
     ``partitions`` lists value tuples in ``partition_by`` order. Rows outside
@@ -122,7 +121,11 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], pa
     else:
         (rebalanced(checked, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
-    m = obs.get
+    m = observed(obs)
+    if not m and not df.isEmpty():
+        # metrics are only absent when no task ran, i.e. an empty input;
+        # anything else must not be taken as "nothing written"
+        raise RuntimeError(f"write metrics missing for a non-empty input at {path}")
     written = {tuple(_fmt(v) for v in r) for r in (m.get("written") or [])}
     cleared = 0
     for t in tuples:
@@ -132,6 +135,15 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], pa
             "partitions_cleared": cleared}
 
 
+def observed(obs: Observation) -> dict:
+    """Metrics of a finished write ({} when none were reported: an input with
+    no partitions runs no task, so nothing reports)."""
+    try:
+        return dict(obs.get)
+    except Exception:
+        return {}
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a table written by these sinks (schemas may have widened)."""
     return spark.read.option("mergeSchema", "true").parquet(path)
@@ -205,6 +217,3 @@ def register_external_table(spark: SparkSession, db: str, table: str, path: str)
         spark.sql(f"MSCK REPAIR TABLE `{db}`.`{table}`")
     return True
 
-
-def exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)

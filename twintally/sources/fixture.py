@@ -52,10 +52,8 @@ class Dialect:
 SPARK = Dialect("spark")
 DUCKDB = Dialect("duckdb")
 
-# Start of the derived calendar (2024-01-01T00:00:00Z), the
-# scenario bands, and each operator's default currency.
+# Fixed value: start of the derived calendar (2024-01-01T00:00:00Z).
 EPOCH0 = 1704067200
-DEFAULT_CCY_SQL = ("CASE op WHEN 'telco_c' THEN 'AED' WHEN 'wallet_x' THEN 'USD' ELSE 'PKR' END")
 
 
 def ctes(d: Dialect, extended: bool = True) -> str:

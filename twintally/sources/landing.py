@@ -19,10 +19,6 @@ from ..config import FeedSpec
 from .tables import glob_matches
 
 
-def _prefix(feed_or_name) -> str:
-    return feed_or_name.operator_code if isinstance(feed_or_name, FeedSpec) else str(feed_or_name)
-
-
 def arrival_date_from_path(prefix: str) -> Column:
     """Arrival date encoded in the file path after ``<prefix>_``."""
     rx = prefix.replace(".", r"\.") + r"_(\d{4}-?\d{2}-?\d{2})"
