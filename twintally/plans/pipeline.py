@@ -28,7 +28,7 @@ from ..operators.reconcile import matcher
 from ..session import configure
 from ..sinks.partitions import full_overwrite, merge_upsert, observed, read_table, replace_partitions
 from ..sources.landing import landing_paths
-from ..sources.tables import list_dirs, table_exists
+from ..sources.tables import list_names, table_exists
 
 
 @dataclass(frozen=True)
@@ -71,7 +71,7 @@ class Lake:
         return self.path("marts", "revenue_monthly_close")
 
 
-_TOKEN = re.compile(r"(\d{4})-?(\d{2})-?(\d{2})$")
+_TOKEN = re.compile(r"^(\d{4})-?(\d{2})-?(\d{2})")
 
 
 def _batch_dates(names, prefix: str) -> set:
@@ -91,10 +91,10 @@ def landed_arrival_dates(spark: SparkSession, landing: dict) -> list:
     """Every arrival date present in the landing zone (from folder names)."""
     dates = set()
     for op in FEEDS:
-        dates |= _batch_dates(list_dirs(spark, f"{landing['operator_feeds']}/{op}"), op)
+        dates |= _batch_dates(list_names(spark, f"{landing['operator_feeds']}/{op}"), op)
     for t, spec in CDC_TABLES.items():
         for folder in ([f"{t}_{op}" for op in OPERATORS] if spec.per_operator else [t]):
-            dates |= _batch_dates(list_dirs(spark, f"{landing['internal']}/{folder}"), folder)
+            dates |= _batch_dates(list_names(spark, f"{landing['internal']}/{folder}"), folder)
     return sorted(dates)
 
 

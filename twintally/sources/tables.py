@@ -41,6 +41,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly under ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A Parquet table exists at ``path``: the folder holds data files or
     partition folders (a bare empty folder is not a table)."""
