@@ -153,24 +153,26 @@ def ingest_cdc(spark: SparkSession, internal_root: str, lake: Lake, arrival_date
     return out
 
 
-def touched_business_dates(spark: SparkSession, lake: Lake, arrival_dates, partner_dates=None) -> list:
+def touched_business_dates(spark: SparkSession, landing: dict, arrival_dates, partner_dates=None,
+                           lake: Lake | None = None) -> list:
     """Business dates of the rows that arrived on the given dates (both
     sides): the dates whose silver, gold and daily mart must be restated.
-    ``partner_dates`` are the dates observed during the bronze feed write;
-    without them the new bronze partitions are read. The result is one row
-    per date, so collecting it is bounded."""
-    ad = [F.lit(_dt.date.fromisoformat(str(d)).isoformat()).cast("date") for d in arrival_dates]
+
+    Partner dates come from the bronze write (observed, ``partner_dates``) or
+    else from the new bronze partitions; platform dates from the arrived
+    change files themselves, never from the accumulated change history. The
+    result is one row per date, so collecting it is bounded."""
     frames = []
     if partner_dates is not None:
         frames.append(spark.createDataFrame([(d,) for d in partner_dates], "business_date date"))
-    elif table_exists(spark, lake.bronze_feeds):
+    elif lake is not None and table_exists(spark, lake.bronze_feeds):
+        ad = [F.lit(_dt.date.fromisoformat(str(d)).isoformat()).cast("date") for d in arrival_dates]
         b = read_table(spark, lake.bronze_feeds).where(F.col("file_arrival_date").isin(ad))
         frames.append(N.normalize_partner(b).select("business_date"))
     for t, ts_col in (("sub_initial", "created_ts"), ("sub_recursion_success", "recurrence_ts"),
                       ("sub_recursion_failure", "attempt_ts")):
-        if table_exists(spark, lake.bronze_cdc(t)):
-            c = read_table(spark, lake.bronze_cdc(t)).where(F.col("file_arrival_date").isin(ad))
-            frames.append(c.select(F.to_date(F.try_to_timestamp(F.col(ts_col))).alias("business_date")))
+        c = PL.read_cdc(spark, landing["internal"], t, dates=arrival_dates)
+        frames.append(c.select(F.to_date(F.try_to_timestamp(F.col(ts_col))).alias("business_date")))
     if not frames:
         return []
     u = frames[0]
@@ -262,7 +264,7 @@ def restate(spark: SparkSession, landing: dict, lake: Lake, arrival_dates=None,
     log = {"arrival_dates": len(arrival_dates)}
     log["bronze_feeds"] = ingest_operator_feeds(spark, landing["operator_feeds"], lake, arrival_dates, run_ts)
     log["bronze_cdc"] = ingest_cdc(spark, landing["internal"], lake, arrival_dates, run_ts)
-    dates = touched_business_dates(spark, lake, arrival_dates, log["bronze_feeds"].get("business_dates"))
+    dates = touched_business_dates(spark, landing, arrival_dates, log["bronze_feeds"].get("business_dates"), lake)
     log["business_dates"] = len(dates)
     if dates:
         log["silver_partner"] = build_silver_partner(spark, lake, dates, cfg=cfg)
