@@ -266,3 +266,18 @@ def test_match_rate_rounds_half_up(spark):
 def test_amounts_match_is_null_aware(spark):
     df = spark.createDataFrame([(dec(1), None)], "p decimal(12,2), i decimal(12,2)")
     assert df.select(amounts_match(F.col("p"), F.col("i")).alias("m")).first()["m"] is None
+
+
+def test_merge_upsert_moves_a_redated_key(spark, tmpdir_path):
+    from twintally.sinks.partitions import merge_upsert, read_table
+    path = f"{tmpdir_path}/moved"
+    ddl = "id string, operator_code string, event_date date, v int, file_arrival_date date"
+    d1, d2 = D0, D0 + dt.timedelta(days=1)
+    merge_upsert(spark.createDataFrame([("a", "x", d1, 1, d1), ("b", "x", d2, 1, d1)], ddl), path,
+                 ["id", "operator_code"], ["operator_code", "event_date"])
+    # "a" is re-dated to d2: its old copy in d1 must go, and d1 becomes empty
+    m = merge_upsert(spark.createDataFrame([("a", "x", d2, 2, d2)], ddl), path, ["id", "operator_code"],
+                     ["operator_code", "event_date"])
+    got = sorted((r["id"], str(r["event_date"]), r["v"]) for r in read_table(spark, path).collect())
+    assert got == [("a", "2024-01-16", 2), ("b", "2024-01-16", 1)]
+    assert m["partitions_cleared"] == 1

@@ -165,14 +165,18 @@ class CdcTable:
     name: str
     keys: tuple
     per_operator: bool
+    event_ts: str
 
 
-# Internal change tables and their merge keys.
+# Internal change tables, their merge keys and event times.
 CDC_TABLES = {
-    "sub_initial": CdcTable("sub_initial", ("sub_id", "operator_code"), True),
-    "sub_recursion_success": CdcTable("sub_recursion_success", ("recursion_id", "operator_code"), True),
-    "sub_recursion_failure": CdcTable("sub_recursion_failure", ("failure_id", "operator_code"), True),
-    "user_churn_events": CdcTable("user_churn_events", ("user_id", "operator_code", "churn_ts"), False),
+    "sub_initial": CdcTable("sub_initial", ("sub_id", "operator_code"), True, "created_ts"),
+    "sub_recursion_success": CdcTable("sub_recursion_success", ("recursion_id", "operator_code"), True,
+                                      "recurrence_ts"),
+    "sub_recursion_failure": CdcTable("sub_recursion_failure", ("failure_id", "operator_code"), True,
+                                      "attempt_ts"),
+    "user_churn_events": CdcTable("user_churn_events", ("user_id", "operator_code", "churn_ts"), False,
+                                  "churn_ts"),
 }
 
 # sub_initial statuses that represent a real charge attempt.

@@ -144,12 +144,19 @@ def ingest_operator_feeds(spark: SparkSession, feeds_root: str, lake: Lake, arri
     return log
 
 
+CDC_PARTITIONS = ["operator_code", "event_date"]
+
+
 def ingest_cdc(spark: SparkSession, internal_root: str, lake: Lake, arrival_dates, ingested_at=None) -> dict:
-    """Upsert each change table on its key (partitioned by operator)."""
+    """Upsert each change table on its key. Images are partitioned by
+    operator and event date (the UTC date of the event time, i.e. the
+    business date of the event), so a merge rewrites only the days its
+    changes touch and a restatement reads only the days it needs."""
     out = {}
     for t, spec in CDC_TABLES.items():
         changes = PL.read_cdc(spark, internal_root, t, dates=arrival_dates, ingested_at=ingested_at)
-        out[t] = merge_upsert(changes, lake.bronze_cdc(t), spec.keys, ["operator_code"])
+        changes = changes.withColumn("event_date", F.to_date(F.try_to_timestamp(F.col(spec.event_ts))))
+        out[t] = merge_upsert(changes, lake.bronze_cdc(t), spec.keys, CDC_PARTITIONS)
     return out
 
 
@@ -210,14 +217,15 @@ def build_silver_partner(spark: SparkSession, lake: Lake, dates, lookback_days:
     return replace_partitions(silver, lake.silver_partner, ["business_date"], [(d,) for d in dates])
 
 
-def _images(spark: SparkSession, lake: Lake):
-    return (read_table(spark, lake.bronze_cdc("sub_initial")),
-            read_table(spark, lake.bronze_cdc("sub_recursion_success")),
-            read_table(spark, lake.bronze_cdc("sub_recursion_failure")))
+def _images(spark: SparkSession, lake: Lake, dates=None):
+    """Change-table images, pruned to the event dates when given."""
+    from ..operators.matching import filter_dates
+    return tuple(filter_dates(read_table(spark, lake.bronze_cdc(t)), dates, "event_date")
+                 for t in ("sub_initial", "sub_recursion_success", "sub_recursion_failure"))
 
 
 def build_silver_platform(spark: SparkSession, lake: Lake, dates) -> dict:
-    si, rs, rf = _images(spark, lake)
+    si, rs, rf = _images(spark, lake, dates)
     ev = PL.silver_platform_events(si, rs, rf, dates=dates)
     return replace_partitions(ev, lake.silver_platform, ["business_date"], [(d,) for d in dates])
 

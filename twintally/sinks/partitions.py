@@ -27,7 +27,12 @@ from ..session import checkpoint_root, configure
 from ..sources.tables import delete_path, list_dirs, table_exists
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _fmt(v) -> str:
+    if v is None:
+        return NULL_PARTITION
     if isinstance(v, _dt.datetime):
         return v.isoformat(sep=" ")
     if isinstance(v, _dt.date):
@@ -61,7 +66,7 @@ def _in_partitions(partition_by: Sequence[str], tuples: list[tuple]) -> Column:
     for t in tuples:
         c = None
         for col, v in zip(partition_by, t):
-            e = F.col(col) == _lit(v)
+            e = F.col(col).isNull() if v is None else F.col(col) == _lit(v)
             c = e if c is None else c & e
         cond = c if cond is None else cond | c
     return cond if cond is not None else F.lit(False)
@@ -157,6 +162,11 @@ def merge_upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Se
     then all columns) first. A target column missing from the source keeps its
     old value on matched rows; source columns missing from the target widen
     the table. NULL keys never match, so such rows are always inserted.
+
+    Only partitions that receive a source row, or hold an older version of a
+    source key, are rewritten. The second set is found with a scan of the key
+    and partition columns only, so a key whose partition value changed (an
+    event re-dated) leaves no stale copy behind, without reading whole rows.
     """
     spark = df.sparkSession
     configure(spark)
@@ -164,21 +174,25 @@ def merge_upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Se
     src = _latest_per_key(df, keys, order_by)
     if not table_exists(spark, path):
         full_overwrite(src, path, partition_by)
-        return {"inserted_or_updated": None, "created": True}
+        return {"created": True}
     target = read_table(spark, path)
-    touched = src.select(*partition_by).distinct()
-    tgt = target.join(touched, partition_by, "left_semi")
-    kept = tgt.join(src.select(*keys).where(_all_not_null(keys)), keys, "left_anti")
+    src_keys = src.select(*keys).where(_all_not_null(keys))
+    holding = target.select(*keys, *partition_by).join(src_keys, keys, "left_semi").select(*partition_by)
+    touched_parts = [tuple(r) for r in src.select(*partition_by).union(holding).distinct().collect()]
+    touched = spark.createDataFrame(touched_parts, src.select(*partition_by).schema) if touched_parts else None
+    if touched is None:
+        return {"rows": 0, "partitions_written": 0, "partitions_cleared": 0}
+    tgt = target.where(_in_partitions(partition_by, touched_parts))
+    kept = tgt.join(src_keys, keys, "left_anti")
     extra = [c for c in target.columns if c not in src.columns and c not in keys]
     upd = src
     if extra:
-        old = tgt.select(*keys, *extra)
+        old = target.select(*keys, *extra).join(src_keys, keys, "left_semi")
         upd = src.join(old, keys, "left")
     merged = kept.unionByName(upd, allowMissingColumns=True)
     checkpoint_root(spark)
     merged = merged.checkpoint(eager=True)
-    parts = [tuple(r) for r in merged.select(*partition_by).distinct().collect()]
-    return replace_partitions(merged, path, partition_by, parts)
+    return replace_partitions(merged, path, partition_by, touched_parts)
 
 
 def _all_not_null(cols) -> Column:
