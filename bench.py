@@ -110,6 +110,7 @@ def main():
     hp, hi = read_table(spark, f"{scratch}/hot_p"), read_table(spark, f"{scratch}/hot_i")
     queries["hot_day_fallback_bucketed"] = lambda: Match(hp, hi, CFG).fallback
     queries["hot_day_fallback_theta"] = lambda: theta_fallback(hp, hi)
+    queries["hot_day_fact_breaks"] = lambda: fact_breaks(hp, hi, churn, CFG, run_ts=RUN_TS)
 
     headline = ("fact_breaks", "match_fallback", "silver_partner_events", "mart_daily", "mart_monthly_close")
 

@@ -281,3 +281,20 @@ def test_merge_upsert_moves_a_redated_key(spark, tmpdir_path):
     got = sorted((r["id"], str(r["event_date"]), r["v"]) for r in read_table(spark, path).collect())
     assert got == [("a", "2024-01-16", 2), ("b", "2024-01-16", 1)]
     assert m["partitions_cleared"] == 1
+
+
+def test_arrival_tokens_dashed_or_compact(spark, tmpdir_path):
+    import os
+
+    from twintally.sources.landing import scan_csv_feed
+    feed = FEEDS["telco_a"]
+    for name, day in (("telco_a_20240115.csv", "15"), ("telco_a_2024-01-16.csv", "16")):
+        os.makedirs(f"{tmpdir_path}/telco_a", exist_ok=True)
+        with open(f"{tmpdir_path}/telco_a/{name}", "w") as fh:
+            fh.write(",".join(feed.raw_columns) + "\n")
+            fh.write(f"t{day},acct,SUB,P,99.0,PKR,2024-01-{day} 10:00:00\n")
+    all_ = scan_csv_feed(spark, tmpdir_path, feed)
+    assert sorted(str(r["file_arrival_date"]) for r in all_.collect()) == ["2024-01-15", "2024-01-16"]
+    one = scan_csv_feed(spark, tmpdir_path, feed, dates=["2024-01-16"])
+    assert [r["transaction_id"] for r in one.collect()] == ["t16"]
+    assert scan_csv_feed(spark, tmpdir_path, feed, dates=["2024-02-01"]) is None
