@@ -60,14 +60,17 @@ def build_session(app_name: str = "twintally", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from the session. Only when nothing is configured (local tests) a
-    scratch folder is created and registered, so ``DataFrame.checkpoint`` and
-    the write-then-read operators have somewhere shared to go.
+    Read from the session. Only a local-mode session without one (tests, the
+    bench) gets a scratch folder created and registered; on a cluster an
+    unset value is an error rather than a machine-local folder.
     """
     d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not spark.sparkContext.master.startswith("local"):
+                # a machine-local folder is invisible to other executors
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
             d = tempfile.mkdtemp(prefix="twintally-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
