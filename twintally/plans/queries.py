@@ -7,18 +7,27 @@ a plain-SQL statement of the same result in ``oracles.py`` unless noted.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_RECON, ReconConfig
+from ..config import CDC_TABLES, DEFAULT_RECON, FEEDS, ReconConfig
 from ..functions import money
+from ..operators import marts as M
+from ..operators import normalize as N
 from ..operators import overlays
+from ..operators import platform as PL
+from ..operators import quality as Q
 from ..operators.matching import Match
 from ..operators.reconcile import fact_breaks, status_summary
-from ..sources import fixture
+from ..session import scratch_path
+from ..sinks import partitions as K
+from ..sources import fixture, fixture_files, landing
+from ..sources import tables as T
 from . import oracles as O
+from . import pipeline as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,9 +161,6 @@ def q_late_flag(spark, sf_dir):
 # Marts and data-quality checks
 # ---------------------------------------------------------------------------
 
-from ..operators import marts as M  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-
 
 def _stg(spark, sf_dir):
     f = _fx(spark, sf_dir)
@@ -289,13 +295,6 @@ def q_dq_platform_reused(spark, sf_dir):
 # Raw landing files -> bronze -> silver partner stream
 # ---------------------------------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from ..config import FEEDS  # noqa: E402
-from ..operators import normalize as N  # noqa: E402
-from ..operators import platform as PL  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import fixture_files, landing  # noqa: E402
 
 _LANDING: dict = {}
 # The arrival / business date window used by the date-set operators.
@@ -493,8 +492,6 @@ def q_normalize_partner_rows(spark, sf_dir):
 # Internal change files -> bronze images -> silver platform stream
 # ---------------------------------------------------------------------------
 
-from ..config import CDC_TABLES  # noqa: E402
-
 
 def _cdc(spark, sf_dir, table, dates=None):
     root = landing_root(spark, sf_dir)["internal"]
@@ -550,9 +547,6 @@ def q_churn_events(spark, sf_dir):
 # Sinks, table sources and the restatement pipeline
 # ---------------------------------------------------------------------------
 
-from ..plans import pipeline as P  # noqa: E402
-from ..sinks import partitions as K  # noqa: E402
-from ..sources import tables as T  # noqa: E402
 
 _LAKE: dict = {}
 # The arrival dates re-delivered in the second (restatement) run.
