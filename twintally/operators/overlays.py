@@ -54,21 +54,31 @@ def churned_users(churn: DataFrame) -> DataFrame:
 
 
 def overlay_orphan_churn(rows: DataFrame, churn: DataFrame | None) -> DataFrame:
-    """Re-tag rows of churned users that still carry a successful charge."""
+    """Re-tag rows of churned users that still carry a successful charge.
+
+    Only rows with a user, a positive partner amount and a churn-sensitive
+    type can become orphans. Every other row (e.g. all MISSING_ON_PLATFORM
+    rows, whose user is NULL) gets a join key that cannot match and is spread
+    by a hash of the row, so no NULL or constant key piles into one reducer
+    when the churn side is too big to broadcast.
+    """
     if churn is None:
         return rows
-    ch = churned_users(churn).alias("ch")
-    r = rows.alias("r")
+    candidate = (F.col("user_id").isNotNull() & (F.col("partner_amount") > 0)
+                 & F.col("txn_type").isin(*CHURN_SENSITIVE_TYPES))
+    key = F.when(candidate, F.concat(F.lit("u"), F.col("user_id"))).otherwise(
+        F.concat(F.lit("n"), F.xxhash64(*[F.col(c) for c in rows.columns]).cast("string")))
+    r = rows.withColumn("_ck", key).alias("r")
+    ch = churned_users(churn).select(F.concat(F.lit("u"), F.col("user_id")).alias("_ck"), "operator_code",
+                                     "churn_date").alias("ch")
     joined = r.join(
         ch,
-        (F.col("r.user_id") == F.col("ch.user_id"))
+        (F.col("r._ck") == F.col("ch._ck"))
         & (F.col("r.operator_code") == F.col("ch.operator_code"))
         & (F.col("ch.churn_date") <= F.col("r.business_date")),
         "left",
     )
-    orphan = (F.col("ch.churn_date").isNotNull()
-              & (F.col("r.partner_amount") > 0)
-              & F.col("r.txn_type").isin(*CHURN_SENSITIVE_TYPES))
+    orphan = F.col("ch.churn_date").isNotNull()
     out = [F.when(orphan, F.lit("ORPHAN_CHURN")).otherwise(F.col("r.recon_status")).alias("recon_status")
            if c == "recon_status" else F.col(f"r.{c}").alias(c) for c in rows.columns]
     return joined.select(*out)
