@@ -14,9 +14,10 @@ Plan shape (see ``match`` for the pieces):
   candidate of a partner row depends only on its ``(operator, type, date,
   amount)``, so both sides are first reduced by partial aggregation to
   distinct amounts (the platform side keeps the smallest event id per
-  amount). Distinct amounts are joined on a logarithmic amount bucket (the
-  platform side is widened to the neighbouring buckets) and the tolerance is
-  re-checked exactly; the winner per partner amount is a ``min(struct)``.
+  amount). The winner of a partner amount is the nearer of the nearest
+  platform amounts below and above it (within tolerance), found by one
+  ordered pass over the union of distinct amounts per logarithmic amount
+  bucket (platform amounts also placed in the neighbouring buckets).
   Partner rows then pick up their winner with an equi-join whose right side
   has one row per key, which adaptive execution turns into a broadcast or a
   skew-split join. A hot amount or operator never lands in one task.
@@ -32,6 +33,7 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..config import (
     DEFAULT_RECON,
@@ -295,27 +297,51 @@ class Match:
     @cached_property
     def winners(self) -> DataFrame:
         """Best platform row per distinct partner (operator, type, date, amount):
-        smallest amount distance, then smallest platform_event_id."""
+        smallest amount distance, then smallest platform_event_id.
+
+        The best candidate is the nearest platform amount at or below the
+        partner amount or the nearest at or above it (a farther amount is
+        never closer, and the tolerance only shrinks with distance). Distinct
+        amounts of both sides are unioned per (operator, type, date, bucket)
+        (platform amounts also placed in the neighbouring buckets, so every
+        amount within tolerance is present) and one ordered pass finds the
+        predecessor and successor of each partner amount: no pairs are formed.
+        """
         bk = AmountBuckets.for_config(self.cfg)
         pk = (self.partner_left.where(F.col("amount").isNotNull())
-              .select(*AMOUNT_KEY, F.col("amount").alias("p_amount"))
-              .distinct()
-              .withColumn("bucket", bk.bucket(F.col("p_amount"))))
-        ik = (self._platform_amounts
-              .withColumn("b0", bk.bucket(F.col("amount")))
-              .select(*AMOUNT_KEY, F.col("amount").alias("i_amount"), "ev",
+              .select(*AMOUNT_KEY, F.col("amount").alias("amt")).distinct()
+              .withColumn("bucket", bk.bucket(F.col("amt"))))
+        ia = self._platform_amounts
+        ev_type = ia.schema["ev"].dataType
+        ik = (ia.withColumn("b0", bk.bucket(F.col("amount")))
+              .select(*AMOUNT_KEY, F.col("amount").alias("amt"), "ev",
                       F.explode(F.array(F.col("b0") - 1, F.col("b0"), F.col("b0") + 1)).alias("bucket")))
-        cand = pk.join(ik, [*AMOUNT_KEY, "bucket"], "inner").where(
-            amounts_match(F.col("p_amount"), F.col("i_amount"), self.cfg))
-        best = F.min(F.struct(
-            F.abs(F.col("p_amount") - F.col("i_amount")).alias("dist"),
-            F.col("ev.platform_event_id").alias("platform_event_id"),
-            F.col("i_amount").alias("amount"),
-            F.col("ev.user_id").alias("user_id"),
-            F.col("ev.event_ts_utc").alias("event_ts_utc"),
-            F.col("ev.i_business_date").alias("i_business_date"),
-        ))
-        return cand.groupBy(*AMOUNT_KEY, "p_amount").agg(best.alias("w"))
+        u = (pk.select(*AMOUNT_KEY, "bucket", "amt", F.lit(1).alias("side"), F.lit(None).cast(ev_type).alias("ev"))
+             .unionByName(ik.select(*AMOUNT_KEY, "bucket", "amt", F.lit(0).alias("side"), "ev")))
+        cand = F.when(F.col("side") == 0, F.struct(F.col("amt").alias("amount"), F.col("ev").alias("ev")))
+        part = Window.partitionBy(*AMOUNT_KEY, "bucket")
+        # at equal amounts the platform row sorts before the partner row for the
+        # predecessor and after it for the successor, so an equal amount is both
+        below = part.orderBy("amt", "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        above = part.orderBy("amt", F.col("side").desc()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        u = (u.withColumn("_lo", F.last(cand, ignorenulls=True).over(below))
+              .withColumn("_hi", F.first(cand, ignorenulls=True).over(above))
+              .where(F.col("side") == 1))
+
+        def option(c: Column) -> Column:
+            ok = c.isNotNull() & F.coalesce(amounts_match(F.col("amt"), c["amount"], self.cfg), F.lit(False))
+            return F.when(ok, F.struct(
+                F.abs(F.col("amt") - c["amount"]).alias("dist"),
+                c["ev"]["platform_event_id"].alias("platform_event_id"),
+                c["amount"].alias("amount"),
+                c["ev"]["user_id"].alias("user_id"),
+                c["ev"]["event_ts_utc"].alias("event_ts_utc"),
+                c["ev"]["i_business_date"].alias("i_business_date"),
+            ))
+
+        best = F.least(option(F.col("_lo")), option(F.col("_hi")))
+        return (u.select(*AMOUNT_KEY, F.col("amt").alias("p_amount"), best.alias("w"))
+                .where(F.col("w").isNotNull()))
 
     @cached_property
     def _partner_side(self) -> DataFrame:
