@@ -298,3 +298,39 @@ def test_arrival_tokens_dashed_or_compact(spark, tmpdir_path):
     one = scan_csv_feed(spark, tmpdir_path, feed, dates=["2024-01-16"])
     assert [r["transaction_id"] for r in one.collect()] == ["t16"]
     assert scan_csv_feed(spark, tmpdir_path, feed, dates=["2024-02-01"]) is None
+
+
+def test_tier1_hot_platform_key_is_skew_split_and_equals_full_outer(spark):
+    # a sentinel partner id on a third of the platform rows: the left outer +
+    # anti join form gives the full outer join's rows, and adaptive execution
+    # splits the hot partition (a full outer join is never split)
+    n = 30000
+    prow = [p_row(f"k{j}", 10 + j % 50) for j in range(n // 2)] + [p_row("", 99)]
+    irow = [i_row(f"e{j}", 10 + j % 50, f"k{j}" if j % 3 else "") for j in range(n)]
+    p, i, _ = frames(spark, prow, irow)
+
+    def tier1(cfg):
+        return Match(p, i, cfg, persist=False).tier1.select("p.partner_txn_id", "i.platform_event_id")
+
+    conf = {"spark.sql.shuffle.partitions": "64",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        want = sorted(map(tuple, tier1(ReconConfig(tier1_full_outer=True)).collect()), key=str)
+        t = tier1(ReconConfig())
+        got = sorted(map(tuple, t.collect()), key=str)
+        plan = t._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    # 30000 platform rows (10000 paired with the sentinel) + 5000 partner-only
+    assert got == want and len(got) == 35000
+    assert "FullOuter" not in plan
+    assert "skew=true" in plan

@@ -201,6 +201,9 @@ class ReconConfig:
     # Cache the tier-1 join that every later step reads (memory, spilling to
     # disk). Off: each consumer re-reads and re-shuffles both inputs.
     cache_tier1: bool = True
+    # Tier 1 as one full outer join (never skew-split) instead of a left
+    # outer join of platform rows plus an anti join of partner rows.
+    tier1_full_outer: bool = False
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
