@@ -307,6 +307,9 @@ def test_tier1_hot_platform_key_is_skew_split_and_equals_full_outer(spark):
     n = 30000
     prow = [p_row(f"k{j}", 10 + j % 50) for j in range(n // 2)] + [p_row("", 99)]
     irow = [i_row(f"e{j}", 10 + j % 50, f"k{j}" if j % 3 else "") for j in range(n)]
+    # a NULL key part never matches: both rows stay, each as a remainder
+    prow.append(p_row("k1", 5, op=None))
+    irow.append(i_row("eN", 5, "k1", op=None))
     p, i, _ = frames(spark, prow, irow)
 
     def tier1(cfg):
@@ -331,6 +334,8 @@ def test_tier1_hot_platform_key_is_skew_split_and_equals_full_outer(spark):
             else:
                 spark.conf.set(k, v)
     # 30000 platform rows (10000 paired with the sentinel) + 5000 partner-only
-    assert got == want and len(got) == 35000
+    # + the two NULL-operator rows
+    assert got == want and len(got) == 35002
+    assert ("k1", None) in got and (None, "eN") in got
     assert "FullOuter" not in plan
     assert "skew=true" in plan
