@@ -39,7 +39,8 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPS = int(os.environ.get("BENCH_REPS", "5"))
 RUN_TS = "2024-02-01 00:00:00"
-CFG = ReconConfig(cache_tier1=os.environ.get("BENCH_CACHE_TIER1", "1") == "1")
+CFG = ReconConfig(cache_tier1=os.environ.get("BENCH_CACHE_TIER1", "1") == "1",
+                  tier1_full_outer=os.environ.get("BENCH_TIER1_FULL_OUTER", "0") == "1")
 
 
 def theta_fallback(partner, platform):
