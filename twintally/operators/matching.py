@@ -263,9 +263,9 @@ class Match:
             i_side = ik.alias("b").join(pk.alias("a"), keys, "left").select("p", "i")
             p_only = pk.join(ik.select(*keys).distinct(), keys, "left_anti").select("p", no_i)
             joined = i_side.unionByName(p_only)
-        # a NULL id never matches: those rows are remainders by construction
-        p_null = p.where(~F.coalesce(keyed, F.lit(False))).select("p", no_i)
-        i_null = i.where(~F.coalesce(keyed, F.lit(False))).select(no_p, "i")
+        # a NULL key part never matches: those rows are remainders by construction
+        p_null = p.where(~keyed).select("p", no_i)
+        i_null = i.where(~keyed).select(no_p, "i")
         t = joined.unionByName(p_null).unionByName(i_null)
         if self.persist:
             t = t.persist(StorageLevel.MEMORY_AND_DISK)
