@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twintally.llm import line_dedup, mixing, quality_trees
+from twintally.llm import genetic_packing, line_dedup, mixing, quality_trees, repair_tokens
 from twintally.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies; the same place on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.drop_boilerplate(docs, report=True)
@@ -23,4 +30,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.quality_report(docs, trees)
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op6_mixing, op9_quality)}
+def op5_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = repair_tokens.write_shards(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
+    return repair_tokens.read_shards(shards)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return genetic_packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_repair_tokens, op6_mixing, op9_quality, op10_packing)}
