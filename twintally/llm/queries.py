@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from twintally.llm import genetic_packing, line_dedup, mixing, quality_trees, repair_tokens
+from twintally.llm import (genetic_packing, html_density, line_dedup, mixing, quality_trees, repair_tokens,
+                           toxicity_knn)
 from twintally.llm.common import table
 
 
@@ -15,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.drop_boilerplate(docs, report=True)
@@ -24,6 +30,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~toxicity_knn.held_out(F.col("doc_id")))
+    model, counts = toxicity_knn.fit_toxicity(table(spark, sf_dir, "documents"), labels)
+    return toxicity_knn.toxicity_scores(counts, model)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trees = quality_trees.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -39,4 +51,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genetic_packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_repair_tokens, op6_mixing, op9_quality, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_html_text, op4_line_dedup, op5_repair_tokens, op6_mixing, op7_toxicity,
+                                     op9_quality, op10_packing)}

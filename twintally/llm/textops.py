@@ -61,17 +61,21 @@ class Chunk:
         first[-1] = True
         self.first = first
         self.ink = ~_SPACE[self.data]
-        before = np.zeros(len(self.data), bool)
-        before[1:] = self.ink[:-1]
-        before &= ~first[:-1]
-        self.starts = np.flatnonzero(self.ink & ~before)
-        after = np.zeros(len(self.data), bool)
-        after[:-1] = self.ink[1:]
-        after &= ~first[1:]
-        self.ends = np.flatnonzero(self.ink & ~after) + 1
-        self.word_doc = np.searchsorted(self.off, self.starts, side="right") - 1
+        self.starts, self.ends, self.word_doc = self.spans(self.ink)
         self.n_words = np.bincount(self.word_doc, minlength=self.n_docs).astype(np.int64)
 
+    def spans(self, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and document of every run of marked bytes inside one document."""
+        before = np.zeros(len(mask), bool)
+        before[1:] = mask[:-1]
+        before &= ~self.first[:-1]
+        starts = np.flatnonzero(mask & ~before)
+        after = np.zeros(len(mask), bool)
+        after[:-1] = mask[1:]
+        after &= ~self.first[1:]
+        ends = np.flatnonzero(mask & ~after) + 1
+        return starts, ends, np.searchsorted(self.off, starts, side="right") - 1
+
     def per_doc(self, mask: np.ndarray) -> np.ndarray:
         """How many bytes of each document the mask marks."""
         run = np.zeros(len(mask) + 1, np.int64)
