@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twintally.llm import (genetic_packing, html_density, line_dedup, mixing, quality_trees, repair_tokens,
-                           toxicity_knn)
+from twintally.llm import (genetic_packing, html_density, jaccard_groups, line_dedup, mixing, quality_trees,
+                           repair_tokens, toxicity_knn)
 from twintally.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_knn.toxicity_scores(counts, model)
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trees = quality_trees.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -52,4 +56,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op2_html_text, op4_line_dedup, op5_repair_tokens, op6_mixing, op7_toxicity,
-                                     op9_quality, op10_packing)}
+                                     op8_ngram_jaccard, op9_quality, op10_packing)}
