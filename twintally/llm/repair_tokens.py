@@ -266,13 +266,15 @@ def read_shards(shards: DataFrame) -> DataFrame:
                         crc[begin + k] = zlib.crc32(raw[4 * b:4 * e])
                         got[begin + k] = min(e, len(ids)) - b
                     begin = end
-                start = row["shard_start"].as_py() + np.cumsum(n) - n
+                start = np.cumsum(n) - n
                 m = len(n)
                 yield pa.RecordBatch.from_arrays(
                     [names, pa.array(start, pa.int64()), pa.array(got), pa.array(crc),
                      pa.array(np.full(m, row["part"].as_py(), np.int32)), pa.array(np.full(m, row["seq"].as_py(), np.int32))],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32", "part", "seq"])
+                    names=["doc_id", "in_shard", "n_tokens", "ids_crc32", "part", "seq"])
 
-    return (shards.join(starts, ["part", "seq"])
-            .select("part", "seq", "shard_start", "doc_ids", "n_tokens", "symbol_at", "rules", "rule_length", "symbols")
-            .mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long, part int, seq int"))
+    # shards are decoded where they lie; only the short rows of documents meet the starts
+    decoded = (shards.select("part", "seq", "doc_ids", "n_tokens", "symbol_at", "rules", "rule_length", "symbols")
+               .mapInArrow(run, f"doc_id {kind}, in_shard long, n_tokens long, ids_crc32 long, part int, seq int"))
+    return decoded.join(starts, ["part", "seq"]).select(
+        "doc_id", (F.col("shard_start") + F.col("in_shard")).alias("start"), "n_tokens", "ids_crc32", "part", "seq")
