@@ -57,4 +57,17 @@ SELECT doc_id, size, s AS source_size, target,
 FROM run
 """
 
-ORACLES = {"op4_line_dedup": LINE_DEDUP, "op6_mixing": MIXING}
+HAMMING = """
+WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 20 = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, e.vec_id AS neighbour_id,
+         list_sum(list_transform(range(1, 65), lambda i: CASE WHEN (q.embedding[i] > 0) <> (e.embedding[i] > 0) THEN 1 ELSE 0 END))
+           ::INTEGER AS distance
+  FROM q JOIN embeddings e ON e.vec_id <> q.vec_id
+  WHERE len(q.embedding) = 64 AND len(e.embedding) = 64),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, neighbour_id, distance FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op1_hamming_topk": HAMMING, "op4_line_dedup": LINE_DEDUP, "op6_mixing": MIXING}

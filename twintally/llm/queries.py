@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twintally.llm import (genetic_packing, html_density, jaccard_groups, line_dedup, mixing, quality_trees,
-                           repair_tokens, toxicity_knn)
+from twintally.llm import (genetic_packing, hamming_search, html_density, jaccard_groups, line_dedup, mixing,
+                           quality_trees, repair_tokens, separator_scan, toxicity_knn)
 from twintally.llm.common import table
 
 
@@ -17,10 +17,20 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), hamming_search.sign_code(F.col("embedding")).alias("code"))
+    return hamming_search.hamming_topk(codes, codes.where("id % 20 = 0"))
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_density.main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separator_scan.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=50256)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.drop_boilerplate(docs, report=True)
@@ -55,5 +65,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genetic_packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_html_text, op4_line_dedup, op5_repair_tokens, op6_mixing, op7_toxicity,
-                                     op8_ngram_jaccard, op9_quality, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_hamming_topk, op2_html_text, op3_token_counts, op4_line_dedup, op5_repair_tokens, op6_mixing, op7_toxicity,
+    op8_ngram_jaccard, op9_quality, op10_packing)}

@@ -47,10 +47,11 @@ def _byte_letters() -> dict[int, str]:
 class UnitTokenizer:
     """Encodes chunks of texts; holds the units met so far."""
 
-    def __init__(self, path: str, mode: str, table_units: int = TABLE_UNITS):
+    def __init__(self, path: str, mode: str, table_units: int = TABLE_UNITS, plain_specials: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain_specials    # their strings in a text are then ordinary text
         self.mode, self.table_units = mode, table_units
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
@@ -174,11 +175,12 @@ def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarra
     return np.insert(ids, run, end_id), sizes + 1
 
 
-_held: dict[tuple[str, str], UnitTokenizer] = {}
+_held: dict[tuple, UnitTokenizer] = {}
 
 
-def tokenizer_for(path: str, mode: str) -> UnitTokenizer:
+def tokenizer_for(path: str, mode: str, plain_specials: bool = False) -> UnitTokenizer:
     """The worker's tokenizer for a vocabulary file, kept between tasks."""
-    if (path, mode) not in _held:
-        _held[path, mode] = UnitTokenizer(path, mode)
-    return _held[path, mode]
+    key = (path, mode, plain_specials)
+    if key not in _held:
+        _held[key] = UnitTokenizer(path, mode, plain_specials=plain_specials)
+    return _held[key]
