@@ -25,8 +25,10 @@ No pair of documents is ever a row; group pairs are, and groups hold up to
 
 Defined cases: NULL, empty and word-free texts have an empty set, link with
 nothing and are their own component; repeated rows are members of one class;
-a repeated id with different texts counts with each; an empty table gives no
-rows; extra columns cannot clash, only doc_id and text are read.
+a repeated id with different texts counts with each; a row without an id is a
+member of the class of its equals but links with nothing else, and alone has a
+NULL component; an empty table gives no rows; extra columns pass through
+``keep_one`` and cannot clash, only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from twintally.llm.common import even_partitions, staged, text_chunks
 from twintally.llm.components import components
@@ -391,6 +394,11 @@ def matrix_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id that links reach)."""
+    return set_components(docs, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def set_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per document: doc_id, n, k1, k2 (its set) and component_id."""
     described = describe(docs)
     classes = set_classes(described)
     stars = star_candidates(classes)
@@ -424,4 +432,38 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                                               "component_id")
     same = (F.col("n") == F.col("cn")) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2"))
     return described.join(ids, same, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n", "k1", "k2", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT, broadcast_ids: int = 5 * BROADCAST_CLASSES) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest doc_id; texts without words stay.
+
+    Only the ids to drop travel, by broadcast while they are few (counted
+    first), else by a join. Rows without an id, or of an id that several rows
+    carry, are told apart by their sets: one row of each id and set can stay.
+    """
+    def few(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= broadcast_ids else ids
+
+    found = staged(set_components(docs, percent), "jac-found")
+    drop = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__jac_id")).distinct(), "jac-drop")
+    shared = staged(found.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 or doc_id is null")
+                    .select(F.col("doc_id").alias("__jac_id")), "jac-shared")
+    same_id = F.col("doc_id").eqNullSafe(F.col("__jac_id"))
+    if not shared.take(1):
+        return docs.join(few(drop), same_id, "left_anti")
+    alone = docs.join(few(shared), same_id, "left_anti").join(few(drop), same_id, "left_anti")
+    rest = docs.join(few(shared), same_id, "left_semi")
+    def add_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, col in text_chunks(batch, "text"):
+                keys = set_keys(*token_sets(col)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())],
+                                                 names=[*rows.schema.names, "__jac_k1", "__jac_k2"])
+
+    kinds = StructType([*docs.schema.fields, StructField("__jac_k1", LongType()), StructField("__jac_k2", LongType())])
+    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__jac_id"), F.col("k1").alias("__jac_1"),
+                                                         F.col("k2").alias("__jac_2")).distinct()
+    keyed = rest.mapInArrow(add_keys, kinds).join(
+        kept, same_id & (F.col("__jac_k1") == F.col("__jac_1")) & (F.col("__jac_k2") == F.col("__jac_2")), "left_semi")
+    return alone.unionByName(keyed.dropDuplicates(["doc_id", "__jac_k1", "__jac_k2"]).drop("__jac_k1", "__jac_k2"))
