@@ -56,11 +56,11 @@ def statistics(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     breaks = c.first[:-1].copy()
     breaks[1:] |= d[:-1] == 10
     line_start = np.flatnonzero(breaks)
-    stop = np.append(line_start[1:], len(d))
-    line_end = stop - ((d[stop - 1] == 10) if len(stop) else 0)
+    stop = np.append(line_start[1:], len(d))[:len(line_start)]
+    line_end = stop - (d[stop - 1] == 10)
     ink = np.zeros(len(d) + 1, np.int64)
     np.cumsum(c.ink, out=ink[1:])
-    worded = ink[line_end] > ink[line_start] if len(line_start) else np.zeros(0, bool)
+    worded = ink[line_end] > ink[line_start]
     line_start, line_end = line_start[worded], line_end[worded]
     line_doc = np.searchsorted(c.off, line_start, side="right") - 1
     lines = np.bincount(line_doc, minlength=c.n_docs)
