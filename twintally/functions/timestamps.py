@@ -32,14 +32,6 @@ def parse_offset(raw, pattern: str = "yyyy-MM-dd'T'HH:mm:ssXXX") -> Column:
     return parse_with_pattern(raw, pattern)
 
 
-def parse_zulu(raw, pattern: str = "yyyy-MM-dd'T'HH:mm:ss'Z'") -> Column:
-    """ISO text ending in ``Z``. The quoted literal is read as the offset
-    pattern ``XXX`` so the result does not depend on the session zone."""
-    if pattern.endswith("'Z'"):
-        pattern = pattern[: -len("'Z'")] + "XXX"
-    return parse_with_pattern(raw, pattern)
-
-
 def parse_naive(raw, pattern: str) -> Column:
     """Zone-less local text -> wall-clock timestamp (zone applied later)."""
     return parse_with_pattern(raw, pattern)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FEEDS, FeedSpec
-from ..functions.money import AMOUNT_TYPE
+from ..functions.money import cast_amount
 from ..functions.timestamps import business_date as to_business_date
 from ..functions.timestamps import parse_feed_time
 from ..sources.landing import scan_feed
@@ -179,7 +179,7 @@ def normalize_partner(bronze: DataFrame, feeds: dict = FEEDS) -> DataFrame:
     """Bronze -> canonical rows with quarantine reasons (not yet filtered)."""
     t = normalize_columns(bronze, feeds)
     utc, local = parse_times(feeds)
-    amount = F.col("amount").try_cast(AMOUNT_TYPE)
+    amount = cast_amount("amount")
     t = t.select(
         "operator_code", "partner_txn_id", "msisdn_or_account",
         map_txn_type(feeds).alias("txn_type"),

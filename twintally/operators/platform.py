@@ -16,7 +16,7 @@ from pyspark.sql.types import (DateType, DoubleType, LongType, StringType, Struc
                                TimestampType)
 
 from ..config import CDC_TABLES, CHARGING_SUB_STATUSES, OPERATORS
-from ..functions.money import AMOUNT_TYPE, zero_amount
+from ..functions.money import cast_amount, zero_amount
 from ..functions.timestamps import business_date
 from ..sources.landing import scan_json_cdc
 from .matching import filter_dates
@@ -119,7 +119,7 @@ def platform_sub_initial(si: DataFrame) -> DataFrame:
         F.col("sub_id").alias("platform_event_id"),
         F.lit("subscription_success").alias("event_type"),
         "sub_id", "user_id", "partner_txn_id", "plan_id",
-        F.col("amount").try_cast(AMOUNT_TYPE).alias("amount"),
+        cast_amount("amount").alias("amount"),
         F.try_to_timestamp(F.col("created_ts")).alias("event_ts_utc"))
 
 
@@ -130,7 +130,7 @@ def platform_recursion_success(rs: DataFrame) -> DataFrame:
         F.lit("recursion_success").alias("event_type"),
         "sub_id", "user_id", "partner_txn_id",
         F.lit(None).cast("string").alias("plan_id"),
-        F.col("amount").try_cast(AMOUNT_TYPE).alias("amount"),
+        cast_amount("amount").alias("amount"),
         F.try_to_timestamp(F.col("recurrence_ts")).alias("event_ts_utc"))
 
 

@@ -22,7 +22,7 @@ def fact_breaks(partner: DataFrame, platform: DataFrame, churn: DataFrame | None
                 cfg: ReconConfig = DEFAULT_RECON, dates=None, run_ts=None) -> DataFrame:
     """One row per matched pair, unmatched partner row, or unmatched platform row."""
     m = matcher(partner, platform, cfg, dates, slim=True)
-    return finish_fact(m.classified, churn, cfg, run_ts)
+    return m.release_with(finish_fact(m.classified, churn, cfg, run_ts))
 
 
 def status_summary(fact: DataFrame) -> DataFrame:

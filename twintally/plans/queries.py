@@ -20,7 +20,7 @@ from ..operators import normalize as N
 from ..operators import overlays
 from ..operators import platform as PL
 from ..operators import quality as Q
-from ..operators.matching import Match
+from ..operators.matching import DateRange, Match
 from ..operators.reconcile import fact_breaks, status_summary
 from ..session import scratch_path
 from ..sinks import partitions as K
@@ -51,6 +51,12 @@ def _match(spark, sf_dir, cfg: ReconConfig = DEFAULT_RECON) -> Match:
     return Match(f.partner_events(), f.platform_events(), cfg)
 
 
+def _piece(spark, sf_dir, name: str, cfg: ReconConfig = DEFAULT_RECON) -> DataFrame:
+    """One piece of a match; what it has cached goes when the piece goes."""
+    m = _match(spark, sf_dir, cfg)
+    return m.release_with(getattr(m, name))
+
+
 def _fact(spark, sf_dir, cfg: ReconConfig = DEFAULT_RECON) -> DataFrame:
     f = _fx(spark, sf_dir)
     return fact_breaks(f.partner_events(), f.platform_events(), f.churn(), cfg, run_ts=O.RUN_TS)
@@ -74,37 +80,37 @@ def q_status_summary(spark, sf_dir):
 
 @register("match_strong", O.engine(f"SELECT {O.PAIR_COLS} FROM o_strong"))
 def q_match_strong(spark, sf_dir):
-    return _match(spark, sf_dir).strong
+    return _piece(spark, sf_dir, "strong")
 
 
 @register("partner_unmatched", O.engine("SELECT * FROM o_pleft"))
 def q_partner_unmatched(spark, sf_dir):
-    return _match(spark, sf_dir).partner_left
+    return _piece(spark, sf_dir, "partner_left")
 
 
 @register("platform_unmatched", O.engine("SELECT * FROM o_ileft"))
 def q_platform_unmatched(spark, sf_dir):
-    return _match(spark, sf_dir).platform_left
+    return _piece(spark, sf_dir, "platform_left")
 
 
 @register("match_fallback", O.engine(f"SELECT {O.PAIR_COLS} FROM o_fallback"))
 def q_match_fallback(spark, sf_dir):
-    return _match(spark, sf_dir).fallback
+    return _piece(spark, sf_dir, "fallback")
 
 
 @register("match_fallback_windowed", O.engine(f"SELECT {O.PAIR_COLS} FROM o_fallback", window=1))
 def q_match_fallback_windowed(spark, sf_dir):
-    return _match(spark, sf_dir, ReconConfig(fallback_window_days=1)).fallback
+    return _piece(spark, sf_dir, "fallback", ReconConfig(fallback_window_days=1))
 
 
 @register("missing_on_platform", O.engine(f"SELECT {O.PAIR_COLS} FROM o_mop"))
 def q_missing_on_platform(spark, sf_dir):
-    return _match(spark, sf_dir).missing_on_platform
+    return _piece(spark, sf_dir, "missing_on_platform")
 
 
 @register("missing_at_partner", O.engine(f"SELECT {O.PAIR_COLS} FROM o_map"))
 def q_missing_at_partner(spark, sf_dir):
-    return _match(spark, sf_dir).missing_at_partner
+    return _piece(spark, sf_dir, "missing_at_partner")
 
 
 @register("churned_users", O.fx(
@@ -121,7 +127,7 @@ def q_churned_users(spark, sf_dir):
 def q_overlay_orphan_churn(spark, sf_dir):
     f = _fx(spark, sf_dir)
     m = Match(f.partner_events(), f.platform_events())
-    return overlays.overlay_orphan_churn(m.classified, f.churn())
+    return m.release_with(overlays.overlay_orphan_churn(m.classified, f.churn()))
 
 
 @register("overlay_late_arrival", O.engine(f"SELECT {O.FACT_COLS} FROM o_fact WHERE is_late_arrival"))
@@ -133,7 +139,7 @@ def q_overlay_late_arrival(spark, sf_dir):
     "SELECT business_date, operator_code, partner_txn_id, platform_event_id, partner_amount, internal_amount, "
     f"{O.match_sql('partner_amount', 'internal_amount')} AS within_tolerance FROM o_strong"))
 def q_amount_tolerance(spark, sf_dir):
-    s = _match(spark, sf_dir).strong
+    s = _piece(spark, sf_dir, "strong")
     return s.select("business_date", "operator_code", "partner_txn_id", "platform_event_id",
                     "partner_amount", "internal_amount",
                     money.amounts_match(F.col("partner_amount"), F.col("internal_amount")).alias("within_tolerance"))
@@ -471,7 +477,7 @@ def q_silver_partner_events(spark, sf_dir):
 @register("filter_business_dates", O.fx(
     f"SELECT * FROM fx_partner WHERE business_date BETWEEN DATE '{WEEK[0]}' AND DATE '{WEEK[1]}'"))
 def q_filter_business_dates(spark, sf_dir):
-    return N.silver_partner_events(_bronze(spark, sf_dir), dates=WEEK)
+    return N.silver_partner_events(_bronze(spark, sf_dir), dates=DateRange(*WEEK))
 
 
 @register("latest_arrival", O.fx("SELECT * FROM fx_partner"))
@@ -748,7 +754,8 @@ def q_stream_restate_on_arrival(spark, sf_dir):
 def q_match_fallback_one_to_one(spark, sf_dir):
     f = _fx(spark, sf_dir)
     from ..operators.reconcile import matcher
-    return matcher(f.partner_events(), f.platform_events(), ReconConfig(pairing="one_to_one")).fallback
+    m = matcher(f.partner_events(), f.platform_events(), ReconConfig(pairing="one_to_one"))
+    return m.release_with(m.fallback)
 
 
 @register("dq_matched_balanced_tolerance", O.engine(
