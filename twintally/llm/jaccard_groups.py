@@ -43,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from twintally.llm.common import even_partitions, staged, text_chunks
+from twintally.llm.common import staged, text_chunks
 from twintally.llm.components import components
 from twintally.llm.textops import Chunk, mix64
 from twintally.llm.unit_tokens import ranges
@@ -56,6 +56,8 @@ GROUP_MEMBERS = 128
 GROUP_TOKENS = 100_000
 #: tokens of one packed bucket, about
 BUCKET_TOKENS = 1_000_000
+#: packed buckets at least: so many that a set's shared tokens seldom meet in one, at any size of the input
+LEAST_BUCKETS = 512
 #: classes whose keys are broadcast to pick their texts; beyond it the texts are joined by shuffle
 BROADCAST_CLASSES = 200_000
 _U = np.uint64
@@ -231,7 +233,7 @@ def sharing_classes(docs: DataFrame, described: DataFrame, percent: int = PERCEN
     where no pair is formed, only counted. Returns (tag, shared).
     """
     total = described.agg(F.sum("n")).first()[0] or 0
-    buckets = max(even_partitions(docs.sparkSession), -(-total // (2 * bucket_tokens)))
+    buckets = max(LEAST_BUCKETS, -(-total // (2 * bucket_tokens)))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
