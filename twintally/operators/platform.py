@@ -91,27 +91,38 @@ def read_cdc(spark: SparkSession, root: str, table: str, dates=None, ingested_at
         return spark.createDataFrame([], st)
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f)
+        out = out.unionByName(f, allowMissingColumns=True)
     return out
 
 
-def latest_image(changes: DataFrame, keys) -> DataFrame:
-    """Latest change per primary key (by arrival date, then all columns as a
-    total tie-break): what applying the change files in order leaves behind.
-    Rows with a NULL key are inserts that never match and are all kept."""
+def latest_image(changes: DataFrame, keys, event_ts: str | None = None) -> DataFrame:
+    """Latest change per primary key: by arrival date, then event time when
+    named, then all columns as a total tie-break. This is what applying the
+    change files in order leaves behind. Rows with a NULL key are inserts that
+    never match and are all kept."""
     keys = list(keys)
-    rest = [c for c in changes.columns if c not in keys and c != "file_arrival_date"]
+    order = [c for c in ("file_arrival_date", event_ts) if c and c not in keys]
+    rest = [c for c in changes.columns if c not in keys and c not in order]
     has_key = None
     for k in keys:
         c = F.col(k).isNotNull()
         has_key = c if has_key is None else has_key & c
-    order = F.col("file_arrival_date").isNotNull()
+    lead = [x for k, c in enumerate(order) for x in (F.col(c).isNotNull().alias(f"_o{k}"), F.col(c))]
     keyed = (changes.where(has_key).groupBy(*keys)
-             .agg(F.max(F.struct(order.alias("_a"), F.col("file_arrival_date"), *rest)).alias("_r"))
-             .select(*keys, "_r.file_arrival_date", *[F.col(f"_r.{c}") for c in rest]))
+             .agg(F.max(F.struct(*lead, *rest)).alias("_r"))
+             .select(*keys, *[F.col(f"_r.{c}") for c in [*order, *rest]]))
     return keyed.unionByName(changes.where(~has_key)).select(*changes.columns)
 
 
+def quarantined_changes(image: DataFrame, spec) -> DataFrame:
+    """Change rows that no event can be made of: their time does not parse, so
+    they belong to no date. Raw text is kept next to the reason."""
+    key = next(k for k in spec.keys if k != "operator_code")
+    return image.where(F.try_to_timestamp(F.col(spec.event_ts)).isNull()).select(
+        "operator_code", F.col(key).alias("change_id"), "file_arrival_date", F.col(spec.event_ts).alias("raw_time"),
+        F.lit("unparsable_time").alias("reason"), "event_date")
+
+
 def platform_sub_initial(si: DataFrame) -> DataFrame:
     """Charge attempts only (active / pending) -> subscription_success."""
     return si.where(F.col("status").isin(*CHARGING_SUB_STATUSES)).select(

@@ -3,10 +3,12 @@
 
 Each layer is written with the partition sinks, which also cuts the plan
 lineage between layers (every layer reads the previous one from storage).
-A run derives the business dates touched by the newly arrived rows and
-restates exactly those dates in silver, gold and the daily mart, so a late
-file folds into its original day and re-running any set of dates gives the
-same tables.
+A run derives every business date whose result the arrivals can change and
+restates exactly those dates in silver, gold and the daily mart: dates of the
+rows that arrived, dates that a re-delivered file no longer holds, dates that
+held an older version of a changed event, and dates with events of users whose
+churn became known. So arrivals taken one by one, in any order, or all at once
+give the same tables.
 """
 
 from __future__ import annotations
@@ -23,12 +25,14 @@ from ..config import CDC_TABLES, DEFAULT_RECON, FEEDS, OPERATORS, ReconConfig
 from ..operators import marts as M
 from ..operators import normalize as N
 from ..operators import platform as PL
+from ..operators.matching import filter_dates
 from ..operators.overlays import finish_fact
 from ..operators.reconcile import matcher
 from ..session import configure
-from ..sinks.partitions import full_overwrite, merge_upsert, observed, read_table, replace_partitions
+from ..sinks.partitions import (NULL_PARTITION, full_overwrite, in_partitions, merge_upsert, observed, read_table,
+                                replace_partitions)
 from ..sources.landing import landing_paths
-from ..sources.tables import list_names, table_exists
+from ..sources.tables import list_dirs, list_names, read_optional_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -50,6 +54,15 @@ class Lake:
         """(operator_code, file_arrival_date) -> business dates held."""
         return self.path("bronze", "operator_feeds_arrival_index")
 
+    @property
+    def quarantine_partner(self):
+        """Partner rows that did not parse, by arrival date."""
+        return self.path("silver", "quarantine_partner")
+
+    def quarantine_cdc(self, table: str):
+        """Change rows that did not parse, by operator and event date."""
+        return self.path("silver", f"quarantine_{table}")
+
     @property
     def silver_partner(self):
         return self.path("silver", "partner_events")
@@ -102,17 +115,35 @@ def landed_arrival_dates(spark: SparkSession, landing: dict) -> list:
 # Bronze
 # ---------------------------------------------------------------------------
 
-INDEX_SCHEMA = "operator_code string, file_arrival_date date, business_date date, ingest_seq bigint"
+INDEX_SCHEMA = ("operator_code string, file_arrival_date date, business_date date, ingest_seq bigint, "
+                "complete boolean")
 
 
 def read_arrival_index(spark: SparkSession, lake: Lake) -> DataFrame:
     """The latest index entry set per (operator, arrival date): the log is
-    append-only, a re-ingested arrival partition supersedes older entries."""
-    log = read_table(spark, lake.arrival_index)
+    append-only, a re-ingested arrival partition supersedes older entries. An
+    entry that is not ``complete`` was left by a run that ended between bronze
+    and index: what its partition holds is unknown."""
+    log = read_table(spark, lake.arrival_index, INDEX_SCHEMA)
     latest = log.groupBy("operator_code", "file_arrival_date").agg(F.max("ingest_seq").alias("ingest_seq"))
     return log.join(latest, ["operator_code", "file_arrival_date", "ingest_seq"], "left_semi")
 
 
+def _append_index(spark: SparkSession, lake: Lake, entries: list[tuple]) -> None:
+    spark.createDataFrame(entries, INDEX_SCHEMA).coalesce(1).write.mode("append").parquet(lake.arrival_index)
+
+
+def bronze_partitions(spark: SparkSession, lake: Lake) -> set[tuple]:
+    """(operator, arrival date) partitions of bronze, from the folder names."""
+    out = set()
+    for op in list_dirs(spark, lake.bronze_feeds):
+        if op.startswith("operator_code="):
+            for d in list_dirs(spark, f"{lake.bronze_feeds}/{op}"):
+                value = d.split("=", 1)[1]
+                out.add((op.split("=", 1)[1], None if value == NULL_PARTITION else _dt.date.fromisoformat(value)))
+    return out
+
+
 def ingest_operator_feeds(spark: SparkSession, feeds_root: str, lake: Lake, arrival_dates,
                           ingested_at=None) -> dict:
     """Replace the (operator, arrival date) partitions that received files.
@@ -124,7 +155,7 @@ def ingest_operator_feeds(spark: SparkSession, feeds_root: str, lake: Lake, arri
     """
     declared = []
     for op, feed in FEEDS.items():
-        for d in _batch_dates(landing_paths(spark, f"{feeds_root}/{op}", op, arrival_dates), op):
+        for d in _batch_dates(landing_paths(spark, f"{feeds_root}/{op}", op, arrival_dates, feed.file_glob), op):
             declared.append((op, d))
     if not declared:
         return {"rows": 0, "business_dates": []}
@@ -133,14 +164,21 @@ def ingest_operator_feeds(spark: SparkSession, feeds_root: str, lake: Lake, arri
     tagged = (bronze.withColumn("_bd", N.business_date_of_raw(bronze.columns))
               .observe(obs, F.collect_set(F.struct("operator_code", "file_arrival_date", "_bd")).alias("idx"))
               .drop("_bd"))
-    log = replace_partitions(tagged, lake.bronze_feeds, ["operator_code", "file_arrival_date"], declared)
+    superseded = []
+    if table_exists(spark, lake.arrival_index):
+        held = read_arrival_index(spark, lake).where(in_partitions(["operator_code", "file_arrival_date"], declared))
+        superseded = [r[0] for r in held.select("business_date").distinct().collect()]
+    # the index says "unknown" until bronze is in place and its content known
     seq = time.time_ns()
-    idx = [tuple(r) + (seq,) for r in (observed(obs).get("idx") or []) if r[2] is not None]
+    _append_index(spark, lake, [(op, d, None, seq, False) for op, d in declared])
+    log = replace_partitions(tagged, lake.bronze_feeds, ["operator_code", "file_arrival_date"], declared)
+    found = {tuple(r) for r in (observed(obs).get("idx") or []) if r[2] is not None}
     # declared partitions that ended up empty still get an entry (no dates)
-    seen = {(r[0], r[1]) for r in idx}
-    idx += [(op, d, None, seq) for op, d in declared if (op, d) not in seen]
-    spark.createDataFrame(idx, INDEX_SCHEMA).coalesce(1).write.mode("append").parquet(lake.arrival_index)
-    log["business_dates"] = sorted({r[2] for r in idx if r[2] is not None})
+    found |= {(op, d, None) for op, d in declared if (op, d) not in {r[:2] for r in found}}
+    _append_index(spark, lake, [(*r, seq + 1, True) for r in found])
+    # a re-delivered partition may have lost rows: the dates it held count too
+    log["business_dates"] = sorted({r[2] for r in found if r[2] is not None} | {d for d in superseded if d is not None})
+    log["arrivals"] = declared
     return log
 
 
@@ -156,72 +194,102 @@ def ingest_cdc(spark: SparkSession, internal_root: str, lake: Lake, arrival_date
     for t, spec in CDC_TABLES.items():
         changes = PL.read_cdc(spark, internal_root, t, dates=arrival_dates, ingested_at=ingested_at)
         changes = changes.withColumn("event_date", F.to_date(F.try_to_timestamp(F.col(spec.event_ts))))
-        out[t] = merge_upsert(changes, lake.bronze_cdc(t), spec.keys, CDC_PARTITIONS)
+        out[t] = merge_upsert(changes, lake.bronze_cdc(t), spec.keys, CDC_PARTITIONS,
+                              ["file_arrival_date", spec.event_ts])
     return out
 
 
-def touched_business_dates(spark: SparkSession, landing: dict, arrival_dates, partner_dates=None,
-                           lake: Lake | None = None) -> list:
-    """Business dates of the rows that arrived on the given dates (both
-    sides): the dates whose silver, gold and daily mart must be restated.
-
-    Partner dates come from the bronze write (observed, ``partner_dates``) or
-    else from the new bronze partitions; platform dates from the arrived
-    change files themselves, never from the accumulated change history. The
-    result is one row per date, so collecting it is bounded."""
-    frames = []
-    if partner_dates is not None:
-        frames.append(spark.createDataFrame([(d,) for d in partner_dates], "business_date date"))
-    elif lake is not None and table_exists(spark, lake.bronze_feeds):
-        ad = [F.lit(_dt.date.fromisoformat(str(d)).isoformat()).cast("date") for d in arrival_dates]
-        b = read_table(spark, lake.bronze_feeds).where(F.col("file_arrival_date").isin(ad))
-        frames.append(N.normalize_partner(b).select("business_date"))
-    for t, ts_col in (("sub_initial", "created_ts"), ("sub_recursion_success", "recurrence_ts"),
-                      ("sub_recursion_failure", "attempt_ts")):
-        c = PL.read_cdc(spark, landing["internal"], t, dates=arrival_dates)
-        frames.append(c.select(F.to_date(F.try_to_timestamp(F.col(ts_col))).alias("business_date")))
-    if not frames:
-        return []
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f)
-    return sorted(r[0] for r in u.where(F.col("business_date").isNotNull()).distinct().collect())
+def cdc_image_schema(table: str):
+    """Contract of a stored change-table image."""
+    fields = PL.CDC_SCHEMAS[table].fields + PL.schema_of(
+        "file_arrival_date date, _ingested_at timestamp, event_date date").fields
+    return type(PL.CDC_SCHEMAS[table])(fields)
+
+
+def cdc_image(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """The image of a change table; typed and empty when none has arrived."""
+    return read_optional_table(spark, lake.bronze_cdc(table), cdc_image_schema(table))
+
+
+EVENT_TABLES = ("sub_initial", "sub_recursion_success", "sub_recursion_failure")
+
+
+def touched_business_dates(spark: SparkSession, landing: dict, arrival_dates, bronze_log: dict, cdc_log: dict,
+                           lake: Lake) -> list:
+    """Business dates whose results the arrivals can change; restated in full.
+
+    * partner: dates held by the arrived partitions, now or before (the log);
+    * platform: event dates of the rewritten image partitions, which are those
+      of new versions and of the older versions they replace;
+    * churn: dates on which a user whose churn arrived has platform events.
+
+    One row per date, so collecting it is bounded."""
+    dates = set(bronze_log.get("business_dates", []))
+    for t in EVENT_TABLES:
+        dates |= {p[CDC_PARTITIONS.index("event_date")] for p in cdc_log[t].get("partitions", [])}
+    churned = PL.read_cdc(spark, landing["internal"], "user_churn_events", dates=arrival_dates)
+    users = churned.select("user_id", "operator_code").distinct()
+    for t in EVENT_TABLES:
+        hit = cdc_image(spark, lake, t).join(users, ["user_id", "operator_code"], "left_semi")
+        dates |= {r[0] for r in hit.select("event_date").distinct().collect()}
+    return sorted(d for d in dates if d is not None)
 
 
 # ---------------------------------------------------------------------------
 # Silver, gold, marts for a set of business dates
 # ---------------------------------------------------------------------------
 
-def build_silver_partner(spark: SparkSession, lake: Lake, dates, lookback_days: int = 1,
-                         cfg: ReconConfig = DEFAULT_RECON) -> dict:
-    """Read only the bronze arrival partitions that hold rows of the dates
-    (from the arrival index). Without an index, or when ranking across dates,
-    rows of the dates can only have arrived on or after the earliest date
-    minus the largest zone shift (one day), so older partitions are pruned."""
+def partner_contract(spark: SparkSession):
+    """Schema of the silver partner stream (from the operator itself)."""
+    raw = sorted({c for f in FEEDS.values() for c in f.raw_columns} - {"operator_code", "file_arrival_date"})
+    empty = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in raw) + ", operator_code string, file_arrival_date date")
+    return N.silver_partner_events(empty).schema
+
+
+def platform_contract(spark: SparkSession):
+    """Schema of the silver platform stream."""
+    return PL.silver_platform_events(*[spark.createDataFrame([], cdc_image_schema(t)) for t in EVENT_TABLES]).schema
+
+
+def build_silver_partner(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig = DEFAULT_RECON) -> dict:
+    """Restate silver partner dates from the bronze partitions that hold rows
+    of them, by the arrival index; partitions the index knows nothing certain
+    about are read too. Ranking across dates needs every version of a
+    transaction, wherever it arrived, and reads all of bronze."""
+    if not table_exists(spark, lake.bronze_feeds):
+        return {"rows": 0, "partitions_written": 0, "partitions_cleared": 0}
     bronze = read_table(spark, lake.bronze_feeds)
-    parts = None
     if table_exists(spark, lake.arrival_index) and not cfg.rank_before_date_filter:
-        from ..operators.matching import filter_dates
-        parts = [tuple(r) for r in filter_dates(read_arrival_index(spark, lake), dates)
-                 .select("operator_code", "file_arrival_date").distinct().collect()]
-    if parts is not None:
-        cond = F.lit(False)
-        for op, ad in parts:
-            cond = cond | ((F.col("operator_code") == op)
-                           & (F.col("file_arrival_date") == F.lit(ad.isoformat()).cast("date")))
-        bronze = bronze.where(cond)
-    else:
-        lo = min(dates) - _dt.timedelta(days=lookback_days)
-        bronze = bronze.where(F.col("file_arrival_date") >= F.lit(lo.isoformat()).cast("date"))
+        index = read_arrival_index(spark, lake)
+        sure = {tuple(r) for r in index.where("complete").select("operator_code", "file_arrival_date").distinct().collect()}
+        hold = {tuple(r) for r in filter_dates(index.where("complete"), dates)
+                .select("operator_code", "file_arrival_date").distinct().collect()}
+        parts = sorted(hold | (bronze_partitions(spark, lake) - sure), key=str)
+        bronze = bronze.where(in_partitions(["operator_code", "file_arrival_date"], parts))
     silver = N.silver_partner_events(bronze, dates=dates, rank_before_date_filter=cfg.rank_before_date_filter)
     return replace_partitions(silver, lake.silver_partner, ["business_date"], [(d,) for d in dates])
 
 
+def build_quarantine(spark: SparkSession, lake: Lake, arrivals, cdc_log: dict) -> dict:
+    """Rows of the arrivals that no silver table can hold, with the reason and
+    the raw text: partner rows by arrival partition, change rows by image
+    partition (rows without a readable event time lie in the NULL date)."""
+    out = {}
+    if arrivals:
+        keys = ["operator_code", "file_arrival_date"]
+        bronze = read_table(spark, lake.bronze_feeds).where(in_partitions(keys, arrivals))
+        out["partner"] = replace_partitions(N.quarantined(N.normalize_partner(bronze)), lake.quarantine_partner, keys, arrivals)
+    for t, spec in CDC_TABLES.items():
+        parts = cdc_log[t].get("partitions", [])
+        if parts:
+            image = cdc_image(spark, lake, t).where(in_partitions(CDC_PARTITIONS, parts))
+            out[t] = replace_partitions(PL.quarantined_changes(image, spec), lake.quarantine_cdc(t), CDC_PARTITIONS, parts)
+    return out
+
+
 def _images(spark: SparkSession, lake: Lake, dates=None):
     """Change-table images, pruned to the event dates when given."""
-    from ..operators.matching import filter_dates
-    return tuple(filter_dates(read_table(spark, lake.bronze_cdc(t)), dates, "event_date")
-                 for t in ("sub_initial", "sub_recursion_success", "sub_recursion_failure"))
+    return tuple(filter_dates(cdc_image(spark, lake, t), dates, "event_date") for t in EVENT_TABLES)
 
 
 def build_silver_platform(spark: SparkSession, lake: Lake, dates) -> dict:
@@ -230,13 +298,17 @@ def build_silver_platform(spark: SparkSession, lake: Lake, dates) -> dict:
     return replace_partitions(ev, lake.silver_platform, ["business_date"], [(d,) for d in dates])
 
 
+def silver_partner(spark: SparkSession, lake: Lake) -> DataFrame:
+    return read_optional_table(spark, lake.silver_partner, partner_contract(spark))
+
+
+def silver_platform(spark: SparkSession, lake: Lake) -> DataFrame:
+    return read_optional_table(spark, lake.silver_platform, platform_contract(spark))
+
+
 def build_gold(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig = DEFAULT_RECON, run_ts=None) -> dict:
-    partner = read_table(spark, lake.silver_partner)
-    platform = read_table(spark, lake.silver_platform)
-    churn = None
-    if table_exists(spark, lake.bronze_cdc("user_churn_events")):
-        churn = PL.churn_events(read_table(spark, lake.bronze_cdc("user_churn_events")))
-    m = matcher(partner, platform, cfg, dates, slim=True)
+    churn = PL.churn_events(cdc_image(spark, lake, "user_churn_events"))
+    m = matcher(silver_partner(spark, lake), silver_platform(spark, lake), cfg, dates, slim=True)
     try:
         fact = finish_fact(m.classified, churn, cfg, run_ts)
         return replace_partitions(fact, lake.fact, ["business_date"], [(d,) for d in dates])
@@ -246,9 +318,8 @@ def build_gold(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig = DEFAUL
 
 def daily_mart_for(spark: SparkSession, lake: Lake, dates, built_at=None) -> DataFrame:
     """The daily mart restricted to the touched dates (incremental build)."""
-    from ..operators.matching import filter_dates
-    p = M.stg_partner_events(filter_dates(read_table(spark, lake.silver_partner), dates))
-    i = M.stg_platform_events(filter_dates(read_table(spark, lake.silver_platform), dates))
+    p = M.stg_partner_events(filter_dates(silver_partner(spark, lake), dates))
+    i = M.stg_platform_events(filter_dates(silver_platform(spark, lake), dates))
     f = M.stg_reconciliation_break(filter_dates(read_table(spark, lake.fact), dates))
     return M.mart_daily(p, i, f, built_at=built_at)
 
@@ -272,8 +343,9 @@ def restate(spark: SparkSession, landing: dict, lake: Lake, arrival_dates=None,
     log = {"arrival_dates": len(arrival_dates)}
     log["bronze_feeds"] = ingest_operator_feeds(spark, landing["operator_feeds"], lake, arrival_dates, run_ts)
     log["bronze_cdc"] = ingest_cdc(spark, landing["internal"], lake, arrival_dates, run_ts)
-    dates = touched_business_dates(spark, landing, arrival_dates, log["bronze_feeds"].get("business_dates"), lake)
+    dates = touched_business_dates(spark, landing, arrival_dates, log["bronze_feeds"], log["bronze_cdc"], lake)
     log["business_dates"] = len(dates)
+    log["quarantine"] = build_quarantine(spark, lake, log["bronze_feeds"].get("arrivals"), log["bronze_cdc"])
     if dates:
         log["silver_partner"] = build_silver_partner(spark, lake, dates, cfg=cfg)
         log["silver_platform"] = build_silver_platform(spark, lake, dates)

@@ -505,7 +505,7 @@ def _cdc(spark, sf_dir, table, dates=None):
 
 
 def _image(spark, sf_dir, table):
-    return PL.latest_image(_cdc(spark, sf_dir, table), CDC_TABLES[table].keys)
+    return PL.latest_image(_cdc(spark, sf_dir, table), CDC_TABLES[table].keys, CDC_TABLES[table].event_ts)
 
 
 @register("scan_json_cdc", O.fx(

@@ -8,8 +8,9 @@ swaps only the partitions present in the output at job commit. On top of it:
   (dynamic mode alone would leave them stale) and fails the job, before commit,
   if any row lies outside the declared partitions;
 * ``merge_upsert`` computes the merged image of the touched partitions,
-  checkpoints it to the shared checkpoint folder (cutting the lineage back to
-  the files it is about to replace), then replaces those partitions.
+  writes it to the shared checkpoint folder (cutting the lineage back to the
+  files it is about to replace), replaces those partitions, and removes the
+  staged copy.
 
 There is no atomicity across partitions; a failed job leaves the previous
 files of every partition it did not commit, and re-running it is idempotent.
@@ -23,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, configure
+from ..session import configure, scratch_path
 from ..sources.tables import delete_path, list_dirs, table_exists
 
 
@@ -61,15 +62,32 @@ def _lit(v) -> Column:
     return F.lit(v)
 
 
-def _in_partitions(partition_by: Sequence[str], tuples: list[tuple]) -> Column:
-    cond = None
+def in_partitions(partition_by: Sequence[str], tuples: list[tuple]) -> Column:
+    """Whether a row lies in one of the partitions.
+
+    One ``IN`` list of the last column per combination of the others, combined
+    as a balanced tree: thousands of partitions stay a shallow expression that
+    still prunes partitions.
+    """
+    groups: dict[tuple, list] = {}
     for t in tuples:
-        c = None
-        for col, v in zip(partition_by, t):
-            e = F.col(col).isNull() if v is None else F.col(col) == _lit(v)
-            c = e if c is None else c & e
-        cond = c if cond is None else cond | c
-    return cond if cond is not None else F.lit(False)
+        groups.setdefault(tuple(t[:-1]), []).append(t[-1])
+
+    def equals(col: str, v) -> Column:
+        return F.col(col).isNull() if v is None else F.col(col) == _lit(v)
+
+    conds = []
+    for head, values in groups.items():
+        given = [v for v in values if v is not None]
+        last = F.col(partition_by[-1]).isin([_lit(v) for v in given]) if given else F.lit(False)
+        if len(given) < len(values):
+            last = F.coalesce(last, F.lit(False)) | F.col(partition_by[-1]).isNull()
+        for col, v in zip(partition_by, head):
+            last = equals(col, v) & last
+        conds.append(last)
+    while len(conds) > 1:
+        conds = [x if y is None else x | y for x, y in zip(conds[::2], [*conds[1::2], None])]
+    return conds[0] if conds else F.lit(False)
 
 
 def layout_of(spark: SparkSession, path: str) -> list[str]:
@@ -112,7 +130,7 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], pa
     configure(spark)
     partition_by = list(partition_by)
     tuples = _as_tuples(partitions, len(partition_by))
-    inside = _in_partitions(partition_by, tuples)
+    inside = in_partitions(partition_by, tuples)
     # Checked per row inside the write job: a stray row aborts the job before
     # its commit, so no foreign partition is ever overwritten.
     first = partition_by[0]
@@ -149,50 +167,72 @@ def observed(obs: Observation) -> dict:
         return {}
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written by these sinks (schemas may have widened)."""
+def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Read a table written by these sinks. Without a contract ``schema`` the
+    files' schemas are merged (they may have widened), which opens the footers
+    of the whole table; layers with a fixed contract pass it."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def merge_upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str],
-                 order_by: str | None = "file_arrival_date") -> dict:
-    """Update-all on key match, insert otherwise; create the table if absent.
+                 order_by: str | Sequence[str] | None = "file_arrival_date") -> dict:
+    """The latest version of each key wins, wherever it comes from; create the
+    table if absent.
 
-    Source duplicates are reduced to the latest change per key (``order_by``,
-    then all columns) first. A target column missing from the source keeps its
-    old value on matched rows; source columns missing from the target widen
-    the table. NULL keys never match, so such rows are always inserted.
+    Versions, those already in the table included, rank by ``order_by`` (NULLs
+    first), so replaying an older change never undoes a newer one; at equal
+    rank the source wins. Source duplicates rank by ``order_by``, then all
+    columns. A target column missing from the source keeps its old value on
+    matched rows; source columns missing from the target widen the table. NULL
+    keys never match, so such rows are always inserted.
 
     Only partitions that receive a source row, or hold an older version of a
     source key, are rewritten. The second set is found with a scan of the key
     and partition columns only, so a key whose partition value changed (an
     event re-dated) leaves no stale copy behind, without reading whole rows.
+    The returned ``partitions`` are all those that were rewritten.
     """
     spark = df.sparkSession
     configure(spark)
     keys, partition_by = list(keys), list(partition_by)
-    src = _latest_per_key(df, keys, order_by)
+    order = [order_by] if isinstance(order_by, str) else list(order_by or [])
+    order = [c for c in order if c not in keys]
+    src = _latest_per_key(df, keys, order)
     if not table_exists(spark, path):
-        full_overwrite(src, path, partition_by)
-        return {"created": True}
+        obs = Observation("merge_created")
+        full_overwrite(src.observe(obs, F.collect_set(F.struct(*partition_by)).alias("written")), path, partition_by)
+        return {"created": True, "partitions": [tuple(r) for r in (observed(obs).get("written") or [])]}
     target = read_table(spark, path)
     src_keys = src.select(*keys).where(_all_not_null(keys))
     holding = target.select(*keys, *partition_by).join(src_keys, keys, "left_semi").select(*partition_by)
-    touched_parts = [tuple(r) for r in src.select(*partition_by).union(holding).distinct().collect()]
-    touched = spark.createDataFrame(touched_parts, src.select(*partition_by).schema) if touched_parts else None
-    if touched is None:
-        return {"rows": 0, "partitions_written": 0, "partitions_cleared": 0}
-    tgt = target.where(_in_partitions(partition_by, touched_parts))
+    touched = [tuple(r) for r in src.select(*partition_by).union(holding).distinct().collect()]
+    if not touched:
+        return {"rows": 0, "partitions_written": 0, "partitions_cleared": 0, "partitions": []}
+    tgt = target.where(in_partitions(partition_by, touched))
     kept = tgt.join(src_keys, keys, "left_anti")
-    extra = [c for c in target.columns if c not in src.columns and c not in keys]
-    upd = src
-    if extra:
-        old = target.select(*keys, *extra).join(src_keys, keys, "left_semi")
-        upd = src.join(old, keys, "left")
-    merged = kept.unionByName(upd, allowMissingColumns=True)
-    checkpoint_root(spark)
-    merged = merged.checkpoint(eager=True)
-    return replace_partitions(merged, path, partition_by, touched_parts)
+    # every older version of a source key lies in a touched partition
+    held = tgt.join(src_keys, keys, "left_semi")
+    old = _latest_per_key(held, keys, [c for c in order if c in held.columns])
+    shared = [c for c in src.columns if c in old.columns and c not in keys]
+    extra = [c for c in old.columns if c not in src.columns and c not in keys]
+    both = (src.select(*keys, F.struct(*[c for c in src.columns if c not in keys]).alias("_s"))
+            .join(old.select(*keys, F.struct(*[c for c in old.columns if c not in keys]).alias("_t")), keys, "left"))
+    rank = lambda side: F.struct(*[x for c in order if c in src.columns and c in old.columns
+                                   for x in (F.col(f"{side}.{c}").isNotNull(), F.col(f"{side}.{c}"))], F.lit(0))
+    older = F.col("_t").isNotNull() & (rank("_s") < rank("_t"))
+    pick = [F.when(older, F.col(f"_t.{c}").cast(src.schema[c].dataType)).otherwise(F.col(f"_s.{c}")).alias(c) for c in shared]
+    new = [F.when(~older, F.col(f"_s.{c}")).alias(c) for c in src.columns if c not in shared and c not in keys]
+    merged = kept.unionByName(both.select(*keys, *pick, *new, *[F.col(f"_t.{c}").alias(c) for c in extra]),
+                              allowMissingColumns=True)
+    stage = scratch_path(spark, "merge")
+    merged.write.parquet(stage)
+    try:
+        out = replace_partitions(spark.read.schema(merged.schema).parquet(stage), path, partition_by, touched)
+    finally:
+        delete_path(spark, stage)
+    return out | {"partitions": touched}
 
 
 def _all_not_null(cols) -> Column:
@@ -203,12 +243,13 @@ def _all_not_null(cols) -> Column:
     return c
 
 
-def _latest_per_key(df: DataFrame, keys: list[str], order_by: str | None) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys and c != order_by]
-    lead = [F.col(order_by).isNotNull().alias("_o0"), F.col(order_by)] if order_by in df.columns else []
+def _latest_per_key(df: DataFrame, keys: list[str], order: Sequence[str]) -> DataFrame:
+    order = [c for c in order if c in df.columns and c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    lead = [x for k, c in enumerate(order) for x in (F.col(c).isNotNull().alias(f"_o{k}"), F.col(c))]
     keyed = (df.where(_all_not_null(keys)).groupBy(*keys)
              .agg(F.max(F.struct(*lead, *rest)).alias("_r"))
-             .select(*keys, *[F.col(f"_r.{c}") for c in ([order_by] if lead else []) + rest]))
+             .select(*keys, *[F.col(f"_r.{c}") for c in [*order, *rest]]))
     return keyed.unionByName(df.where(~_all_not_null(keys))).select(*df.columns)
 
 

@@ -49,17 +49,40 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def leaf_files(spark: SparkSession, path: str) -> list[str]:
+    """Every data file under a file or folder path (hidden ones left out)."""
+    fs, p = _fs(spark, path)
+    out, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        f = it.next().getPath().toString()
+        if not any(part.startswith(("_", ".")) for part in f[len(path.rstrip("/")):].split("/") if part):
+            out.append(f)
+    return sorted(out)
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of a text file (None when empty)."""
+    fs, p = _fs(spark, path)
+    io = spark.sparkContext._jvm.java.io
+    reader = io.BufferedReader(io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A Parquet table exists at ``path``: the folder holds data files or
-    partition folders (a bare empty folder is not a table)."""
-    if not path_exists(spark, path):
-        return False
+    """A Parquet table exists at ``path``: some data file lies under it. Empty
+    folders, partition folders included, are not a table. Listing stops at
+    the first data file."""
     fs, p = _fs(spark, path)
-    for s in fs.listStatus(p):
-        name = s.getPath().getName()
-        if s.isDirectory() and "=" in name:
-            return True
-        if s.isFile() and name.endswith(".parquet"):
+    if not fs.exists(p):
+        return False
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        rel = it.next().getPath().toString()
+        name = rel.rsplit("/", 1)[-1]
+        if name.endswith(".parquet") and not name.startswith(("_", ".")) and "/_temporary/" not in rel:
             return True
     return False
 

@@ -21,17 +21,20 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_RECON, ReconConfig
 from ..plans.pipeline import Lake, restate
+from ..sources.landing import arrival_date_of_any
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-# batch folder names: <table or feed prefix>_<yyyyMMdd> (or dashed)
-ARRIVAL_IN_PATH = r"batch=[A-Za-z0-9_]+?_(\d{4}-?\d{2}-?\d{2})(/|$)"
 
 
 def arrival_dates_of(paths_df):
-    """Distinct arrival dates named by a frame of file paths."""
-    token = F.regexp_replace(F.regexp_extract(F.col("path"), ARRIVAL_IN_PATH, 1), "-", "")
-    return paths_df.select(F.try_to_date(F.nullif(token, F.lit("")), "yyyyMMdd").alias("d")) \
-        .where(F.col("d").isNotNull()).distinct()
+    """Distinct arrival dates named by a frame of landing paths, by the rule
+    the readers follow. A data file whose path names no date is an error: it
+    would be marked as seen and never be processed."""
+    date = arrival_date_of_any(F.col("path"))
+    data = F.lower(F.col("path")).rlike(r"\.(csv|json)$")
+    checked = F.when(date.isNull() & data, F.raise_error(F.concat(F.lit("landing file without an arrival date: "), F.col("path")))
+                     .cast("date")).otherwise(date)
+    return paths_df.select(checked.alias("d")).where(F.col("d").isNotNull()).distinct()
 
 
 def restate_on_arrival(spark: SparkSession, landing: dict, lake: Lake, checkpoint: str,
