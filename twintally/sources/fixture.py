@@ -12,7 +12,9 @@ them directly, while the raw feed renderer turns them into each feed's text.
 ``extended=True`` (the default) adds unknown type codes, declined renewals,
 pending/failed subscriptions, dated churn, cross-midnight platform times,
 corrections that re-send a fixed amount, in-file duplicates, and unparsable
-time/amount text for the quarantine path.
+time/amount text for the quarantine path. ``jitter`` (on with it) moves the
+platform's amounts by differences at, just under and just over the absolute and
+the relative tolerance, in both directions.
 """
 
 from __future__ import annotations
@@ -56,8 +58,14 @@ DUCKDB = Dialect("duckdb")
 EPOCH0 = 1704067200
 
 
-def ctes(d: Dialect, extended: bool = True) -> str:
+def ctes(d: Dialect, extended: bool = True, jitter: bool | None = None) -> str:
     """The fixture as a list of CTE definitions (without the leading WITH)."""
+    jitter = extended if jitter is None else jitter
+    # the largest whole-cent difference that 0.5 % of a whole amount allows
+    rel = "CAST(CAST({} AS DECIMAL(12,2)) * 0.01 AS DECIMAL(12,2))".format(d.idiv("CAST(amt AS INT)", "2"))
+    plat_amt = (f"CAST(CASE k % 10 WHEN 1 THEN amt + 0.01 WHEN 2 THEN amt + 0.02 WHEN 3 THEN amt + {rel} "
+                f"WHEN 4 THEN amt + {rel} + 0.01 WHEN 5 THEN amt - 0.01 WHEN 6 THEN amt - {rel} "
+                f"WHEN 7 THEN amt - {rel} - 0.01 ELSE amt END AS DECIMAL(12,2))") if jitter else "amt"
     S = "CAST({} AS STRING)"
     kstr = S.format("k")
     cstr = S.format("c")
@@ -148,7 +156,7 @@ fx_platform_all AS (
    concat('u-', {cstr}) AS user_id,
    CASE WHEN s BETWEEN 940 AND 979 THEN CAST(NULL AS STRING) ELSE concat(op, '-', {kstr}) END AS partner_txn_id,
    CASE WHEN ty = 'subscription_success' THEN plan ELSE CAST(NULL AS STRING) END AS plan_id,
-   amt AS amount, loc - off_h * 3600 + {plat_delay} AS utc_s, k,
+   {plat_amt} AS amount, loc - off_h * 3600 + {plat_delay} AS utc_s, k,
    CASE WHEN ty = 'subscription_success' THEN {sub_status} ELSE 'active' END AS status
   FROM fx_base WHERE NOT (s BETWEEN 700 AND 779) AND ty <> 'refund'{plat_fail_rows}),
 fx_platform AS (
@@ -162,9 +170,9 @@ fx_churn AS (
   FROM fx_churn_raw)"""
 
 
-def with_fixture(sql_body: str, d: Dialect = DUCKDB, extended: bool = True) -> str:
+def with_fixture(sql_body: str, d: Dialect = DUCKDB, extended: bool = True, jitter: bool | None = None) -> str:
     """Prefix a query over the ``fx_*`` tables with the fixture CTEs."""
-    return f"WITH {ctes(d, extended)}\n{sql_body}"
+    return f"WITH {ctes(d, extended, jitter)}\n{sql_body}"
 
 
 @dataclass
@@ -174,13 +182,14 @@ class Fixture:
     spark: SparkSession
     sf_dir: str
     extended: bool = True
+    jitter: bool | None = None
 
     def orders(self) -> DataFrame:
         return (self.spark.read.parquet(f"{self.sf_dir}/orders.parquet")
                 .select("o_orderkey", "o_custkey", "o_orderstatus"))
 
     def table(self, name: str) -> DataFrame:
-        sql = with_fixture(f"SELECT * FROM {name}", SPARK, self.extended)
+        sql = with_fixture(f"SELECT * FROM {name}", SPARK, self.extended, self.jitter)
         return self.spark.sql(sql, orders=self.orders())
 
     # canonical partner rows before latest-arrival ranking, with scenario flags
@@ -204,7 +213,7 @@ class Fixture:
         return self.table("fx_churn")
 
 
-def load(spark: SparkSession, sf_dir: str, extended: bool = True) -> Fixture:
+def load(spark: SparkSession, sf_dir: str, extended: bool = True, jitter: bool | None = None) -> Fixture:
     from ..session import configure
     configure(spark)
-    return Fixture(spark, sf_dir, extended)
+    return Fixture(spark, sf_dir, extended, jitter)
