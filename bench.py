@@ -59,6 +59,25 @@ def theta_fallback(partner, platform):
             .select("p.business_date", "p.operator_code", "p.partner_txn_id", "i.platform_event_id"))
 
 
+def dense_day(spark, share):
+    """One operator-day whose amounts are the distinct prices of ``lineitem``
+    (that share of them by hash): partner rows, and platform rows a cent above."""
+    price = (spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select(F.col("l_extendedprice").cast("decimal(12,2)").alias("amount"))
+             .distinct().where(F.pmod(F.xxhash64("amount"), F.lit(100)) < int(100 * share)))
+    day, noon = F.lit("2024-01-10").cast("date"), F.lit("2024-01-10 12:00:00").cast("timestamp")
+    text = F.col("amount").cast("string")
+    partner = price.select(F.lit("telco_a").alias("operator_code"), F.concat(F.lit("p"), text).alias("partner_txn_id"),
+                           text.alias("msisdn_or_account"), F.lit("subscription_success").alias("txn_type"), "amount",
+                           F.lit("PKR").alias("currency"), noon.alias("txn_ts_utc"), day.alias("business_date"),
+                           day.alias("file_arrival_date"))
+    platform = price.select(F.lit("telco_a").alias("operator_code"), F.concat(F.lit("e"), text).alias("platform_event_id"),
+                            F.lit("subscription_success").alias("event_type"), text.alias("user_id"),
+                            F.lit(None).cast("string").alias("partner_txn_id"),
+                            (F.col("amount") + F.lit("0.01").cast("decimal(12,2)")).cast("decimal(12,2)").alias("amount"),
+                            noon.alias("event_ts_utc"), day.alias("business_date"))
+    return partner, platform
+
+
 def main():
     scratch = tempfile.mkdtemp(prefix="twintally-bench-")
     spark = build_session(
@@ -113,6 +132,10 @@ def main():
         queries["hot_day_fallback_theta"] = lambda: theta_fallback(hp, hi)
     queries["hot_day_fact_breaks"] = lambda: fact_breaks(hp, hi, churn, CFG, run_ts=RUN_TS)
 
+    # linear in the distinct amounts of one operator-day
+    for name, share in (("dense_day_fallback_half", 0.5), ("dense_day_fallback", 1.0)):
+        queries[name] = lambda share=share: Match(*dense_day(spark, share), CFG).fallback
+
     headline = ("fact_breaks", "match_fallback", "silver_partner_events", "mart_daily", "mart_monthly_close")
 
     times = {}
@@ -138,7 +161,8 @@ def main():
         "cpus": CPUS,
         "rows": {"orders": fx.orders().count(), "silver_partner": n_partner, "fact": n_fact},
         "notes": ("match_fallback_theta is the plain theta-join form and hot_day_* repeat one operator-day "
-                  f"{hot}x with distinct ids; both for comparison, not in value"),
+                  f"{hot}x with distinct ids; dense_day_* is one operator-day with as many amounts as lineitem has "
+                  "prices; all for comparison, not in value"),
     }))
     spark.stop()
 
