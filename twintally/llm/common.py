@@ -13,7 +13,7 @@ from twintally.session import scratch_path
 #: ``[^\x20\x09-\x0D]+``: a word is a run of anything but these six white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: text bytes that one vectorised step handles at a time (whole documents; a longer one comes alone)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
