@@ -26,9 +26,9 @@ import pyarrow.compute as pc
 from twintally.llm.textops import Chunk
 
 #: units that a task's table holds at most before it starts anew
-TABLE_UNITS = 1_000_000
+TABLE_UNITS = 400_000
 #: parts of units (letter runs and the like) that it holds at most
-TABLE_PIECES = 150_000
+TABLE_PIECES = 100_000
 #: \s beyond the six characters: control separators, NEL, no-break and wide blanks
 ODD_SPACE = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 #: ASCII and Latin letters with one plain lower-case form
