@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -69,6 +70,16 @@ def text_chunks(batch: pa.RecordBatch, column: str,
             begin, held = i, 0
         held += n
     yield batch.slice(begin), col.slice(begin)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker that waits for its next task
+    would hold it beside the executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def even_partitions(spark: SparkSession, least: int = 1) -> int:

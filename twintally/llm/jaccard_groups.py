@@ -43,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from twintally.llm.common import staged, text_chunks
+from twintally.llm.common import give_back, staged, text_chunks
 from twintally.llm.components import components
 from twintally.llm.textops import Chunk, mix64
 from twintally.llm.unit_tokens import ranges
@@ -267,6 +267,7 @@ def sharing_classes(docs: DataFrame, described: DataFrame, percent: int = PERCEN
         same = np.zeros(len(low) + 1, bool)
         same[1:-1] = low[1:] == low[:-1]
         tags, shared = np.unique(tag[same[1:] | same[:-1]], return_counts=True)
+        give_back()
         return pd.DataFrame({"tag": tags.astype(np.int64), "shared": shared.astype(np.int64)})
 
     counts = (docs.select("text").mapInArrow(pack, "bucket int, low binary, tag binary")
