@@ -43,6 +43,39 @@ def test_lines_on_other_ratios(spark):
         assert texts(line_dedup.drop_boilerplate(docs, ratio=ratio)) == plain_lines(PAGES, ratio)
 
 
+def plain_once(rows, **rule):
+    """plain_lines with the lines counted over the distinct texts of a host."""
+    texts_of = sorted({(t or "", h) for _, t, h in rows}, key=str)
+    marks = plain_lines([(k, t, h) for k, (t, h) in enumerate(texts_of)], **rule)
+    clean = {texts_of[k]: t for k, t in marks}
+    return sorted(((i, None if t is None else clean[t or "", h]) for i, t, h in rows), key=str)
+
+
+COPIED = ([(i, "one copied text\nits second line\nits end", "hot") for i in range(20)]
+          + [(100 + i, f"{BANNER}\nown line {i}", "hot") for i in range(40)]
+          + [(200 + i, "a small group\nof copies", "small") for i in range(3)] + [(300 + i, f"page {i}", "small") for i in range(17)])
+
+
+def test_copies_of_a_text_are_one_page(spark):
+    """A third of a source, and 3 of 20 rows, are copies of one document: it stays, the banner goes."""
+    docs = docs_frame(spark, COPIED, "host key keys a b pages line")
+    got = texts(line_dedup.drop_boilerplate(docs, copies_once=True))
+    by = dict(got)
+    assert by[0] == COPIED[0][1] and by[200] == "a small group\nof copies" and by[100] == "own line 0"
+    assert got == plain_once(COPIED)
+    assert texts(line_dedup.drop_boilerplate(docs_frame(spark, PAGES), copies_once=True)) == plain_once(PAGES)
+
+
+def test_pipeline_keeps_a_copied_document(spark):
+    import corpus_pipeline
+
+    cleaned = corpus_pipeline.drop_lines(spark, docs_frame(spark, COPIED), "")
+    assert texts(cleaned) == plain_once(COPIED)
+    kept = dict(texts(corpus_pipeline.drop_near_duplicates(spark, cleaned, "")))
+    assert kept[0] == COPIED[0][1] and kept[200] == "a small group\nof copies"
+    assert not {*range(1, 20), 201, 202} & set(kept)
+
+
 def plain_mix(rows):
     """Targets by the stated rule, then the nearest prefix in hash order by sorting."""
     import hashlib

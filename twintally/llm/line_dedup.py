@@ -7,9 +7,14 @@ from every page of that host; elsewhere they stay.
 Lines are the ``\n``-split pieces of a text, compared after trimming blanks;
 blank lines are never counted nor removed. A page that repeats a line counts
 once for it. Defined cases: NULL text stays NULL; a NULL host is a host of its
-own; rows that repeat a document count as pages of their own; a page all of
-whose lines go keeps its row with an empty text; an empty table gives no rows;
+own; rows that repeat a document count as pages of their own, or with
+``copies_once`` as one page (NULL and empty are the same text there); a page all
+of whose lines go keeps its row with an empty text; an empty table gives no rows;
 extra columns pass through.
+
+Without ``copies_once`` a document copied on more than ``ratio`` of a host's
+pages loses all its lines on each of them, so nothing of it is left to keep: the
+corpus pipeline counts copies once and leaves them to the near-duplicate stage.
 """
 
 from __future__ import annotations
@@ -42,16 +47,23 @@ def line_keys(text: Column) -> Column:
     return F.transform(lines(text), _key)
 
 
-def boilerplate_lines(docs: DataFrame, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate_lines(docs: DataFrame, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                      copies_once: bool = False) -> DataFrame:
     """(host, key, pages, host_pages) of the lines above the ratio.
 
     One pass over the texts: a page gives the keys of its distinct lines and
     one NULL key that counts the page itself, so page totals and line counts
     come from the same partial aggregate; a hot host is spread by its lines.
     Keys travel instead of lines: two 64-bit hashes of the trimmed line.
+    ``copies_once`` first reduces the pages of a host to its distinct texts
+    (by two hashes of the text; copies meet map-side, their keys travel once).
     """
-    keys = F.array_compact(F.array_distinct(line_keys(F.coalesce(F.col("text"), F.lit("")))))
-    page = docs.select(host.alias("host"), F.explode(F.concat(keys, F.array(F.lit(None)))).alias("key"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keys = F.array_compact(F.array_distinct(line_keys(text)))
+    page = docs.select(host.alias("host"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), keys.alias("keys"))
+    if copies_once:
+        page = page.dropDuplicates(["host", "a", "b"])
+    page = page.select("host", F.explode(F.concat("keys", F.array(F.lit(None)))).alias("key"))
     counts = page.groupBy("host", "key").agg(F.count("*").alias("pages"))
     counts = staged(counts.where((F.col("pages") >= min_pages) | F.col("key").isNull()), "line-counts")
     totals = counts.where(F.col("key").isNull()).select(F.col("host").alias("h"), F.col("pages").alias("host_pages"))
@@ -62,7 +74,7 @@ def boilerplate_lines(docs: DataFrame, host: Column, ratio: float = RATIO, min_p
 
 
 def drop_boilerplate(docs: DataFrame, host: Column | None = None, ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     broadcast_lines: int = BROADCAST_LINES, report: bool = False) -> DataFrame:
+                     broadcast_lines: int = BROADCAST_LINES, report: bool = False, copies_once: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text`` (other columns unchanged).
 
     The texts are read twice and never shuffled while the boilerplate table is
@@ -70,7 +82,7 @@ def drop_boilerplate(docs: DataFrame, host: Column | None = None, ratio: float =
     is joined by host. ``report`` adds n_lines and n_dropped.
     """
     host = F.col("source") if host is None else host
-    bad = staged(boilerplate_lines(docs, host, ratio, min_pages), "line-boilerplate")
+    bad = staged(boilerplate_lines(docs, host, ratio, min_pages, copies_once), "line-boilerplate")
     per_host = bad.groupBy(F.col("host").alias(P + "host")).agg(F.collect_set("key").alias(P + "bad"))
     if bad.count() <= broadcast_lines:
         per_host = F.broadcast(per_host)
