@@ -24,7 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on too large a share of their source's distinct texts go; n_chars follows the text."""
-    cleaned = line_dedup.drop_boilerplate(docs, F.col("source"), copies_once=True)
+    cleaned = line_dedup.drop_boilerplate(docs, F.col("source"), copies_once=True,
+                                          more_rules=line_dedup.COMMON_RULES)
     length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
     return cleaned.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
 

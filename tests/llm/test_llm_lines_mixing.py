@@ -76,6 +76,16 @@ def test_pipeline_keeps_a_copied_document(spark):
     assert not {*range(1, 20), 201, 202} & set(kept)
 
 
+def test_common_lines_of_a_large_source(spark):
+    """A line on 15 of 400 different pages goes in the pipeline, one on 8 stays; neither is near a tenth."""
+    import corpus_pipeline
+
+    rows = [(i, f"page {i}" + ("\nAll rights reserved" if i < 15 else "\nquoted" if i < 23 else ""), "big") for i in range(400)]
+    rows += [(500 + i, f"leaf {i}" + ("\nShared" if i < 3 else ""), "small") for i in range(40)]
+    got = dict(texts(corpus_pipeline.drop_lines(spark, docs_frame(spark, rows), "")))
+    assert got == {i: t.replace("\nAll rights reserved", "") for i, t, _ in rows}
+
+
 def plain_mix(rows):
     """Targets by the stated rule, then the nearest prefix in hash order by sorting."""
     import hashlib

@@ -19,6 +19,9 @@ corpus pipeline counts copies once and leaves them to the near-duplicate stage.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,9 @@ from twintally.llm.common import staged
 RATIO = 0.1
 #: and on at least this many pages (a host of a few pages proves nothing)
 MIN_PAGES = 3
+#: further (ratio, pages) for distinct texts: a line that ten different texts share needs a far smaller share, and a small
+#: source stays under the rule above; of 2, 1 and 0.5 %, only at 2 % no page of check_h lost all its lines
+COMMON_RULES = ((0.02, 10),)
 #: largest boilerplate table (rows) that is broadcast; beyond it the join shuffles by host
 BROADCAST_LINES = 50_000
 P = "__line_"
@@ -48,8 +54,8 @@ def line_keys(text: Column) -> Column:
 
 
 def boilerplate_lines(docs: DataFrame, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                      copies_once: bool = False) -> DataFrame:
-    """(host, key, pages, host_pages) of the lines above the ratio.
+                      copies_once: bool = False, more_rules: tuple[tuple[float, int], ...] = ()) -> DataFrame:
+    """(host, key, pages, host_pages) of the lines above the ratio, or above that of one of ``more_rules``.
 
     One pass over the texts: a page gives the keys of its distinct lines and
     one NULL key that counts the page itself, so page totals and line counts
@@ -65,16 +71,20 @@ def boilerplate_lines(docs: DataFrame, host: Column, ratio: float = RATIO, min_p
         page = page.dropDuplicates(["host", "a", "b"])
     page = page.select("host", F.explode(F.concat("keys", F.array(F.lit(None)))).alias("key"))
     counts = page.groupBy("host", "key").agg(F.count("*").alias("pages"))
-    counts = staged(counts.where((F.col("pages") >= min_pages) | F.col("key").isNull()), "line-counts")
+    rules = ((ratio, min_pages), *more_rules)
+    least = min(n for _, n in rules)
+    counts = staged(counts.where((F.col("pages") >= least) | F.col("key").isNull()), "line-counts")
     totals = counts.where(F.col("key").isNull()).select(F.col("host").alias("h"), F.col("pages").alias("host_pages"))
-    return (counts.where(F.col("key").isNotNull() & (F.col("pages") >= min_pages))
+    above = [(F.col("pages") >= n) & (F.col("pages") > F.lit(r) * F.col("host_pages")) for r, n in rules]
+    return (counts.where(F.col("key").isNotNull() & (F.col("pages") >= least))
             .join(totals, F.col("host").eqNullSafe(F.col("h")))
-            .where(F.col("pages") > F.lit(ratio) * F.col("host_pages"))
+            .where(reduce(or_, above))
             .select("host", "key", "pages", "host_pages"))
 
 
 def drop_boilerplate(docs: DataFrame, host: Column | None = None, ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     broadcast_lines: int = BROADCAST_LINES, report: bool = False, copies_once: bool = False) -> DataFrame:
+                     broadcast_lines: int = BROADCAST_LINES, report: bool = False, copies_once: bool = False,
+                     more_rules: tuple[tuple[float, int], ...] = ()) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text`` (other columns unchanged).
 
     The texts are read twice and never shuffled while the boilerplate table is
@@ -82,7 +92,7 @@ def drop_boilerplate(docs: DataFrame, host: Column | None = None, ratio: float =
     is joined by host. ``report`` adds n_lines and n_dropped.
     """
     host = F.col("source") if host is None else host
-    bad = staged(boilerplate_lines(docs, host, ratio, min_pages, copies_once), "line-boilerplate")
+    bad = staged(boilerplate_lines(docs, host, ratio, min_pages, copies_once, more_rules), "line-boilerplate")
     per_host = bad.groupBy(F.col("host").alias(P + "host")).agg(F.collect_set("key").alias(P + "bad"))
     if bad.count() <= broadcast_lines:
         per_host = F.broadcast(per_host)
