@@ -31,6 +31,32 @@ def test_density_chooses_the_text_without_any_hints():
     assert got.count("\n") == 5 and "entry" not in got
 
 
+def words(n, name):
+    return (f"{name} words of this part go on and on " * 20)[:n].strip()
+
+
+A, B = [words(500, f"A{i}") for i in range(5)], [words(60, f"B{i}") for i in range(5)]
+C = [words(30, f"C{i}") for i in range(10)]
+SECTIONS = (f"<section>{''.join(f'<p>{x}</p>' for x in A)}</section><section>{''.join(f'<p>{x}</p>' for x in B)}</section>"
+            f"<section><ul>{''.join(f'<li>{x}</li>' for x in C)}</ul></section>")
+
+
+def test_every_section_of_an_article():
+    want = "\n".join(["Title", *A, *B, *C])
+    menu = "<div><a href=1>one entry</a><a href=2>two entries</a></div>"
+    assert extract(f"<body><nav>x</nav><article><h1>Title</h1>{SECTIONS}</article>{menu}</body>") == want
+    assert extract(f"<body>{menu}<main><h1>Title</h1>{SECTIONS}</main></body>") == want
+    assert extract(f"<body>{menu}<div><div>Logo</div><div><h1>Title</h1>{SECTIONS}</div><div>Tail</div></div></body>") == want
+    assert extract(f"<body><h1>Title</h1>{SECTIONS}{menu}</body>") == want
+
+
+def test_a_long_block_beside_short_paragraphs():
+    short = "".join(f"<p>{x}</p>" for x in B)
+    for tag in ("blockquote", "div", "section"):
+        got = extract(f"<body><div>{short}<{tag}>{''.join(f'<p>{x}</p>' for x in A)}</{tag}><p>the end</p></div></body>")
+        assert got == "\n".join([*B, *A, "the end"])
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 5000 + "<p>bottom text</p>"
     assert extract(deep) == "bottom text"

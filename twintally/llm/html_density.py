@@ -3,9 +3,12 @@ r"""HTML main text by composite text density.
 The page becomes a small tree. Menus, adverts, forms, comments and the like are
 cut by tag, role and class name first. Every remaining node then has a composite
 density, its characters per tag adjusted for link text, and a density sum over
-its children. The node of greatest sum sets the threshold: the least density on
-its path up to the body. From the body down, every node at or above the
-threshold marks the node of greatest sum in its subtree as content, and the text
+its children. The node of greatest sum chooses the article: the outermost
+<article> around it, else the nearest <main>, else the block that holds it and
+its sibling paragraphs, headings, lists and sections. All that is left of that
+block is content, however thin a part of it. The node also sets a threshold, the
+least density on its path up to the body: from the body down, every node at or
+above it marks the node of greatest sum in its subtree as content too. The text
 of marked subtrees is joined block by block in page order.
 
 Inside a block white space becomes one space (a <br> is white space); blocks are
@@ -203,6 +206,40 @@ def _link_list(node: Node) -> bool:
     return node.tag in ("ul", "ol", "dl") and node.link_tags >= 2 and node.link_chars > 0.8 * node.chars
 
 
+#: blocks that are parts of an article when they stand beside its densest part
+PARTS = frozenset("p section blockquote h1 h2 h3 h4 h5 h6 ul ol dl table pre figure details".split())
+
+
+def _part(node: Node) -> bool:
+    return node.tag in PARTS and 2 * node.link_chars <= node.chars and node.chars > 0
+
+
+def _article(top: Node, body: Node) -> list[Node]:
+    """The nodes that make up the article whose densest part is ``top``."""
+    around, main = None, None
+    node = top
+    while node is not None:
+        if node.tag == "article":
+            around = node
+        elif node.tag == "main" and main is None:
+            main = node
+        node = None if node is body else node.up
+    if around is not None or main is not None:
+        return [around or main]
+    held = node = top
+    while node is not body:
+        beside = [k for k in node.up.kids if k is not node and (k.strip() if isinstance(k, str) else k.chars)]
+        parts = [k for k in beside if isinstance(k, Node) and _part(k)]
+        if node.up is body:
+            return [held, *parts]
+        if parts:
+            held = node.up
+        elif beside:
+            break
+        node = node.up
+    return [held]
+
+
 def _text(root: Node) -> str:
     """Text of the marked subtrees: white space in a block is one space, blocks joined by one \\n."""
     blocks: list[str] = []
@@ -249,6 +286,8 @@ def extract(html: str | None) -> str:
     else:
         return ""
     top = body.best
+    for x in _article(top, body):
+        x.marked = True
     path, least = top, math.inf
     while path is not None:
         if path.tag in BLOCK or path is body:
