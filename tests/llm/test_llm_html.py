@@ -57,6 +57,27 @@ def test_a_long_block_beside_short_paragraphs():
         assert got == "\n".join([*B, *A, "the end"])
 
 
+def test_class_words_are_one_factor():
+    body, text = "".join(f"<p>{x}</p>" for x in A), "\n".join(A)
+    for name in ("content has-sidebar", "post no-comments", "entry with-related", "layout-menu-left", "page-widget"):
+        page = f"<body><header><h1>T</h1></header><div class=menu><a href=1>m</a></div><div class='{name}'>{body}</div></body>"
+        assert extract(page) == text, name
+        assert extract(f"<body><article><h1>T</h1><div class='{name}'>{body}</div></article></body>") == "T\n" + text, name
+    two = "".join(f"<div class=widget><p>{x}</p></div>" for x in A)
+    assert extract(f"<body>{two}<div class=ad>Buy</div></body>") == text
+    ad = f"<div class=sponsored>{body}{body}</div>"
+    assert extract(f"<body>{ad}<article><h1>T</h1><p>{B[0]}</p></article></body>") == f"T\n{B[0]}"
+    assert extract(f"<body><article><p>{B[0]}</p><div id=comments>{body}</div></article></body>") == B[0]
+
+
+def test_parts_within_an_article():
+    refs = "".join(f"<li><a href={k}>{x}</a></li>" for k, x in enumerate(C))
+    inner = f"<p>{A[0]} <math><mi>x</mi></math></p><object><p>{A[1]}</p></object><label>{B[0]}</label><ol>{refs}</ol>"
+    assert extract(f"<article>{inner}</article>") == "\n".join([A[0] + " x", A[1], B[0], *C])
+    for start in ("<svg><path d=1>", "<select><option>one", "<object data=x>"):
+        assert extract(f"<article><p>{A[0]}</p>{start}<p>{A[1]}</p><p>{A[2]}</p></article>") == "\n".join(A[:3]), start
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 5000 + "<p>bottom text</p>"
     assert extract(deep) == "bottom text"

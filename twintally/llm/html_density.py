@@ -1,7 +1,8 @@
 r"""HTML main text by composite text density.
 
 The page becomes a small tree. Menus, adverts, forms, comments and the like are
-cut by tag, role and class name first. Every remaining node then has a composite
+cut by tag and role first, and by class name where the block is small, mostly
+links, without prose, or beside an article. Every remaining node then has a composite
 density, its characters per tag adjusted for link text, and a density sum over
 its children. The node of greatest sum chooses the article: the outermost
 <article> around it, else the nearest <main>, else the block that holds it and
@@ -30,7 +31,9 @@ from pyspark.sql import DataFrame
 
 # fixed values of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript iframe noembed noframes xmp template textarea title svg math object select".split())
+RAW = frozenset("script style noscript iframe noembed noframes xmp template textarea title".split())
+#: a block that starts in one of these ends it, closed or not
+ENDED_BY_BLOCKS = frozenset("svg math select".split())
 BLOCK = frozenset(("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre "
                    "section summary table tbody td tfoot th thead tr ul").split())
@@ -40,13 +43,17 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: an implied end tag does not reach past these
 SCOPE = frozenset("table ul ol dl html body div article section main".split())
 #: parts that are no article, by tag, by role, and by a word of class or id
-CUT_TAGS = frozenset("nav aside footer form button input label dialog menu head".split()) | RAW
+CUT_TAGS = frozenset("nav aside footer form button input label dialog menu head svg select".split()) | RAW
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 CUT_WORDS = frozenset(("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion "
                        "banner cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe "
                        "signup login share sharing social sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination "
                        "pager comment comments commentlist disqus reply replies respond related recommended footer masthead "
                        "toolbar widget skip search copyright").split())
+#: a listed word after one of these says what the block is not
+NEGATIONS = frozenset("has no not non with without".split())
+#: readers' words may outweigh the article they follow
+REPLY_WORDS = frozenset("comment comments commentlist disqus reply replies respond".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|([^\s=/\"'<>]+)")
 _HEADING = re.compile(r"h[1-6]\Z")
@@ -93,6 +100,11 @@ def parse(html: str) -> Node:
             continue
         if tag in BLOCK:                               # a block ends the paragraph that is open
             node = here
+            while node is not None and node.tag not in BLOCK and node.tag not in ENDED_BY_BLOCKS and node.tag != "foreignobject":
+                node = node.up
+            if node is not None and node.tag in ENDED_BY_BLOCKS:
+                here = node.up
+            node = here
             while node is not None and node.tag != "p" and node.tag not in BLOCK:
                 node = node.up
             if node is not None and node.tag == "p":
@@ -132,12 +144,13 @@ def _has(node: Node, tags: frozenset) -> bool:
 
 
 _BODY_TAGS = frozenset(("article", "main", "h1"))
+_PROSE = frozenset(("p", "blockquote", "pre", "section", "table"))
 
 
 def is_cut(node: Node, inside: bool, keep_forms: bool = False) -> bool:
-    """Whether the node is no part of an article; ``inside``: it stands in one."""
+    """Whether tag, role or style say that the node is no part of an article; ``inside``: it stands in one."""
     tag = node.tag
-    if tag in CUT_TAGS and not (keep_forms and tag in ("form", "label")):
+    if tag in CUT_TAGS and not (keep_forms and tag in ("form", "label")) and not (inside and tag == "label"):
         return True
     if tag == "header":
         return not (inside and any(isinstance(k, Node) and _HEADING.match(k.tag) for k in node.kids))
@@ -147,19 +160,69 @@ def is_cut(node: Node, inside: bool, keep_forms: bool = False) -> bool:
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or \
             re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I):
         return True
-    if a.get("role", "").lower() in CUT_ROLES:
-        return True
-    words = re.split(r"[\s_\-:]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{a.get('class', '')} {a.get('id', '')}").lower())
-    return not CUT_WORDS.isdisjoint(words) and not _has(node, _BODY_TAGS)
+    return a.get("role", "").lower() in CUT_ROLES
 
 
-def _prune(root: Node, keep_forms: bool) -> None:
-    todo = [(root, False)]
+def listed_words(node: Node) -> set[str]:
+    """The listed words of class and id, without those that are negated."""
+    if not node.attrs or node.tag in ("html", "body", "article", "main"):
+        return set()
+    a = _attributes(node.attrs)
+    found, before = set(), ""
+    for name in f"{a.get('class', '')} {a.get('id', '')}".split():
+        for word in re.split(r"[_\-:]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()):
+            if word in CUT_WORDS and before not in NEGATIONS:
+                found.add(word)
+            before = word
+        before = ""
+    return found
+
+
+def _sizes(root: Node) -> None:
+    """chars and link_chars of every node, without what its tag cuts."""
+    for x in _postorder(root):
+        kids = [k for k in x.kids if isinstance(k, Node) and k.tag not in CUT_TAGS]
+        x.chars = sum(k.chars for k in kids) + sum(len(k.strip()) for k in x.kids if isinstance(k, str))
+        x.link_chars = x.chars if x.tag == "a" else sum(k.link_chars for k in kids)
+
+
+def _by_words(node: Node, words: set[str], around: Node, in_article: bool, has_article: bool) -> bool:
+    """Whether the listed words of a block make it go. They do in a block that is small against the article or page
+    ``around`` it, mostly links, or without prose; a larger one goes beside an article, or as readers' replies in one."""
+    if _has(node, _BODY_TAGS):
+        return False
+    if 2 * node.chars <= around.chars or 2 * node.link_chars > node.chars or not _has(node, _PROSE):
+        return True
+    if in_article:
+        return not words.isdisjoint(REPLY_WORDS)
+    return has_article
+
+
+def _prune(root: Node, keep_forms: bool, by_words: bool = True) -> tuple[int, int]:
+    """Cuts what is no article; gives the characters that class words cut, and of how many (0: an article holds the text)."""
+    _sizes(root)
+    whole = root.chars
+    has_article = any(x.tag in ("article", "main") and x.chars for x in _postorder(root))
+    cut = 0
+    todo = [(root, root, False)]
     while todo:
-        node, inside = todo.pop()
-        inside = inside or node.tag in ("article", "main")
-        node.kids = [k for k in node.kids if isinstance(k, str) or not is_cut(k, inside, keep_forms)]
-        todo += [(k, inside) for k in node.kids if isinstance(k, Node)]
+        node, around, inside = todo.pop()
+        if node.tag in ("article", "main"):
+            around, inside = node, True
+        kids = []
+        for k in node.kids:
+            if isinstance(k, Node):
+                if is_cut(k, inside, keep_forms):
+                    continue
+                words = listed_words(k)
+                if words and (by_words or 2 * k.link_chars > k.chars or not _has(k, _PROSE)) and \
+                        _by_words(k, words, around, inside, has_article):
+                    cut += k.chars
+                    continue
+                todo.append((k, around, inside))
+            kids.append(k)
+        node.kids = kids
+    return cut, 0 if has_article else whole
 
 
 def _postorder(root: Node) -> list[Node]:
@@ -202,7 +265,7 @@ def measure(body: Node) -> None:
 
 
 def _link_list(node: Node) -> bool:
-    """A list that is mostly links: a menu, wherever it stands."""
+    """A list that is mostly links: a menu, unless it stands in an article (references, contents)."""
     return node.tag in ("ul", "ol", "dl") and node.link_tags >= 2 and node.link_chars > 0.8 * node.chars
 
 
@@ -251,9 +314,9 @@ def _text(root: Node) -> str:
         if line:
             blocks.append(line)
 
-    todo: list = [(root, root.marked)]
+    todo: list = [(root, root.marked, root.tag in ("article", "main"))]
     while todo:
-        node, marked = todo.pop()
+        node, marked, inside = todo.pop()
         if node is None:
             flush()
         elif isinstance(node, str):
@@ -261,13 +324,14 @@ def _text(root: Node) -> str:
                 held.append(node)
         elif node.tag == "br":
             held.append(" ")
-        elif not _link_list(node):
+        elif inside or not _link_list(node):
             marked = marked or node.marked
+            inside = inside or node.tag in ("article", "main")
             block = node.tag in BLOCK
             if block:
                 flush()
-                todo.append((None, False))
-            todo += [(k, marked) for k in reversed(node.kids)]
+                todo.append((None, False, False))
+            todo += [(k, marked, inside) for k in reversed(node.kids)]
     flush()
     return "\n".join(blocks)
 
@@ -279,7 +343,11 @@ def extract(html: str | None) -> str:
     for keep_forms in (False, True):
         root = parse(html)
         body = next((k for k in root.kids if isinstance(k, Node) and k.tag == "body"), root)
-        _prune(body, keep_forms)
+        cut, whole = _prune(body, keep_forms)
+        if 2 * cut > whole > 0:                        # class words took most of the page: only menus and bare blocks go by them
+            root = parse(html)
+            body = next((k for k in root.kids if isinstance(k, Node) and k.tag == "body"), root)
+            _prune(body, keep_forms, by_words=False)
         measure(body)
         if body.chars:
             break
