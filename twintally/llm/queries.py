@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twintally.llm import (genetic_packing, hamming_search, html_density, jaccard_groups, line_dedup, mixing,
-                           quality_trees, repair_tokens, separator_scan, toxicity_knn)
+from twintally.llm import (depth_bands, genetic_packing, grid_join, hamming_search, html_density, jaccard_groups, line_dedup,
+                           mixing, quality_trees, repair_tokens, separator_scan, sharded_lloyd, toxicity_knn)
 from twintally.llm.common import table
 
 
@@ -65,6 +65,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genetic_packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded_lloyd.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_depth_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return depth_bands.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hamming_topk, op2_html_text, op3_token_counts, op4_line_dedup, op5_repair_tokens, op6_mixing, op7_toxicity,
-    op8_ngram_jaccard, op9_quality, op10_packing)}
+    op8_ngram_jaccard, op9_quality, op10_packing, op11_grid_join, op12_sharded_lloyd, op13_depth_bands)}
