@@ -44,9 +44,9 @@ UNIT_ROWS = (128, 8192)
 LEAF = 256
 #: parts of an interval, as a power of two
 FAN_BITS = 5
-#: the principal axes are fitted to so many numbers at most (the vectors of smallest key hash);
+#: the principal axes are fitted to about so many numbers (vectors chosen by their key hash);
 #: any axes give the same result
-SAMPLE_NUMBERS = 1 << 19
+SAMPLE_NUMBERS = 1 << 18
 #: room for rounding: bounds decide only this far from eps, cosines decide between
 ROOM = 1e-9
 
@@ -93,7 +93,11 @@ def principal_axes(entries: DataFrame) -> tuple[int, np.ndarray]:
     if common is None:
         return 0, np.zeros((0, 0))
     dim = common["dim"]
-    rows = entries.where(F.col("dim") == dim).orderBy("code", "rid").limit(max(2, SAMPLE_NUMBERS // dim)).select("x").collect()
+    most = max(2, SAMPLE_NUMBERS // dim)
+    share = F.conv(F.hex(F.substring("code", 1, 4)), 16, 10).cast("long") < int(min(1.0, 1.5 * most / common["count"]) * 2 ** 32)
+    rows = entries.where((F.col("dim") == dim) & share).select("x").limit(most).collect()
+    if not rows:
+        return dim, np.eye(dim)[:, :AXES]
     u = unit_vectors(np.frombuffer(b"".join(r["x"] for r in rows)).reshape(-1, dim))
     _, _, axes = np.linalg.svd(u - u.mean(0), full_matrices=False)
     return dim, axes[:AXES].T.copy()
