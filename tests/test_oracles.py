@@ -1,14 +1,13 @@
-"""Every registered query against its SQL statement (DuckDB) on the
+"""Every reconciliation query against its SQL statement (DuckDB) on the
 smallest driver tables: same columns, row count and value hash."""
 
 import pytest
 
 import __spark_entry__ as E
 from oracle_compare import compare, duck_connect
+from twintally.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +17,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -148,20 +148,45 @@ def mart_daily(stg_partner: DataFrame, stg_platform: DataFrame, stg_fact: DataFr
             .withColumn("_built_at", _built_at(built_at)))
 
 
-def mart_monthly_close(stg_fact: DataFrame, built_at=None) -> DataFrame:
-    """Recognised revenue per (month, operator) from the four booked statuses."""
+# The sums of the close, each additive over days.
+CLOSE_SUMS = ("recognized_revenue", "revenue_from_mismatched", "revenue_from_unentitled", "total_abs_variance")
+
+
+def _close(stg_fact: DataFrame, *by: Column | str) -> DataFrame:
+    """Sums over the four booked statuses by any grouping of dates and operators."""
     st = F.col("recon_status")
     pa = F.col("partner_amount")
     zero = F.lit(0).cast(AMOUNT_TYPE)
-    return (stg_fact.where(st.isin(*RECOGNISED_STATUSES))
-            .groupBy(month_bucket(F.col("business_date")).alias("close_month"), "operator_code")
+    return (stg_fact.where(st.isin(*RECOGNISED_STATUSES)).groupBy(*by)
             .agg(F.count(F.lit(1)).alias("recognized_txn_count"),
                  F.sum(signed_amount(pa, F.col("txn_type"))).cast(TOTAL_TYPE).alias("recognized_revenue"),
                  F.sum(F.when(st == "AMOUNT_MISMATCH", pa).otherwise(zero)).cast(TOTAL_TYPE)
                  .alias("revenue_from_mismatched"),
                  F.sum(F.when(st == "MISSING_ON_PLATFORM", pa).otherwise(zero)).cast(TOTAL_TYPE)
                  .alias("revenue_from_unentitled"),
-                 F.sum(F.abs(F.col("amount_variance"))).cast(TOTAL_TYPE).alias("total_abs_variance"))
+                 F.sum(F.abs(F.col("amount_variance"))).cast(TOTAL_TYPE).alias("total_abs_variance")))
+
+
+def mart_monthly_close(stg_fact: DataFrame, built_at=None) -> DataFrame:
+    """Recognised revenue per (month, operator) from the four booked statuses."""
+    return (_close(stg_fact, month_bucket(F.col("business_date")).alias("close_month"), "operator_code")
+            .withColumn("_built_at", _built_at(built_at)))
+
+
+def close_by_day(stg_fact: DataFrame) -> DataFrame:
+    """The close's sums per (business_date, operator): the state from which months are rolled up.
+
+    A restated day replaces its rows; the sums of the other days stay valid, so no other day
+    of the fact is read again.
+    """
+    return _close(stg_fact, *KEY)
+
+
+def close_from_days(days: DataFrame, built_at=None) -> DataFrame:
+    """The monthly close from per-day sums; equal to ``mart_monthly_close`` over the fact of those days."""
+    return (days.groupBy(month_bucket(F.col("business_date")).alias("close_month"), "operator_code")
+            .agg(F.sum("recognized_txn_count").cast("bigint").alias("recognized_txn_count"),
+                 *[F.sum(c).cast(TOTAL_TYPE).alias(c) for c in CLOSE_SUMS])
             .withColumn("_built_at", _built_at(built_at)))
 
 

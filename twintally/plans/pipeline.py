@@ -4,11 +4,16 @@
 Each layer is written with the partition sinks, which also cuts the plan
 lineage between layers (every layer reads the previous one from storage).
 A run derives every business date whose result the arrivals can change and
-restates exactly those dates in silver, gold and the daily mart: dates of the
+restates exactly those dates in silver, gold and the marts: dates of the
 rows that arrived, dates that a re-delivered file no longer holds, dates that
 held an older version of a changed event, and dates with events of users whose
 churn became known. So arrivals taken one by one, in any order, or all at once
 give the same tables.
+
+Gold and marts are built beside the published tables, checked, and published
+only if no check of severity ``error`` is violated. Dates are noted as pending
+before anything that they depend on changes, and cleared when they are
+published: a run that is stopped by a check, or dies, leaves them to the next one.
 """
 
 from __future__ import annotations
@@ -21,18 +26,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CDC_TABLES, DEFAULT_RECON, FEEDS, OPERATORS, ReconConfig
+from ..config import CDC_TABLES, DEFAULT_RECON, FEEDS, OPERATORS, RECON_STATUSES, ReconConfig
+from ..operators import gate as G
 from ..operators import marts as M
 from ..operators import normalize as N
 from ..operators import platform as PL
 from ..operators.matching import filter_dates
 from ..operators.overlays import finish_fact
 from ..operators.reconcile import matcher
-from ..session import configure
-from ..sinks.partitions import (NULL_PARTITION, full_overwrite, in_partitions, merge_upsert, observed, read_table,
-                                replace_partitions)
+from ..session import configure, scratch_path
+from ..sinks.directory import DirectoryStale, KeyDirectory, key_hash
+from ..sinks.partitions import (NULL_PARTITION, export_snapshot, full_overwrite, in_partitions, merge_upsert, observed,
+                                read_table, register_external_table, replace_partitions)
 from ..sources.landing import landing_paths
-from ..sources.tables import list_dirs, list_names, read_optional_table, table_exists
+from ..sources.tables import delete_path, list_dirs, list_names, read_optional_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -83,6 +90,34 @@ class Lake:
     def monthly(self):
         return self.path("marts", "revenue_monthly_close")
 
+    @property
+    def close_days(self):
+        """Per-day sums of the monthly close."""
+        return self.path("marts", "revenue_close_by_day")
+
+    @property
+    def transaction_directory(self):
+        """Current (arrival, business date) of each partner transaction."""
+        return self.path("silver", "partner_transaction_directory")
+
+    @property
+    def pending(self):
+        """Business dates whose published results may be out of date."""
+        return self.path("gold", "pending_dates")
+
+    @property
+    def check_results(self):
+        """Outcome of every check of every run."""
+        return self.path("marts", "check_results")
+
+    def tables(self) -> dict[tuple[str, str], str]:
+        """(layer, table) -> path of the tables that users read."""
+        named = {("bronze", "operator_feeds"): self.bronze_feeds}
+        named |= {("bronze", t): self.bronze_cdc(t) for t in CDC_TABLES}
+        return named | {("silver", "partner_events"): self.silver_partner, ("silver", "platform_events"): self.silver_platform,
+                        ("gold", "fact_reconciliation_break"): self.fact, ("marts", "reconciliation_daily"): self.daily,
+                        ("marts", "revenue_monthly_close"): self.monthly}
+
 
 _TOKEN = re.compile(r"^(\d{4})-?(\d{2})-?(\d{2})")
 
@@ -111,6 +146,24 @@ def landed_arrival_dates(spark: SparkSession, landing: dict) -> list:
     return sorted(dates)
 
 
+# ---------------------------------------------------------------------------
+# Dates owed to the published tables
+# ---------------------------------------------------------------------------
+
+def note_pending(spark: SparkSession, lake: Lake, dates) -> None:
+    """Remember dates before something they depend on changes."""
+    rows = [(d,) for d in sorted({d for d in dates if d is not None})]
+    if rows:
+        spark.createDataFrame(rows, "business_date date").coalesce(1).write.mode("append").parquet(lake.pending)
+
+
+def pending_dates(spark: SparkSession, lake: Lake) -> set:
+    """Dates noted since the last publication (one row per date and note, so bounded)."""
+    if not table_exists(spark, lake.pending):
+        return set()
+    return {r[0] for r in spark.read.parquet(lake.pending).distinct().collect()}
+
+
 # ---------------------------------------------------------------------------
 # Bronze
 # ---------------------------------------------------------------------------
@@ -145,13 +198,15 @@ def bronze_partitions(spark: SparkSession, lake: Lake) -> set[tuple]:
 
 
 def ingest_operator_feeds(spark: SparkSession, feeds_root: str, lake: Lake, arrival_dates,
-                          ingested_at=None) -> dict:
+                          ingested_at=None, cfg: ReconConfig = DEFAULT_RECON) -> dict:
     """Replace the (operator, arrival date) partitions that received files.
 
     The business dates each arrival partition holds are observed inside the
     same write job (no second pass over the data) and kept in a small index
     table, so a later restatement of a date reads only the arrival
-    partitions that contain it.
+    partitions that contain it. When versions are ranked across dates, the
+    transaction directory follows the same partitions, and the dates that a
+    moved correction leaves behind count as touched.
     """
     declared = []
     for op, feed in FEEDS.items():
@@ -168,6 +223,10 @@ def ingest_operator_feeds(spark: SparkSession, feeds_root: str, lake: Lake, arri
     if table_exists(spark, lake.arrival_index):
         held = read_arrival_index(spark, lake).where(in_partitions(["operator_code", "file_arrival_date"], declared))
         superseded = [r[0] for r in held.select("business_date").distinct().collect()]
+    note_pending(spark, lake, superseded)
+    moves = _track_versions(spark, lake, declared) if cfg.rank_before_date_filter else None
+    if moves is None:
+        delete_path(spark, lake.transaction_directory)     # it would miss this arrival
     # the index says "unknown" until bronze is in place and its content known
     seq = time.time_ns()
     _append_index(spark, lake, [(op, d, None, seq, False) for op, d in declared])
@@ -177,11 +236,111 @@ def ingest_operator_feeds(spark: SparkSession, feeds_root: str, lake: Lake, arri
     found |= {(op, d, None) for op, d in declared if (op, d) not in {r[:2] for r in found}}
     _append_index(spark, lake, [(*r, seq + 1, True) for r in found])
     # a re-delivered partition may have lost rows: the dates it held count too
-    log["business_dates"] = sorted({r[2] for r in found if r[2] is not None} | {d for d in superseded if d is not None})
+    log["business_dates"] = sorted({r[2] for r in found if r[2] is not None} | {d for d in superseded if d is not None}
+                                   | (moves() if moves else set()))
+    note_pending(spark, lake, log["business_dates"])
     log["arrivals"] = declared
     return log
 
 
+# ---------------------------------------------------------------------------
+# Which version of a partner transaction is current
+# ---------------------------------------------------------------------------
+
+TRANSACTION_KEYS = ("operator_code", "partner_txn_id")
+_PLACE = ["file_arrival_date", "business_date"]
+
+
+def transaction_directory(spark: SparkSession, lake: Lake) -> KeyDirectory:
+    return KeyDirectory(spark, lake.transaction_directory, "file_arrival_date date, business_date date")
+
+
+def _versions(spark: SparkSession, lake: Lake, arrivals=None) -> DataFrame:
+    """Key hashes and place of every well-formed version in bronze (of some arrival partitions)."""
+    bronze = read_table(spark, lake.bronze_feeds)
+    if arrivals is not None:
+        bronze = bronze.where(in_partitions(["operator_code", "file_arrival_date"], arrivals))
+    good = N.normalize_partner(bronze).where(F.col("_quarantine_reason").isNull() & F.col("partner_txn_id").isNotNull())
+    return good.select(*key_hash(TRANSACTION_KEYS), *_PLACE)
+
+
+def _current(versions: DataFrame) -> DataFrame:
+    """The latest arrival of each key (one version per key and arrival, NULL arrivals first)."""
+    best = F.max(F.struct(F.col("file_arrival_date").isNotNull().alias("dated"), *_PLACE)).alias("v")
+    return versions.groupBy("k1", "k2", "bucket").agg(best).select("k1", "k2", "bucket", *[f"v.{c}" for c in _PLACE])
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _track_versions(spark: SparkSession, lake: Lake, arrivals: list):
+    """Call before bronze changes. Returns a function to call after it: it brings the
+    directory up to date and returns the business dates at which transactions were or are current.
+
+    Keys of the arrivals, now or before, are looked up; all others keep their place. Bronze is read
+    beyond the arrivals only for transactions whose current version was withdrawn, and in whole
+    when there is no directory that can be trusted.
+    """
+    directory = transaction_directory(spark, lake)
+    nothing = spark.createDataFrame([], f"k1 bigint, k2 bigint, bucket int, {', '.join(c + ' date' for c in _PLACE)}")
+    known = table_exists(spark, lake.bronze_feeds)
+    before = _stored(_versions(spark, lake, arrivals), "versions-before") if known else nothing
+    run = directory.open() if directory.usable() else None
+
+    def after() -> set:
+        now = _stored(_versions(spark, lake, arrivals), "versions-now")
+        keys = before.select("k1", "k2", "bucket").union(now.select("k1", "k2", "bucket")).distinct()
+        try:
+            if run is None:
+                raise DirectoryStale("no directory before this arrival")
+            was = directory.lookup(keys, run)
+        except DirectoryStale:
+            held = silver_partner(spark, lake).select(*key_hash(TRANSACTION_KEYS), "business_date")
+            left = {r[0] for r in held.join(keys, ["k1", "k2"], "left_semi").select("business_date").distinct().collect()}
+            directory.rebuild(_current(_versions(spark, lake)))
+            return left | _dates(directory.lookup(keys))
+        old = was.select("k1", "k2", F.col("file_arrival_date").alias("a0"), F.col("business_date").alias("d0"), F.lit(True).alias("had"))
+        at = lambda versions: versions.select("k1", "k2", F.col("file_arrival_date").alias("a0"))
+        replaced = _stored(old.join(at(before), ["k1", "k2", "a0"], "left_semi").select("k1", "k2", "a0"), "versions-replaced")
+        withdrawn = replaced.join(at(now), ["k1", "k2", "a0"], "left_anti")
+        elsewhere = nothing
+        if not withdrawn.isEmpty():
+            elsewhere = _versions(spark, lake).join(withdrawn, ["k1", "k2"], "left_semi")
+        stay = was.join(replaced, ["k1", "k2"], "left_anti").join(keys, ["k1", "k2"]).select(*nothing.columns)
+        new = _current(now.unionByName(stay).unionByName(elsewhere))
+        both = keys.join(new.drop("bucket"), ["k1", "k2"], "left").join(old, ["k1", "k2"], "left")
+        same = F.col("file_arrival_date").eqNullSafe(F.col("a0")) & F.col("business_date").eqNullSafe(F.col("d0"))
+        moved = _stored(both.where(~same | F.col("had").isNull()), "versions-moved")
+        dates = {d for r in moved.select("business_date", "d0").distinct().collect() for d in r}
+        directory.close(run, moved.select("k1", "k2", "bucket", *_PLACE))
+        return {d for d in dates if d is not None}
+
+    return after
+
+
+def _dates(places: DataFrame) -> set:
+    return {r[0] for r in places.select("business_date").distinct().collect() if r[0] is not None}
+
+
+def only_current(spark: SparkSession, lake: Lake, partner: DataFrame) -> DataFrame:
+    """Partner rows that are the current version of their transaction; rows without an id have no versions."""
+    keyed = partner.select("*", *key_hash(TRANSACTION_KEYS))
+    ids = keyed.where(F.col("partner_txn_id").isNotNull())
+    directory = transaction_directory(spark, lake)
+    try:
+        places = directory.lookup(ids.select("k1", "k2", "bucket"))
+    except DirectoryStale:
+        directory.rebuild(_current(_versions(spark, lake)))
+        places = directory.lookup(ids.select("k1", "k2", "bucket"))
+    places = places.select("k1", "k2", *[F.col(c).alias(f"_cur_{c}") for c in _PLACE])
+    at = F.col("file_arrival_date").eqNullSafe(F.col("_cur_file_arrival_date")) & F.col("business_date").eqNullSafe(F.col("_cur_business_date"))
+    current = ids.join(places, ["k1", "k2"]).where(at).select(*partner.columns)
+    return current.unionByName(partner.where(F.col("partner_txn_id").isNull()))
+
+
 CDC_PARTITIONS = ["operator_code", "event_date"]
 
 
@@ -189,13 +348,16 @@ def ingest_cdc(spark: SparkSession, internal_root: str, lake: Lake, arrival_date
     """Upsert each change table on its key. Images are partitioned by
     operator and event date (the UTC date of the event time, i.e. the
     business date of the event), so a merge rewrites only the days its
-    changes touch and a restatement reads only the days it needs."""
+    changes touch and a restatement reads only the days it needs. Older
+    versions are found through the image's key directory."""
     out = {}
     for t, spec in CDC_TABLES.items():
         changes = PL.read_cdc(spark, internal_root, t, dates=arrival_dates, ingested_at=ingested_at)
         changes = changes.withColumn("event_date", F.to_date(F.try_to_timestamp(F.col(spec.event_ts))))
+        day = CDC_PARTITIONS.index("event_date")
+        noted = (lambda parts: note_pending(spark, lake, [p[day] for p in parts])) if t in EVENT_TABLES else None
         out[t] = merge_upsert(changes, lake.bronze_cdc(t), spec.keys, CDC_PARTITIONS,
-                              ["file_arrival_date", spec.event_ts])
+                              ["file_arrival_date", spec.event_ts], use_directory=True, before_replace=noted)
     return out
 
 
@@ -251,23 +413,25 @@ def platform_contract(spark: SparkSession):
     return PL.silver_platform_events(*[spark.createDataFrame([], cdc_image_schema(t)) for t in EVENT_TABLES]).schema
 
 
-def build_silver_partner(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig = DEFAULT_RECON) -> dict:
+def build_silver_partner(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig = DEFAULT_RECON, metrics=()) -> dict:
     """Restate silver partner dates from the bronze partitions that hold rows
     of them, by the arrival index; partitions the index knows nothing certain
-    about are read too. Ranking across dates needs every version of a
-    transaction, wherever it arrived, and reads all of bronze."""
+    about are read too. Ranking across dates then keeps the rows that the
+    transaction directory calls current, so it reads no more of bronze."""
     if not table_exists(spark, lake.bronze_feeds):
         return {"rows": 0, "partitions_written": 0, "partitions_cleared": 0}
     bronze = read_table(spark, lake.bronze_feeds)
-    if table_exists(spark, lake.arrival_index) and not cfg.rank_before_date_filter:
+    if table_exists(spark, lake.arrival_index):
         index = read_arrival_index(spark, lake)
         sure = {tuple(r) for r in index.where("complete").select("operator_code", "file_arrival_date").distinct().collect()}
         hold = {tuple(r) for r in filter_dates(index.where("complete"), dates)
                 .select("operator_code", "file_arrival_date").distinct().collect()}
         parts = sorted(hold | (bronze_partitions(spark, lake) - sure), key=str)
         bronze = bronze.where(in_partitions(["operator_code", "file_arrival_date"], parts))
-    silver = N.silver_partner_events(bronze, dates=dates, rank_before_date_filter=cfg.rank_before_date_filter)
-    return replace_partitions(silver, lake.silver_partner, ["business_date"], [(d,) for d in dates])
+    silver = N.silver_partner_events(bronze, dates=dates)
+    if cfg.rank_before_date_filter:
+        silver = only_current(spark, lake, silver)
+    return replace_partitions(silver, lake.silver_partner, ["business_date"], [(d,) for d in dates], metrics)
 
 
 def build_quarantine(spark: SparkSession, lake: Lake, arrivals, cdc_log: dict) -> dict:
@@ -306,49 +470,174 @@ def silver_platform(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_optional_table(spark, lake.silver_platform, platform_contract(spark))
 
 
-def build_gold(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig = DEFAULT_RECON, run_ts=None) -> dict:
+def _staged(df: DataFrame, name: str, metrics=()) -> tuple[DataFrame, dict]:
+    """Write a table beside the published ones; returns it and the metrics of that write job."""
+    path = scratch_path(df.sparkSession, name)
+    obs = Observation(name)
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), observed(obs)
+
+
+def gold_fact(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig = DEFAULT_RECON, run_ts=None, metrics=()) -> tuple[DataFrame, dict]:
+    """The fact of the dates, built but not published, and the metrics of its write."""
     churn = PL.churn_events(cdc_image(spark, lake, "user_churn_events"))
     m = matcher(silver_partner(spark, lake), silver_platform(spark, lake), cfg, dates, slim=True)
     try:
-        fact = finish_fact(m.classified, churn, cfg, run_ts)
-        return replace_partitions(fact, lake.fact, ["business_date"], [(d,) for d in dates])
+        return _staged(finish_fact(m.classified, churn, cfg, run_ts), "gold", metrics)
     finally:
         m.release()  # the cached tier-1 table is only needed while the fact is written
 
 
-def daily_mart_for(spark: SparkSession, lake: Lake, dates, built_at=None) -> DataFrame:
+def daily_mart_for(spark: SparkSession, lake: Lake, dates, fact: DataFrame, built_at=None) -> DataFrame:
     """The daily mart restricted to the touched dates (incremental build)."""
     p = M.stg_partner_events(filter_dates(silver_partner(spark, lake), dates))
     i = M.stg_platform_events(filter_dates(silver_platform(spark, lake), dates))
-    f = M.stg_reconciliation_break(filter_dates(read_table(spark, lake.fact), dates))
-    return M.mart_daily(p, i, f, built_at=built_at)
+    return M.mart_daily(p, i, M.stg_reconciliation_break(fact), built_at=built_at)
+
+
+def published_except(spark: SparkSession, path: str, dates, schema) -> DataFrame | None:
+    """Rows of a published date-partitioned table on other dates; None when there is none."""
+    if not table_exists(spark, path):
+        return None
+    return read_table(spark, path, schema).where(~F.col("business_date").isin([F.lit(d).cast("date") for d in dates]))
+
+
+def close_days_after(spark: SparkSession, lake: Lake, dates, days: DataFrame, fact_schema) -> DataFrame:
+    """Per-day sums of the close as they will be once ``days`` replaces its dates.
 
+    The fact of other dates is read only when there are no sums yet although there is a fact."""
+    others = published_except(spark, lake.close_days, dates, days.schema)
+    if others is None and table_exists(spark, lake.fact):
+        others = M.close_by_day(M.stg_reconciliation_break(published_except(spark, lake.fact, dates, fact_schema)))
+    return days if others is None else others.select(*days.columns).unionByName(days)
 
-def build_marts(spark: SparkSession, lake: Lake, dates, built_at=None) -> dict:
-    """Daily mart: replace the touched dates. Monthly close: full rebuild
-    from the whole fact (it is small: one row per month and operator)."""
-    r = replace_partitions(daily_mart_for(spark, lake, dates, built_at), lake.daily, ["business_date"],
-                           [(d,) for d in dates])
-    monthly = M.mart_monthly_close(M.stg_reconciliation_break(read_table(spark, lake.fact)), built_at)
+
+def run_checks(spark: SparkSession, lake: Lake, dates, fact: DataFrame, daily: DataFrame, monthly: DataFrame,
+               counted: dict[tuple[str, str], int], constraints: list) -> list[dict]:
+    """Outcome of every constraint over the tables about to be published.
+
+    Row predicates of the fact and of silver were counted while these were written
+    (``counted``). A key constraint of the fact also looks at published rows of other
+    dates that carry a key of the new ones: one scan of the key columns. The marts are small.
+    """
+    keyed = [c for c in G.of_table(constraints, G.FACT) if c.unique]
+    scope = fact
+    others = published_except(spark, lake.fact, dates, fact.schema)
+    if keyed and others is not None:
+        names = sorted({k for c in keyed for k in c.unique})
+        new = fact.select(*[F.col(k).alias(f"_k_{k}") for k in names]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in names]
+        cond = same[0]
+        for s in same[1:]:
+            cond = cond & s
+        scope = fact.unionByName(others.select(*fact.columns).join(new, cond, "left_semi"))
+    found = dict(counted)
+    for table, df, some in ((G.FACT, scope, keyed), (G.DAILY, daily, G.of_table(constraints, G.DAILY)),
+                            (G.MONTHLY, monthly, G.of_table(constraints, G.MONTHLY))):
+        for r in G.findings(df, some).collect() if some else []:      # one row per violated constraint
+            found[(table, r["constraint_name"])] = r["violations"]
+    return G.decide(constraints, found)
+
+
+def _keep_results(spark: SparkSession, lake: Lake, results: list[dict], run_ts, published: bool) -> None:
+    rows = [(str(run_ts) if run_ts is not None else _dt.datetime.now(_dt.timezone.utc).isoformat(), *r.values(), published) for r in results]
+    spark.createDataFrame(rows, f"run_ts string, {G.RESULT_SCHEMA}, published boolean").coalesce(1).write.mode("append").parquet(lake.check_results)
+
+
+def build_and_publish(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig = DEFAULT_RECON, run_ts=None,
+                      counted: dict | None = None, constraints: list | None = None, stop: bool = True) -> dict:
+    """Build gold and marts of the dates, check them, and replace the published partitions.
+
+    With ``stop``, a violated ``error`` constraint raises ``QualityGateError`` and every published
+    table stays as it was; otherwise the results are only reported.
+    """
+    constraints = G.default_constraints(cfg) if constraints is None else constraints
+    parts = [(d,) for d in dates]
+    row_checks = G.row_metrics(G.of_table(constraints, G.FACT))
+    summary = [F.count_if(F.col("recon_status") == s).alias(f"status_{s}") for s in RECON_STATUSES]
+    fact, seen = gold_fact(spark, lake, dates, cfg, run_ts, [*row_checks, *summary])
+    daily, _ = _staged(daily_mart_for(spark, lake, dates, fact, run_ts), "daily")
+    days, _ = _staged(M.close_by_day(M.stg_reconciliation_break(fact)), "close-days")
+    after = close_days_after(spark, lake, dates, days, fact.schema)
+    if not table_exists(spark, lake.close_days):
+        after = _stored(after, "close-days-all")
+    monthly, _ = _staged(M.close_from_days(after, run_ts), "monthly")
+    counted = {**(counted or {}), **{(G.FACT, c.name): seen.get(c.name, 0) for c in G.of_table(constraints, G.FACT) if c.violation}}
+    log: dict = {"checks": run_checks(spark, lake, dates, fact, daily, monthly, counted, constraints)}
+    status = {s: int(seen.get(f"status_{s}") or 0) for s in RECON_STATUSES}
+    log["status_summary"] = sorted(((s, n) for s, n in status.items() if n), key=lambda x: (-x[1], x[0]))
+    refused = G.refused(log["checks"])
+    _keep_results(spark, lake, log["checks"], run_ts, not (refused and stop))
+    if refused and stop:
+        raise G.QualityGateError(log["checks"])
+    log["gold"] = replace_partitions(fact, lake.fact, ["business_date"], parts)
+    if table_exists(spark, lake.close_days):
+        replace_partitions(days, lake.close_days, ["business_date"], parts)
+    else:
+        full_overwrite(after, lake.close_days, ["business_date"])
+    log["marts"] = {"daily": replace_partitions(daily, lake.daily, ["business_date"], parts)}
     full_overwrite(monthly, lake.monthly)
-    return {"daily": r}
+    return log
+
+
+def register_tables(spark: SparkSession, lake: Lake, prefix: str = "", touched: dict | None = None) -> list[str]:
+    """Catalog entries of all the lake's tables, in databases named ``prefix`` + layer; absent tables are skipped.
+
+    ``touched`` maps (layer, table) to the partitions that a run changed; tables without an entry are left alone
+    once registered."""
+    out = []
+    for (layer, table), path in lake.tables().items():
+        parts = None if touched is None else touched.get((layer, table), [])
+        if register_external_table(spark, prefix + layer, table, path, parts):
+            out.append(f"{prefix}{layer}.{table}")
+    return out
+
+
+def export_tables(spark: SparkSession, lake: Lake, root: str, files: int | None = None) -> list[str]:
+    """Plain Parquet copies of all the lake's tables under ``root``/layer/table; absent tables are skipped."""
+    out = []
+    for (layer, table), path in lake.tables().items():
+        if table_exists(spark, path):
+            out.append(f"{root.rstrip('/')}/{layer}/{table}")
+            export_snapshot(read_table(spark, path), out[-1], files)
+    return out
 
 
 def restate(spark: SparkSession, landing: dict, lake: Lake, arrival_dates=None,
-            cfg: ReconConfig = DEFAULT_RECON, run_ts=None) -> dict:
-    """Ingest the arrival dates, then restate every business date they touch."""
+            cfg: ReconConfig = DEFAULT_RECON, run_ts=None, constraints: list | None = None, stop: bool = True,
+            register_as: str | None = None, export_to: str | None = None) -> dict:
+    """Ingest the arrival dates, then restate every business date they touch.
+
+    Also restated: dates that an earlier run left pending. The log holds row counts, the
+    results of the checks and the number of rows per status. ``register_as`` brings the catalog up
+    to date (a prefix of the databases' names), ``export_to`` writes snapshots of all tables.
+    """
     configure(spark)
     if arrival_dates is None:
         arrival_dates = landed_arrival_dates(spark, landing)
+    constraints = G.default_constraints(cfg) if constraints is None else constraints
     log = {"arrival_dates": len(arrival_dates)}
-    log["bronze_feeds"] = ingest_operator_feeds(spark, landing["operator_feeds"], lake, arrival_dates, run_ts)
+    log["bronze_feeds"] = ingest_operator_feeds(spark, landing["operator_feeds"], lake, arrival_dates, run_ts, cfg)
     log["bronze_cdc"] = ingest_cdc(spark, landing["internal"], lake, arrival_dates, run_ts)
-    dates = touched_business_dates(spark, landing, arrival_dates, log["bronze_feeds"], log["bronze_cdc"], lake)
+    touched = touched_business_dates(spark, landing, arrival_dates, log["bronze_feeds"], log["bronze_cdc"], lake)
+    note_pending(spark, lake, touched)
+    dates = sorted(set(touched) | pending_dates(spark, lake))
     log["business_dates"] = len(dates)
     log["quarantine"] = build_quarantine(spark, lake, log["bronze_feeds"].get("arrivals"), log["bronze_cdc"])
     if dates:
-        log["silver_partner"] = build_silver_partner(spark, lake, dates, cfg=cfg)
+        on_silver = G.of_table(constraints, G.PARTNER)
+        log["silver_partner"] = build_silver_partner(spark, lake, dates, cfg, G.row_metrics(on_silver))
+        counted = {(G.PARTNER, c.name): log["silver_partner"].get("metrics", {}).get(c.name, 0) for c in on_silver}
         log["silver_platform"] = build_silver_platform(spark, lake, dates)
-        log["gold"] = build_gold(spark, lake, dates, cfg, run_ts)
-        log["marts"] = build_marts(spark, lake, dates, run_ts)
+        log |= build_and_publish(spark, lake, dates, cfg, run_ts, counted, constraints, stop)
+        delete_path(spark, lake.pending)
+    if register_as is not None:
+        by_date = [(d,) for d in dates]
+        changed = {("bronze", "operator_feeds"): log["bronze_feeds"].get("arrivals", []),
+                   **{("bronze", t): log["bronze_cdc"][t].get("partitions", []) for t in CDC_TABLES},
+                   ("silver", "partner_events"): by_date, ("silver", "platform_events"): by_date,
+                   ("gold", "fact_reconciliation_break"): by_date, ("marts", "reconciliation_daily"): by_date}
+        log["registered"] = register_tables(spark, lake, register_as, changed)
+    if export_to is not None:
+        log["exported"] = export_tables(spark, lake, export_to)
     return log

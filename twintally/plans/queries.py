@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import CDC_TABLES, DEFAULT_RECON, FEEDS, ReconConfig
 from ..functions import money
+from ..operators import gate as G
 from ..operators import marts as M
 from ..operators import normalize as N
 from ..operators import overlays
@@ -299,6 +300,46 @@ def q_dq_no_double_counting(spark, sf_dir):
     return Q.dq_no_double_counting(fact.unionByName(again))
 
 
+def _gate_sql() -> str:
+    """The default constraints counted one by one over the planted tables."""
+    called = f"operator_code = '{PLANTED}' AND recon_status = 'AMOUNT_MISMATCH'"
+    fact = (f"SELECT * REPLACE (CASE WHEN {called} THEN 'MATCHED' ELSE recon_status END AS recon_status) FROM o_fact "
+            f"UNION ALL SELECT * FROM o_fact WHERE {called}")
+    daily = (f"SELECT * REPLACE (CASE WHEN operator_code <> '{PLANTED}' THEN matched_count END AS matched_count) FROM o_daily "
+             f"UNION ALL SELECT * FROM o_daily WHERE operator_code = '{PLANTED}'")
+    monthly = f"SELECT * REPLACE (nullif(operator_code, '{PLANTED}') AS operator_code) FROM o_monthly"
+    rows = [(G.FACT, "matched_rows_agree", "error", f"SELECT count(*) FROM ({fact}) t WHERE recon_status = 'MATCHED' "
+             f"AND NOT coalesce({O.match_sql('partner_amount', 'internal_amount')}, FALSE)"),
+            (G.FACT, "matched_rows_balanced", "warn", f"SELECT count(*) FROM ({fact}) t WHERE recon_status = 'MATCHED' AND abs(amount_variance) > 0.01"),
+            (G.FACT, "partner_counted_once", "error", f"SELECT count(*) FROM (SELECT 1 FROM ({fact}) t WHERE partner_txn_id IS NOT NULL "
+             "AND partner_amount > 0 GROUP BY operator_code, partner_txn_id HAVING count(*) > 1) u"),
+            (G.DAILY, "one_row_a_day_and_operator", "error", f"SELECT count(*) FROM (SELECT 1 FROM ({daily}) t "
+             "GROUP BY business_date, operator_code HAVING count(*) > 1) u"),
+            (G.PARTNER, "unknown_txn_type", "warn", "SELECT count(*) FROM fx_partner WHERE txn_type = 'unknown'")]
+    rows += [(t, f"not_null_{c}", "error", f"SELECT count(*) FROM ({body}) t WHERE {c} IS NULL")
+             for t, body, columns in ((G.DAILY, daily, Q.DAILY_NOT_NULL), (G.MONTHLY, monthly, Q.MONTHLY_NOT_NULL)) for c in columns]
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS constraint_name, '{s}' AS severity, CAST(n AS BIGINT) AS violations, n = 0 AS passed "
+        f"FROM ({n.replace('count(*)', 'count(*) AS n', 1)}) v" for t, c, s, n in rows)
+
+
+@register("dq_gate", O.marts(_gate_sql()))
+def q_dq_gate(spark, sf_dir):
+    """All checks of a run over the planted tables: one scan per table, one row per constraint."""
+    partner, platform, fact = _stg(spark, sf_dir)
+    path = scratch_path(spark, "gate-fact")
+    fact.write.parquet(path)
+    fact = spark.read.schema(fact.schema).parquet(path)
+    called = (F.col("operator_code") == PLANTED) & (F.col("recon_status") == "AMOUNT_MISMATCH")
+    planted = fact.withColumn("recon_status", F.when(called, F.lit("MATCHED")).otherwise(F.col("recon_status")))
+    daily = M.mart_daily(partner, platform, fact)
+    other = F.col("operator_code") != PLANTED
+    monthly = M.mart_monthly_close(fact).withColumn("operator_code", F.when(other, F.col("operator_code")))
+    return G.report({G.FACT: planted.unionByName(fact.where(called)),
+                     G.DAILY: daily.withColumn("matched_count", F.when(other, F.col("matched_count"))).unionByName(daily.where(~other)),
+                     G.MONTHLY: monthly, G.PARTNER: _fx(spark, sf_dir).partner_events()}, G.default_constraints())
+
+
 @register("dq_unknown_txn_type", O.fx(
     "SELECT business_date, operator_code, count(*) AS unknown_count FROM fx_partner "
     "WHERE txn_type = 'unknown' GROUP BY business_date, operator_code"))
@@ -503,6 +544,40 @@ def q_latest_arrival(spark, sf_dir):
     return N.latest_arrival(b.select(*N.SILVER_PARTNER_COLUMNS))
 
 
+MOVED_SQL = (" SELECT * REPLACE (txn_ts_utc + INTERVAL 1 DAY AS txn_ts_utc, txn_ts_local + INTERVAL 1 DAY AS txn_ts_local, "
+             "CAST(business_date + 1 AS DATE) AS business_date, CAST(file_arrival_date + 2 AS DATE) AS file_arrival_date) "
+             "FROM fx_partner_bronze WHERE k % 41 = 0 AND resend = 0")
+
+
+class _Moved(fixture.Fixture):
+    """The fixture with corrections that move a transaction to the next day."""
+
+    def partner_bronze(self) -> DataFrame:
+        rows = super().partner_bronze()
+        later = rows.where("k % 41 = 0 AND resend = 0").withColumns({
+            "utc_s": F.col("utc_s") + 86400, "local_s": F.col("local_s") + 86400,
+            "file_arrival_date": F.date_add("file_arrival_date", 2)})
+        return rows.unionByName(later)
+
+
+@register("latest_arrival_across_dates", O.fx(
+    "SELECT operator_code, partner_txn_id, msisdn_or_account, txn_type, plan_code, amount, currency, txn_ts_utc, txn_ts_local, "
+    "business_date, file_arrival_date FROM (SELECT *, row_number() OVER (PARTITION BY operator_code, partner_txn_id "
+    f"ORDER BY file_arrival_date DESC) AS rn_ FROM (SELECT * FROM fx_partner_bronze UNION ALL {MOVED_SQL}) b "
+    "WHERE NOT bad_ts AND NOT bad_amt) q WHERE rn_ = 1"))
+def q_latest_arrival_across_dates(spark, sf_dir):
+    """Silver by arrivals in three steps, ranked across dates: a correction that moves a transaction takes it
+    from its old day, which only the transaction directory knows."""
+    cfg = ReconConfig(rank_before_date_filter=True)
+    root = scratch_path(spark, "landing-moved")
+    fixture_files.write_partner_feeds(_Moved(spark, sf_dir), root)
+    lake = P.Lake(scratch_path(spark, "lake-moved"))
+    for lo, hi in (("2023-12-25", "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", "2024-02-10")):
+        log = P.ingest_operator_feeds(spark, root, lake, _dates_between(lo, hi), O.RUN_TS, cfg)
+        P.build_silver_partner(spark, lake, log["business_dates"], cfg)
+    return P.silver_partner(spark, lake).select(*N.SILVER_PARTNER_COLUMNS)
+
+
 @register("normalize_partner_rows", O.raw(
     "SELECT DISTINCT operator_code, r_id AS partner_txn_id, file_arrival_date, "
     "canon_type AS txn_type FROM o_raw WHERE NOT (bad_ts OR bad_amt)"))
@@ -722,6 +797,23 @@ def q_sink_merge_upsert(spark, sf_dir):
     return K.read_table(spark, path).select(*changes.columns)
 
 
+@register("sink_merge_indexed", O.fx(SUB_IMAGE_SQL))
+def q_sink_merge_indexed(spark, sf_dir):
+    """Change files merged in three passes, the last out of order, into an image by event date; the key
+    directory finds the older versions. The image must end as one of all changes, and the directory with it."""
+    changes = _cdc(spark, sf_dir, "sub_initial").drop("_ingested_at")
+    spec = CDC_TABLES["sub_initial"]
+    changes = changes.withColumn("event_date", F.to_date(F.try_to_timestamp(F.col(spec.event_ts))))
+    path = scratch_path(spark, "merge-indexed")
+    day = F.dayofmonth("file_arrival_date")
+    for part in (day.between(8, 14), day > 14, day < 8):
+        K.merge_upsert(changes.where(part), path, spec.keys, P.CDC_PARTITIONS, ["file_arrival_date", spec.event_ts], use_directory=True)
+    image = K.read_table(spark, path)
+    wrong = K.directory_of(spark, path, image, P.CDC_PARTITIONS).audit(K.key_places(image, spec.keys, P.CDC_PARTITIONS))
+    # a key that the directory has elsewhere than the image would show up as a row of its own
+    return image.drop("event_date").unionByName(wrong.select(F.col("what").alias("sub_id")), allowMissingColumns=True)
+
+
 @register("sink_schema_evolution", O.fx(
     "SELECT sub_id, user_id, operator_code, plan_id, partner_txn_id, "
     "CASE WHEN operator_code = 'telco_b' THEN upper(status) ELSE status END AS status, created_ts, amount, "

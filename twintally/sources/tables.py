@@ -71,20 +71,24 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         reader.close()
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """A Parquet table exists at ``path``: some data file lies under it. Empty
-    folders, partition folders included, are not a table. Listing stops at
-    the first data file."""
+def first_data_file(spark: SparkSession, path: str) -> str | None:
+    """Some Parquet data file under ``path`` (None when there is none). Listing
+    stops at the first; empty folders, partition folders included, hold none."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return False
+        return None
     it = fs.listFiles(p, True)
     while it.hasNext():
         rel = it.next().getPath().toString()
         name = rel.rsplit("/", 1)[-1]
         if name.endswith(".parquet") and not name.startswith(("_", ".")) and "/_temporary/" not in rel:
-            return True
-    return False
+            return rel
+    return None
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """A Parquet table exists at ``path``: some data file lies under it."""
+    return first_data_file(spark, path) is not None
 
 
 def empty_frame(spark: SparkSession, schema: StructType | str) -> DataFrame:
