@@ -10,7 +10,8 @@ the white space after it, so a text's ids are the ids of its units end to end:
   to the word after it).
 
 Units are found and hashed for a whole chunk at once, known ones come from a
-table of bounded size, and new ones are encoded with the tokenizers library. A
+table of bounded size, and new ones are encoded with the tokenizers library, piece
+by piece. A full table forgets the units that it met only once. A
 text with white space outside those six characters, which could tie two units
 together, is encoded whole. NULL texts are empty.
 """
@@ -18,6 +19,7 @@ together, is encoded whole. NULL texts are empty.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +27,18 @@ import pyarrow.compute as pc
 
 from twintally.llm.textops import Chunk
 
-#: units that a task's table holds at most before it starts anew
+#: units that a task's table holds at most before it forgets the rare ones
 TABLE_UNITS = 400_000
 #: parts of units (letter runs and the like) that it holds at most
-TABLE_PIECES = 100_000
+TABLE_PIECES = 300_000
+#: stands between units that are cut into pieces together; a unit that holds it is encoded on its own
+_BETWEEN = "\x00"
 #: \s beyond the six characters: control separators, NEL, no-break and wide blanks
 ODD_SPACE = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 #: ASCII and Latin letters with one plain lower-case form
-_PLAIN = re.compile("[\x00-\x7fÀ-įĲ-ž]*")
-_WORD_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_SPACED_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_PLAIN = re.compile("[\x01-\x7fÀ-įĲ-ž]*")
+_WORD_PIECES = re.compile(r"\x00|'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w\x00]|_)+")
+_SPACED_PIECES = re.compile(r"\x00|'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w\x00]|_)+|\s+(?![^\s\x00])|\s+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -53,7 +57,8 @@ class UnitTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials    # their strings in a text are then ordinary text
         self.mode, self.table_units = mode, table_units
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)")
         self.letters = _byte_letters()
         self._reset()
 
@@ -63,6 +68,7 @@ class UnitTokenizer:
         self.at = np.zeros(0, np.int64)             # where a unit's ids begin in flat
         self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
+        self.met = np.zeros(0, np.int32)            # chunks that a unit was met in
 
     def _piece(self, piece: str) -> list[int]:
         ids = self.pieces.get(piece)
@@ -73,32 +79,53 @@ class UnitTokenizer:
             ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
         return ids
 
-    def _unit(self, text: str) -> list[int]:
-        """Ids of one unit; plain units by pieces, anything else by the whole tokenizer."""
-        if not _PLAIN.fullmatch(text) or any(s in text for s in self.specials):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        if self.mode == "word":
-            found = _WORD_PIECES.findall(text.lower())
-        else:
-            found = _SPACED_PIECES.findall(text)
-        if len(found) == 1:
-            return self._piece(found[0])
-        return [i for p in found for i in self._piece(p)]
+    def _ids_of(self, texts: list[bytes]) -> list[list[int]]:
+        """Ids of units; plain units by pieces, cut all at once, anything else by the whole tokenizer."""
+        units = [t.decode("utf-8", "replace") for t in texts]
+        out: list[list[int]] = [[]] * len(units)
+        plain = []
+        for i, u in enumerate(units):
+            if _PLAIN.fullmatch(u) and not self.special.search(u):
+                plain.append(i)
+            else:
+                out[i] = self.tokenizer.encode(u, add_special_tokens=False).ids
+        if not plain:
+            return out
+        joined = _BETWEEN.join([units[i] for i in plain])
+        found = _WORD_PIECES.findall(joined.lower()) if self.mode == "word" else _SPACED_PIECES.findall(joined)
+        known, k, ids = self.pieces.get, 0, []
+        for p in found:
+            if p == _BETWEEN:
+                out[plain[k]] = ids
+                k, ids = k + 1, []
+            else:
+                x = known(p) or self._piece(p)
+                ids = ids + x if ids else x
+        out[plain[k]] = ids
+        return out
 
     def _learn(self, keys: np.ndarray, texts: list[bytes]) -> None:
         """Add units; ``keys`` are sorted and new."""
-        if len(self.keys) + len(keys) > self.table_units and len(self.keys):
-            raise MemoryError
-        ids = [self._unit(t.decode("utf-8", "replace")) for t in texts]
+        ids = self._ids_of(texts)
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         at = len(self.flat) + np.cumsum(size) - size
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
         self.at = np.insert(self.at, where, at)
         self.size = np.insert(self.size, where, size)
+        self.met = np.insert(self.met, where, 0)
         self.flat = np.concatenate([self.flat, flat])
 
+    def _forget(self) -> None:
+        """Keep the units met again since they were learnt, the half met most often when these are too many."""
+        least = max(2, int(np.partition(self.met, len(self.met) // 2)[len(self.met) // 2]) + 1)
+        stay = self.met >= least
+        self.keys, at, self.size = self.keys[stay], self.at[stay], self.size[stay]
+        self.flat = self.flat[ranges(at, self.size)]
+        self.at = np.cumsum(self.size) - self.size
+        self.met = np.ones(len(self.keys), np.int32)
+
     def _units(self, c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, ends and document of the units, in text order."""
         if self.mode == "word":
@@ -135,12 +162,17 @@ class UnitTokenizer:
         if not known.all():
             new = np.flatnonzero(~known)
             if len(self.keys) + len(new) > self.table_units and len(self.keys):
-                self._reset()
-                new = np.arange(len(keys))
+                self._forget()
+                at = np.searchsorted(self.keys, keys)
+                inside = at < len(self.keys)
+                known[:] = False
+                known[inside] = self.keys[at[inside]] == keys[inside]
+                new = np.flatnonzero(~known)
             data = c.data.tobytes()
             f = first[new]
             self._learn(keys[new], [data[a:b] for a, b in zip(starts[f].tolist(), ends[f].tolist())])
             at = np.searchsorted(self.keys, keys)
+        self.met[at] += 1
         unit_at, unit_size = self.at[at][which], self.size[at][which]
         total = np.zeros(c.n_docs, np.int64)
         run = np.zeros(len(unit_size) + 1, np.int64)
