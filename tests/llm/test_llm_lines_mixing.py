@@ -11,17 +11,28 @@ PAGES = ([(i, f"{BANNER}\nunique line {i}\n  {BANNER}  \n\nlast {i}", "a") for i
          + [(300, None, "a"), (301, "", None), (302, BANNER, "a"), (302, BANNER, "a"), (None, "x", None)])
 
 
-def plain_lines(rows, ratio=line_dedup.RATIO, least=line_dedup.MIN_PAGES):
+RULE = ((line_dedup.RATIO, line_dedup.MIN_PAGES),)
+
+
+def plain_lines(rows, rules=RULE):
     total, pages = Counter(), Counter()
     for _, t, h in rows:
         total[h] += 1
         for line in {x.strip(" \t\r") for x in (t or "").split("\n")} - {""}:
             pages[h, line] += 1
-    bad = {k for k, n in pages.items() if n >= least and n > ratio * total[k[0]]}
+    bad = {k for k, n in pages.items() if any(n >= least and n > ratio * total[k[0]] for ratio, least in rules)}
     return sorted(((i, None if t is None else "\n".join(x for x in t.split("\n") if (h, x.strip(" \t\r")) not in bad))
                    for i, t, h in rows), key=str)
 
 
+def plain_once(rows, rules=RULE):
+    """plain_lines with the lines counted over the distinct texts of a host."""
+    texts_of = sorted({(t or "", h) for _, t, h in rows}, key=str)
+    marks = plain_lines([(k, t, h) for k, (t, h) in enumerate(texts_of)], rules)
+    clean = {texts_of[k]: t for k, t in marks}
+    return sorted(((i, None if t is None else clean[t or "", h]) for i, t, h in rows), key=str)
+
+
 def texts(frame):
     return sorted(((r.doc_id, r.text) for r in frame.collect()), key=str)
 
@@ -31,7 +42,8 @@ def test_lines_by_host(spark):
     for kept in (line_dedup.BROADCAST_LINES, 0):        # broadcast, and the way beyond it
         got = line_dedup.drop_boilerplate(docs, broadcast_lines=kept)
         assert got.columns == docs.columns
-        assert texts(got) == plain_lines(PAGES)
+        assert texts(got) == plain_once(PAGES)
+        assert texts(line_dedup.drop_boilerplate(docs, broadcast_lines=kept, copies_once=False)) == plain_lines(PAGES)
     report = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup.drop_boilerplate(docs, report=True).collect()}
     assert report[0] == (5, 2) and report[300] == (0, 0) and report[200] == (2, 0)
     assert line_dedup.drop_boilerplate(docs.limit(0)).count() == 0
@@ -40,15 +52,7 @@ def test_lines_by_host(spark):
 def test_lines_on_other_ratios(spark):
     docs = docs_frame(spark, PAGES)
     for ratio in (0.0, 0.45, 1.0):
-        assert texts(line_dedup.drop_boilerplate(docs, ratio=ratio)) == plain_lines(PAGES, ratio)
-
-
-def plain_once(rows, **rule):
-    """plain_lines with the lines counted over the distinct texts of a host."""
-    texts_of = sorted({(t or "", h) for _, t, h in rows}, key=str)
-    marks = plain_lines([(k, t, h) for k, (t, h) in enumerate(texts_of)], **rule)
-    clean = {texts_of[k]: t for k, t in marks}
-    return sorted(((i, None if t is None else clean[t or "", h]) for i, t, h in rows), key=str)
+        assert texts(line_dedup.drop_boilerplate(docs, ratio=ratio)) == plain_once(PAGES, ((ratio, line_dedup.MIN_PAGES),))
 
 
 COPIED = ([(i, "one copied text\nits second line\nits end", "hot") for i in range(20)]
@@ -59,11 +63,28 @@ COPIED = ([(i, "one copied text\nits second line\nits end", "hot") for i in rang
 def test_copies_of_a_text_are_one_page(spark):
     """A third of a source, and 3 of 20 rows, are copies of one document: it stays, the banner goes."""
     docs = docs_frame(spark, COPIED, "host key keys a b pages line")
-    got = texts(line_dedup.drop_boilerplate(docs, copies_once=True))
+    got = texts(line_dedup.drop_boilerplate(docs))
     by = dict(got)
     assert by[0] == COPIED[0][1] and by[200] == "a small group\nof copies" and by[100] == "own line 0"
     assert got == plain_once(COPIED)
-    assert texts(line_dedup.drop_boilerplate(docs_frame(spark, PAGES), copies_once=True)) == plain_once(PAGES)
+    assert texts(line_dedup.drop_boilerplate(docs_frame(spark, PAGES))) == plain_once(PAGES)
+
+
+def test_working_names_give_way_to_columns(spark):
+    """Columns with the operators' own working names, and names with a dot, pass through."""
+    from twintally.llm import jaccard_groups
+
+    names = "__line_bad __line_key __line_row __mix_below __mix_hash __mix_source __jac_id __jac_k1 a.b"
+    docs = docs_frame(spark, [*PAGES, *COPIED[:5], *COPIED[:2]], names)
+    for kept in (line_dedup.BROADCAST_LINES, 0):
+        out = line_dedup.drop_boilerplate(docs, broadcast_lines=kept)
+        assert out.columns == docs.columns and texts(out) == plain_once([*PAGES, *COPIED[:5], *COPIED[:2]])
+        assert {r[-1] for r in out.collect()} == {"clash"}
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {r[-1] for r in mixed.collect()} == {"clash"}
+    one = jaccard_groups.keep_one(docs)
+    assert one.columns == docs.columns and {r[-1] for r in one.collect()} == {"clash"}
+    assert sum(r.doc_id == 0 for r in one.collect()) == 2          # two texts share the id
 
 
 def test_pipeline_keeps_a_copied_document(spark):

@@ -1,9 +1,10 @@
 import os
 
 import corpus_pipeline as P
+from twintally.llm import line_dedup
 import pytest
 from llm_frames import plain_components
-from test_llm_lines_mixing import plain_lines, plain_mix
+from test_llm_lines_mixing import RULE, plain_mix, plain_once
 from test_llm_quality import plain_base
 from test_llm_tokens import check_packing, library_ids
 
@@ -32,7 +33,8 @@ def test_each_stage_against_a_plain_version(spark):
 
     cleaned, lines = run(1, kept)
     assert cleaned.columns == names
-    assert sorted(((r.doc_id, r.text) for r in lines), key=str) == plain_lines([(r.doc_id, r.text, r.source) for r in rows])
+    assert sorted(((r.doc_id, r.text) for r in lines), key=str) == plain_once(
+        [(r.doc_id, r.text, r.source) for r in rows], (*RULE, *line_dedup.COMMON_RULES))
     assert all(r.n_chars == len(r.text) for r in lines if r.text is not None)
 
     unique, one = run(2, cleaned)

@@ -36,6 +36,13 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare_prefix(columns: list[str], prefix: str) -> str:
+    """``prefix``, lengthened until no column name begins with it (Spark's names ignore case)."""
+    while any(c.lower().startswith(prefix.lower()) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; NULL counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

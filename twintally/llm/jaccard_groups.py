@@ -43,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from twintally.llm.common import give_back, staged, text_chunks
+from twintally.llm.common import give_back, spare_prefix, staged, text_chunks
 from twintally.llm.components import components
 from twintally.llm.textops import Chunk, mix64
 from twintally.llm.unit_tokens import ranges
@@ -445,28 +445,35 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, broadcast_ids: int = 5 * B
     first), else by a join. Rows without an id, or of an id that several rows
     carry, are told apart by their sets: one row of each id and set can stay.
     """
+    j = spare_prefix(docs.columns, "__jac_")
+
     def few(ids: DataFrame) -> DataFrame:
         return F.broadcast(ids) if ids.count() <= broadcast_ids else ids
 
     found = staged(set_components(docs, percent), "jac-found")
-    drop = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__jac_id")).distinct(), "jac-drop")
+    drop = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias(j + "id")).distinct(), "jac-drop")
     shared = staged(found.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 or doc_id is null")
-                    .select(F.col("doc_id").alias("__jac_id")), "jac-shared")
-    same_id = F.col("doc_id").eqNullSafe(F.col("__jac_id"))
+                    .select(F.col("doc_id").alias(j + "id")), "jac-shared")
+    same_id = F.col("doc_id").eqNullSafe(F.col(j + "id"))
     if not shared.take(1):
         return docs.join(few(drop), same_id, "left_anti")
     alone = docs.join(few(shared), same_id, "left_anti").join(few(drop), same_id, "left_anti")
     rest = docs.join(few(shared), same_id, "left_semi")
+    numbered = [f"{j}{i}" for i in range(len(docs.columns))]      # names with dots do not pass through mapInArrow
+    text = numbered[docs.columns.index("text")]
+
     def add_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, col in text_chunks(batch, "text"):
+            for rows, col in text_chunks(batch, text):
                 keys = set_keys(*token_sets(col)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())],
-                                                 names=[*rows.schema.names, "__jac_k1", "__jac_k2"])
-
-    kinds = StructType([*docs.schema.fields, StructField("__jac_k1", LongType()), StructField("__jac_k2", LongType())])
-    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__jac_id"), F.col("k1").alias("__jac_1"),
-                                                         F.col("k2").alias("__jac_2")).distinct()
-    keyed = rest.mapInArrow(add_keys, kinds).join(
-        kept, same_id & (F.col("__jac_k1") == F.col("__jac_1")) & (F.col("__jac_k2") == F.col("__jac_2")), "left_semi")
-    return alone.unionByName(keyed.dropDuplicates(["doc_id", "__jac_k1", "__jac_k2"]).drop("__jac_k1", "__jac_k2"))
+                                                 names=[*rows.schema.names, j + "k1", j + "k2"])
+
+    kinds = StructType([*(StructField(n, f.dataType) for n, f in zip(numbered, docs.schema.fields)),
+                        StructField(j + "k1", LongType()), StructField(j + "k2", LongType())])
+    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias(j + "id"), F.col("k1").alias(j + "1"),
+                                                         F.col("k2").alias(j + "2")).distinct()
+    keyed = rest.toDF(*numbered).mapInArrow(add_keys, kinds).toDF(*docs.columns, j + "k1", j + "k2").join(
+        kept, same_id & (F.col(j + "k1") == F.col(j + "1")) & (F.col(j + "k2") == F.col(j + "2")), "left_semi")
+    # the columns stand in the same order on both sides, whatever their names
+    return alone.union(keyed.dropDuplicates(["doc_id", j + "k1", j + "k2"]).drop(j + "k1", j + "k2"))

@@ -6,15 +6,12 @@ from every page of that host; elsewhere they stay.
 
 Lines are the ``\n``-split pieces of a text, compared after trimming blanks;
 blank lines are never counted nor removed. A page that repeats a line counts
-once for it. Defined cases: NULL text stays NULL; a NULL host is a host of its
-own; rows that repeat a document count as pages of their own, or with
-``copies_once`` as one page (NULL and empty are the same text there); a page all
-of whose lines go keeps its row with an empty text; an empty table gives no rows;
-extra columns pass through.
-
-Without ``copies_once`` a document copied on more than ``ratio`` of a host's
-pages loses all its lines on each of them, so nothing of it is left to keep: the
-corpus pipeline counts copies once and leaves them to the near-duplicate stage.
+once for it, and rows of a host with equal texts are one page: a document copied on
+many pages is not boilerplate, it stays for the near-duplicate stage. Defined
+cases: NULL text stays NULL and counts as the empty page; a NULL host is a host of
+its own; with ``copies_once`` off every row is a page of its own (and a widely copied
+document is emptied); a page all of whose lines go keeps its row with an empty text; an
+empty table gives no rows; extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +22,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twintally.llm.common import staged
+from twintally.llm.common import spare_prefix, staged
 
 #: a line on more than this share of its host's pages is boilerplate
 RATIO = 0.1
@@ -34,8 +31,10 @@ MIN_PAGES = 3
 #: further (ratio, pages) for distinct texts: a line that ten different texts share needs a far smaller share, and a small
 #: source stays under the rule above; of 2, 1 and 0.5 %, only at 2 % no page of check_h lost all its lines
 COMMON_RULES = ((0.02, 10),)
-#: largest boilerplate table (rows) that is broadcast; beyond it the join shuffles by host
+#: largest boilerplate table (rows) that is broadcast, as one list a host; beyond it lines meet it in a join on (host, line)
 BROADCAST_LINES = 50_000
+#: longest list of a host that lines are looked up in
+HOST_LINES = 2_000
 P = "__line_"
 
 
@@ -54,7 +53,7 @@ def line_keys(text: Column) -> Column:
 
 
 def boilerplate_lines(docs: DataFrame, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                      copies_once: bool = False, more_rules: tuple[tuple[float, int], ...] = ()) -> DataFrame:
+                      copies_once: bool = True, more_rules: tuple[tuple[float, int], ...] = ()) -> DataFrame:
     """(host, key, pages, host_pages) of the lines above the ratio, or above that of one of ``more_rules``.
 
     One pass over the texts: a page gives the keys of its distinct lines and
@@ -83,27 +82,40 @@ def boilerplate_lines(docs: DataFrame, host: Column, ratio: float = RATIO, min_p
 
 
 def drop_boilerplate(docs: DataFrame, host: Column | None = None, ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     broadcast_lines: int = BROADCAST_LINES, report: bool = False, copies_once: bool = False,
+                     broadcast_lines: int = BROADCAST_LINES, report: bool = False, copies_once: bool = True,
                      more_rules: tuple[tuple[float, int], ...] = ()) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text`` (other columns unchanged).
 
-    The texts are read twice and never shuffled while the boilerplate table is
-    within ``broadcast_lines`` rows (its size is counted first); a larger table
-    is joined by host. ``report`` adds n_lines and n_dropped.
+    While the boilerplate table is within ``broadcast_lines`` rows and no host has
+    more than ``HOST_LINES`` (both counted first), texts are read twice and never shuffled. Beyond
+    that the lines of a text meet the table by (host, line), and only the numbers of the
+    lines to drop travel back to their row. ``report`` adds n_lines and n_dropped.
     """
+    p = spare_prefix(docs.columns, P)
     host = F.col("source") if host is None else host
     bad = staged(boilerplate_lines(docs, host, ratio, min_pages, copies_once, more_rules), "line-boilerplate")
-    per_host = bad.groupBy(F.col("host").alias(P + "host")).agg(F.collect_set("key").alias(P + "bad"))
-    if bad.count() <= broadcast_lines:
-        per_host = F.broadcast(per_host)
-    joined = docs.withColumn(P + "key", host).join(per_host, F.col(P + "key").eqNullSafe(F.col(P + "host")), "left")
+    sizes = bad.groupBy("host").agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n")).first()
     every = lines(F.col("text"))
-    gone = lambda x: F.coalesce(F.array_contains(F.col(P + "bad"), _key(x)), F.lit(False))
-    kept = F.when(F.col(P + "bad").isNull(), every).otherwise(F.filter(every, lambda x: ~gone(x)))
+    if (sizes[0] or 0) <= broadcast_lines and (sizes[1] or 0) <= HOST_LINES:
+        per_host = bad.groupBy(F.col("host").alias(p + "host")).agg(F.collect_set("key").alias(p + "bad"))
+        joined = docs.withColumn(p + "key", host).join(
+            F.broadcast(per_host), F.col(p + "key").eqNullSafe(F.col(p + "host")), "left")
+        gone = lambda x, i: F.coalesce(F.array_contains(F.col(p + "bad"), _key(x)), F.lit(False))
+        none = F.col(p + "bad").isNull()
+    else:
+        rows = staged(docs.withColumn(p + "row", F.monotonically_increasing_id()).withColumn(p + "key", host), "line-rows")
+        each = rows.select(F.col(p + "row"), F.col(p + "key").alias("h"), F.posexplode(line_keys(F.col("text"))).alias("i", "k"))
+        hits = each.where("k is not null").join(bad.select("host", F.col("key").alias("bk")),
+                                                F.col("h").eqNullSafe(F.col("host")) & (F.col("k") == F.col("bk")), "left_semi")
+        drop = hits.groupBy(p + "row").agg(F.collect_set("i").alias(p + "bad"))            # line numbers of one text
+        joined = rows.join(drop.withColumnRenamed(p + "row", p + "at"), F.col(p + "row") == F.col(p + "at"), "left")
+        gone = lambda x, i: F.array_contains(F.col(p + "bad"), i)
+        none = F.col(p + "bad").isNull()
+    kept = F.when(none, every).otherwise(F.filter(every, lambda x, i: ~gone(x, i)))
     out = {c: F.col(f"`{c}`") for c in docs.columns}
-    out["text"] = F.array_join(F.col(P + "kept"), "\n")
+    out["text"] = F.array_join(F.col(p + "kept"), "\n")
     cols = [c.alias(n) for n, c in out.items()]
     if report:
         cols += [F.coalesce(F.size(every), F.lit(0)).cast("long").alias("n_lines"),
-                 F.coalesce(F.size(every) - F.size(P + "kept"), F.lit(0)).cast("long").alias("n_dropped")]
-    return joined.withColumn(P + "kept", kept).select(*cols)
+                 F.coalesce(F.size(every) - F.size(p + "kept"), F.lit(0)).cast("long").alias("n_dropped")]
+    return joined.withColumn(p + "kept", kept).select(*cols)

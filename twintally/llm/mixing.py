@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from twintally.llm.common import id_hash, staged, word_count
+from twintally.llm.common import id_hash, spare_prefix, staged, word_count
 
 #: weights of the sources in rank order, repeating
 WEIGHTS = (3, 1, 2)
@@ -148,9 +148,10 @@ def mix_report(docs: DataFrame, **knobs) -> DataFrame:
 def mix(docs: DataFrame, **knobs) -> DataFrame:
     """The mix itself: every input column, each document repeated as often as it is taken."""
     _, limits = mix_plan(docs, **knobs)
-    limits = limits.select(*[F.col(c).alias(P + c) for c in ("source", "full", "below")])
-    rows = docs.withColumn(P + "hash", id_hash(F.col("doc_id")))
-    taken = rows.join(limits, F.col("source").eqNullSafe(F.col(P + "source")))
-    n = copies(F.col(P + "full"), F.col(P + "below"), F.col(P + "hash"))
-    return (taken.withColumn(P + "copy", F.explode(F.array_repeat(F.lit(1), n.cast("int"))))
+    p = spare_prefix(docs.columns, P)
+    limits = limits.select(*[F.col(c).alias(p + c) for c in ("source", "full", "below")])
+    rows = docs.withColumn(p + "hash", id_hash(F.col("doc_id")))
+    taken = rows.join(limits, F.col("source").eqNullSafe(F.col(p + "source")))
+    n = copies(F.col(p + "full"), F.col(p + "below"), F.col(p + "hash"))
+    return (taken.withColumn(p + "copy", F.explode(F.array_repeat(F.lit(1), n.cast("int"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -13,9 +13,10 @@ WITH lines AS (
   FROM (SELECT row_number() OVER () AS rowid, * FROM documents) d,
        LATERAL (SELECT unnest(string_split(d.text, chr(10))) AS l,
                        unnest(range(1, len(string_split(d.text, chr(10))) + 1)) AS i) t),
-hosts AS (SELECT source, count(*) AS host_pages FROM documents GROUP BY source),
-bad AS (
-  SELECT l.source, l.k FROM (SELECT DISTINCT r, source, k FROM lines WHERE k <> '') l
+hosts AS (SELECT source, count(DISTINCT coalesce(text, '')) AS host_pages FROM documents GROUP BY source),
+one AS (SELECT min(rowid) AS r FROM (SELECT row_number() OVER () AS rowid, * FROM documents) d GROUP BY source, coalesce(text, '')),
+bad AS (   -- rows of a source with equal texts are one page
+  SELECT l.source, l.k FROM (SELECT DISTINCT r, source, k FROM lines JOIN one USING (r) WHERE k <> '') l
   JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
   GROUP BY l.source, l.k, h.host_pages
   HAVING count(*) >= {MIN_PAGES} AND count(*) > {RATIO} * h.host_pages),
@@ -141,7 +142,8 @@ rebuilt AS (
   SELECT v.c, 0 AS part, pos, h, text FROM convs v JOIN turns t ON t.c = v.base AND pos <= head
   UNION ALL SELECT v.c, 1, pos, h, text FROM convs v JOIN turns t ON t.c = v.c AND pos > head),
 paths AS MATERIALIZED (
-  SELECT c, row_number() OVER o AS d, string_agg(h, '') OVER o AS k, len(regexp_extract_all(text, '[^ 	-]+')) AS words
+  SELECT c, row_number() OVER o AS d, string_agg(h, '') OVER o AS k, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words
   FROM rebuilt WINDOW o AS (PARTITION BY c ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
   UNION ALL SELECT c, 0, '', 0 FROM convs),
 nodes AS MATERIALIZED (
