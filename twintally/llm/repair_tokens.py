@@ -38,6 +38,8 @@ from twintally.llm.unit_tokens import ranges, tokenizer_for, with_end
 
 #: ids that a shard holds at least before it is closed (the bound of a task's memory)
 SHARD_IDS = 3_000_000
+#: text bytes that are encoded at a time
+ENCODE_BYTES = 2 << 20
 #: nonterminals are numbered from here; ids of the vocabulary lie below
 FIRST_RULE = 1 << 16
 MAX_RULES = 1 << 15
@@ -220,7 +222,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 1, mode: st
                                                           "rules", "rule_length", "symbols"])
 
         for batch in batches:
-            for rows, col in text_chunks(batch, "text"):
+            for rows, col in text_chunks(batch, "text", ENCODE_BYTES):
                 part = rows.column(2)[0].as_py()
                 x, n = with_end(*coder.encode(col), end_id)
                 ids.append(x.astype(np.uint32)), sizes.append(n)

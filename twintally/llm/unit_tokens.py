@@ -30,7 +30,7 @@ from twintally.llm.textops import Chunk
 #: units that a task's table holds at most before it forgets the rare ones
 TABLE_UNITS = 400_000
 #: parts of units (letter runs and the like) that it holds at most
-TABLE_PIECES = 300_000
+TABLE_PIECES = 200_000
 #: stands between units that are cut into pieces together; a unit that holds it is encoded on its own
 _BETWEEN = "\x00"
 #: \s beyond the six characters: control separators, NEL, no-break and wide blanks
@@ -75,7 +75,8 @@ class UnitTokenizer:
         if ids is None:
             if len(self.pieces) >= TABLE_PIECES:
                 self.pieces.clear()
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
+            plain = piece.isascii() and piece.isalpha()          # spelled as they are
+            spelled = piece if plain else piece.encode().decode("latin-1").translate(self.letters)
             ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
         return ids
 
@@ -154,7 +155,7 @@ class UnitTokenizer:
         starts, ends, doc = self._units(c)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(c.n_docs, np.int64)
-        keys, first, which = np.unique(c.span_hash(starts, ends), return_index=True, return_inverse=True)
+        keys, first, which = distinct(c.span_hash(starts, ends))
         at = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
         inside = at < len(self.keys)
@@ -193,6 +194,18 @@ class UnitTokenizer:
         return np.concatenate(parts) if parts else np.zeros(0, np.int32), sizes
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct values, where each occurs first, which one each value is), by Arrow's hash table."""
+    coded = pa.array(values).dictionary_encode()
+    at, found = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    order = np.argsort(found)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    first = np.empty(len(found), np.int64)
+    first[at[::-1]] = np.arange(len(at) - 1, -1, -1)        # of repeated places the last one written stays
+    return found[order], first[order], place[at]
+
+
 def ranges(start: np.ndarray, size: np.ndarray, run: np.ndarray | None = None) -> np.ndarray:
     """The indices start[i], start[i]+1, ... (size[i] of them), for all i end to end."""
     if run is None:
