@@ -86,24 +86,37 @@ def test_a_moved_correction_counts_twice_until_versions_are_ranked_across_dates(
     P.restate(spark, zones(root), lake, first, cfg, RUN)
     log = P.restate(spark, zones(root), lake, second, cfg, RUN)
     assert log["business_dates"] == 2 and all(r["passed"] for r in log["checks"])          # the 12th and the 18th
-    one = P.Lake(f"{tmpdir_path}/one")
-    P.restate(spark, zones(root), one, None, cfg, RUN)
-    assert tables(spark, lake) == tables(spark, one)
-    # the correction is withdrawn: its file comes again with another row, and the old version is current once more
-    put_feed(root, "telco_a", "20240120", [("t9", "a", "SUB", "10.00", "2024-01-19 12:00:00")])
-    log = P.restate(spark, zones(root), lake, second, cfg, RUN)
-    assert log["business_dates"] == 3
     got = {(r["partner_txn_id"], r["business_date"].day) for r in read_table(spark, lake.fact).collect()}
-    assert got == {("t0", 10), ("t1", 11), ("t2", 12), ("t3", 13), ("t4", 14), ("t9", 19)}
-    # the same arrival again, its row re-dated back within the same file: equal arrival dates, the new content counts
-    put_feed(root, "telco_a", "20240120", [("t9", "a", "SUB", "10.00", "2024-01-17 12:00:00")])
-    assert P.restate(spark, zones(root), lake, second, cfg, RUN)["business_dates"] == 2
-    # a run without cross-date ranking drops the directory; the next one with it builds it anew
-    P.restate(spark, zones(root), lake, second, run_ts=RUN)
+    assert got == {("t0", 10), ("t1", 11), ("t2", 18), ("t3", 13), ("t4", 14)}
+
+
+def test_current_versions_follow_every_arrival(spark, tmpdir_path):
+    root, lake = f"{tmpdir_path}/landing", P.Lake(f"{tmpdir_path}/lake")
+    for op in P.FEEDS:
+        os.makedirs(f"{root}/operator_feeds/{op}", exist_ok=True)
+    cfg = ReconConfig(rank_before_date_filter=True)
+
+    def arrive(day, rows, cfg=cfg):
+        """Days touched, and where each transaction then lies."""
+        put_feed(root, "telco_a", f"202401{day}", [(i, "a", "SUB", "10.00", f"2024-01-{d} 12:00:00") for i, d in rows])
+        log = P.ingest_operator_feeds(spark, f"{root}/operator_feeds", lake, [dt.date(2024, 1, day)], RUN, cfg)
+        P.build_silver_partner(spark, lake, log["business_dates"], cfg)
+        held = {(r["partner_txn_id"], r["business_date"].day) for r in P.silver_partner(spark, lake).collect()}
+        return [d.day for d in log["business_dates"]], held
+
+    start = {(f"t{i}", 10 + i) for i in range(4)}
+    assert arrive(15, sorted(start)) == ([10, 11, 12, 13], start)
+    assert arrive(20, [("t2", 18)]) == ([12, 18], start - {("t2", 12)} | {("t2", 18)})
+    # an older arrival comes late: what is current stays
+    assert arrive(16, [("t2", 14)])[1] == start - {("t2", 12)} | {("t2", 18)}
+    # the correction is withdrawn: its file comes again with another row; the latest remaining version is current
+    assert arrive(20, [("t9", 19)]) == ([14, 18, 19], start - {("t2", 12)} | {("t2", 14), ("t9", 19)})
+    # re-dated within a file of the same arrival date: the new content counts, also on an earlier day
+    assert arrive(20, [("t9", 17)]) == ([17, 19], start - {("t2", 12)} | {("t2", 14), ("t9", 17)})
+    # an arrival without cross-date ranking drops the directory; the next one with it builds it anew
+    arrive(21, [("t9", 16)], ReconConfig())
     assert not P.transaction_directory(spark, lake).usable()
-    P.restate(spark, zones(root), lake, second, cfg, RUN)
-    got = {(r["partner_txn_id"], r["business_date"].day) for r in read_table(spark, lake.fact).collect()}
-    assert got == {("t0", 10), ("t1", 11), ("t2", 12), ("t3", 13), ("t4", 14), ("t9", 17)}
+    assert arrive(22, [("t1", 22)]) == ([11, 22], start - {("t2", 12), ("t1", 11)} | {("t2", 14), ("t9", 16), ("t9", 17), ("t1", 22)})
 
 
 def test_a_run_registers_and_exports_its_tables(spark, tmpdir_path):

@@ -39,7 +39,7 @@ from ..sinks.directory import DirectoryStale, KeyDirectory, key_hash
 from ..sinks.partitions import (NULL_PARTITION, export_snapshot, full_overwrite, in_partitions, merge_upsert, observed,
                                 read_table, register_external_table, replace_partitions)
 from ..sources.landing import landing_paths
-from ..sources.tables import delete_path, list_dirs, list_names, read_optional_table, table_exists
+from ..sources.tables import delete_path, list_dirs, list_names, read_optional_table, table_exists, write_text
 
 
 @dataclass(frozen=True)
@@ -151,17 +151,14 @@ def landed_arrival_dates(spark: SparkSession, landing: dict) -> list:
 # ---------------------------------------------------------------------------
 
 def note_pending(spark: SparkSession, lake: Lake, dates) -> None:
-    """Remember dates before something they depend on changes."""
-    rows = [(d,) for d in sorted({d for d in dates if d is not None})]
-    if rows:
-        spark.createDataFrame(rows, "business_date date").coalesce(1).write.mode("append").parquet(lake.pending)
+    """Remember dates before something they depend on changes: an empty file named after each."""
+    for d in sorted({d for d in dates if d is not None} - pending_dates(spark, lake)):
+        write_text(spark, f"{lake.pending}/{d.isoformat()}")
 
 
 def pending_dates(spark: SparkSession, lake: Lake) -> set:
-    """Dates noted since the last publication (one row per date and note, so bounded)."""
-    if not table_exists(spark, lake.pending):
-        return set()
-    return {r[0] for r in spark.read.parquet(lake.pending).distinct().collect()}
+    """Dates noted since the last publication."""
+    return {_dt.date.fromisoformat(n) for n in list_names(spark, lake.pending) if not n.startswith((".", "_"))}
 
 
 # ---------------------------------------------------------------------------
@@ -352,6 +349,10 @@ def ingest_cdc(spark: SparkSession, internal_root: str, lake: Lake, arrival_date
     versions are found through the image's key directory."""
     out = {}
     for t, spec in CDC_TABLES.items():
+        folders = [f"{t}_{op}" for op in OPERATORS] if spec.per_operator else [t]
+        if not any(landing_paths(spark, f"{internal_root}/{f}", f, arrival_dates) for f in folders):
+            out[t] = {"rows": 0, "partitions": []}          # nothing landed: the image stays as it is
+            continue
         changes = PL.read_cdc(spark, internal_root, t, dates=arrival_dates, ingested_at=ingested_at)
         changes = changes.withColumn("event_date", F.to_date(F.try_to_timestamp(F.col(spec.event_ts))))
         day = CDC_PARTITIONS.index("event_date")

@@ -22,19 +22,18 @@ keeps one entry per key.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import delete_path, table_exists
+from ..sources.tables import delete_path, list_names, read_text, table_exists, write_text
 
 BUCKETS = 16
 COMPACT_AFTER = 32
 
-_MARKERS = "seq bigint, generation bigint, complete boolean, bucket int, n bigint"
-
 
 class DirectoryStale(RuntimeError):
     """The directory does not agree with its bookkeeping or with the table."""
@@ -57,14 +56,16 @@ class KeyDirectory:
         self.schema = f"k1 bigint, k2 bigint, seq bigint, {places}, bucket int"
 
     # -- bookkeeping ---------------------------------------------------------
+    # A marker is a small file, <generation>-<seq>.open or .closed; the closed one holds the entries per bucket.
 
-    def _markers(self) -> list:
-        if not table_exists(self.spark, self.markers_path):
-            return []
-        return self.spark.read.schema(_MARKERS).parquet(self.markers_path).collect()     # BUCKETS rows a run
+    def _markers(self) -> list[tuple[int, int, bool]]:
+        """(generation, seq, closed) of every marker; ``COMPACT_AFTER`` runs of a generation at most."""
+        names = [n for n in list_names(self.spark, self.markers_path) if n.endswith((".open", ".closed")) and not n.startswith(".")]
+        return [(*map(int, n.split(".")[0].split("-")), n.endswith(".closed")) for n in names]
 
-    def _mark(self, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, _MARKERS).coalesce(1).write.mode("append").parquet(self.markers_path)
+    def _mark(self, run: tuple[int, int], counts: dict[int, int] | None = None) -> None:
+        kind = "open" if counts is None else "closed"
+        write_text(self.spark, f"{self.markers_path}/{run[0]}-{run[1]}.{kind}", json.dumps(counts or {}))
 
     def _state(self, run: tuple[int, int] | None = None) -> tuple[int | None, dict[int, int], int]:
         """(generation, entries per bucket, runs in it); generation is None when it must be rebuilt.
@@ -72,15 +73,15 @@ class KeyDirectory:
         markers = self._markers()
         if not markers:
             return None, {}, 0
-        generation = max(m["generation"] for m in markers)
-        own = [m for m in markers if m["generation"] == generation]
-        closed = {m["seq"] for m in own if m["complete"]}
-        if {m["seq"] for m in own} - closed - ({run[1]} if run else set()):
+        generation = max(m[0] for m in markers)
+        closed = {seq for g, seq, done in markers if g == generation and done}
+        opened = {seq for g, seq, done in markers if g == generation and not done}
+        if opened - closed - ({run[1]} if run else set()):
             return None, {}, 0
         held = dict.fromkeys(range(BUCKETS), 0)
-        for m in own:
-            if m["complete"]:
-                held[m["bucket"]] += m["n"]
+        for seq in closed:
+            for b, n in json.loads(read_text(self.spark, f"{self.markers_path}/{generation}-{seq}.closed")).items():
+                held[int(b)] += n
         return generation, held, len(closed)
 
     def usable(self) -> bool:
@@ -126,7 +127,7 @@ class KeyDirectory:
         if generation is None:
             raise DirectoryStale(f"{self.path}: rebuild before use")
         run = (generation, time.time_ns())
-        self._mark([(run[1], run[0], False, None, 0)])
+        self._mark(run)
         return run
 
     def close(self, run: tuple[int, int], entries: DataFrame) -> None:
@@ -146,17 +147,17 @@ class KeyDirectory:
             obs, *[F.count_if(F.col("bucket") == b).alias(f"b{b}") for b in range(BUCKETS)])
         rows.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/generation-{run[0]}")
         n = observed(obs)
-        self._mark([(run[1], run[0], True, b, int(n.get(f"b{b}") or 0)) for b in range(BUCKETS)])
+        self._mark(run, {b: int(n.get(f"b{b}") or 0) for b in range(BUCKETS)})
 
     def _generation(self, generation: int, entries: DataFrame) -> None:
         """Start a generation. It counts only once closed: an unfinished one is abandoned with its files."""
-        seq = time.time_ns()
-        self._mark([(seq, generation, False, None, 0)])
-        self._append((generation, seq), entries)
+        run = (generation, time.time_ns())
+        self._mark(run)
+        self._append(run, entries)
 
     def rebuild(self, entries: DataFrame) -> None:
         """A new generation from (k1, k2, bucket, place columns) of every key in the table."""
-        last = max((m["generation"] for m in self._markers()), default=-1)
+        last = max((m[0] for m in self._markers()), default=-1)
         self._generation(last + 1, entries)
         if last >= 0:
             delete_path(self.spark, f"{self.path}/generation-{last}")

@@ -49,6 +49,25 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def write_text(spark: SparkSession, path: str, text: str = "") -> None:
+    """A small text file (bookkeeping: no job is started for it)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def leaf_files(spark: SparkSession, path: str) -> list[str]:
     """Every data file under a file or folder path (hidden ones left out)."""
     fs, p = _fs(spark, path)
