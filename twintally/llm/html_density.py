@@ -60,7 +60,8 @@ _HEADING = re.compile(r"h[1-6]\Z")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "up", "kids", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "marked")
+    __slots__ = ("tag", "attrs", "up", "kids", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "marked",
+                 "has_body", "has_prose")
 
     def __init__(self, tag: str, attrs: str = "", up: Node | None = None):
         self.tag, self.attrs, self.up, self.kids, self.marked = tag, attrs, up, [], False
@@ -131,18 +132,6 @@ def _attributes(raw: str) -> dict[str, str]:
     return {(m[1] or m[3]).lower(): unescape((m[2] or "").strip("\"'")) for m in _ATTR.finditer(raw)}
 
 
-def _has(node: Node, tags: frozenset) -> bool:
-    todo = [node]
-    while todo:
-        x = todo.pop()
-        for k in x.kids:
-            if isinstance(k, Node):
-                if k.tag in tags:
-                    return True
-                todo.append(k)
-    return False
-
-
 _BODY_TAGS = frozenset(("article", "main", "h1"))
 _PROSE = frozenset(("p", "blockquote", "pre", "section", "table"))
 
@@ -179,8 +168,11 @@ def listed_words(node: Node) -> set[str]:
 
 
 def _sizes(root: Node) -> None:
-    """chars and link_chars of every node, without what its tag cuts."""
+    """chars and link_chars of every node, without what its tag cuts, and whether an article's body or prose lies below it."""
     for x in _postorder(root):
+        below = [k for k in x.kids if isinstance(k, Node)]
+        x.has_body = any(k.has_body or k.tag in _BODY_TAGS for k in below)
+        x.has_prose = any(k.has_prose or k.tag in _PROSE for k in below)
         kids = [k for k in x.kids if isinstance(k, Node) and k.tag not in CUT_TAGS]
         x.chars = sum(k.chars for k in kids) + sum(len(k.strip()) for k in x.kids if isinstance(k, str))
         x.link_chars = x.chars if x.tag == "a" else sum(k.link_chars for k in kids)
@@ -189,9 +181,9 @@ def _sizes(root: Node) -> None:
 def _by_words(node: Node, words: set[str], around: Node, in_article: bool, has_article: bool) -> bool:
     """Whether the listed words of a block make it go. They do in a block that is small against the article or page
     ``around`` it, mostly links, or without prose; a larger one goes beside an article, or as readers' replies in one."""
-    if _has(node, _BODY_TAGS):
+    if node.has_body:
         return False
-    if 2 * node.chars <= around.chars or 2 * node.link_chars > node.chars or not _has(node, _PROSE):
+    if 2 * node.chars <= around.chars or 2 * node.link_chars > node.chars or not node.has_prose:
         return True
     if in_article:
         return not words.isdisjoint(REPLY_WORDS)
@@ -215,7 +207,7 @@ def _prune(root: Node, keep_forms: bool, by_words: bool = True) -> tuple[int, in
                 if is_cut(k, inside, keep_forms):
                     continue
                 words = listed_words(k)
-                if words and (by_words or 2 * k.link_chars > k.chars or not _has(k, _PROSE)) and \
+                if words and (by_words or 2 * k.link_chars > k.chars or not k.has_prose) and \
                         _by_words(k, words, around, inside, has_article):
                     cut += k.chars
                     continue
