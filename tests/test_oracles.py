@@ -8,6 +8,8 @@ from oracle_compare import compare, duck_connect
 from twintally.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
+# beyond SQL; held against a brute-force version in the module named
+BRUTE_FORCE = {"match_fallback_one_to_one_tolerance": "test_pairing"}
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | set(BRUTE_FORCE)
     assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
@@ -26,7 +28,7 @@ def test_entry_runs(spark):
     assert "recon_status" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert r["status"] == "MATCH", r

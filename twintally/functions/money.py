@@ -22,7 +22,7 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _dec(v: Decimal) -> Column:
+def dec_lit(v: Decimal) -> Column:
     v = Decimal(v)
     scale = max(0, -v.as_tuple().exponent)
     digits = max(len(v.as_tuple().digits), scale + 1)
@@ -47,8 +47,8 @@ def amounts_match(p, i, cfg: ReconConfig = DEFAULT_RECON) -> Column:
     """
     p, i = _c(p), _c(i)
     diff = F.abs(p - i)
-    rel_bound = _dec(cfg.amount_rel_tolerance) * F.greatest(F.abs(p), _dec(REL_FLOOR))
-    return (diff <= _dec(cfg.amount_abs_tolerance)) | (diff <= rel_bound)
+    rel_bound = dec_lit(cfg.amount_rel_tolerance) * F.greatest(F.abs(p), dec_lit(REL_FLOOR))
+    return (diff <= dec_lit(cfg.amount_abs_tolerance)) | (diff <= rel_bound)
 
 
 def amount_variance(p, i) -> Column:

@@ -27,6 +27,7 @@ import heapq
 import sys
 from decimal import Decimal
 from functools import cached_property
+from itertools import groupby
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..config import DEFAULT_RECON, MONEY_TYPES, ReconConfig
-from .matching import AMOUNT_KEY, Match
+from ..functions.money import dec_lit
+from .matching import AMOUNT_KEY, AmountBuckets, Match
 
 CHUNK_ROWS = 1_000_000
 
@@ -133,6 +135,44 @@ def greedy_allocate(amounts: list[tuple[Decimal, int, int]], cfg: ReconConfig |
     return out
 
 
+def tolerance_chains(amounts: DataFrame, keys, cfg: ReconConfig = DEFAULT_RECON, name: str = "chain") -> DataFrame:
+    """Number each distinct ``amount`` of a key with the first amount of its chain.
+
+    Adjacent amounts ``a < b`` are in one chain unless ``b - a`` exceeds both the
+    absolute tolerance and the relative one of the larger magnitude. For any
+    ``x <= a`` and ``y >= b`` within tolerance of each other, ``b - a`` is within
+    it too (the relative rate is below 1), so no valid pair leaves its chain.
+
+    A key's amounts are never sorted in one task: they are cut into consecutive
+    segments as wide as one amount bucket, linked inside each segment, and the
+    segments (a few thousand a key at most, by the range of the amount type) are
+    stitched through their first and last amounts. Rows with a NULL key or amount
+    have no chain and are left out; ``amount`` must be unique within a key.
+    """
+    keys = list(keys)
+    bk = AmountBuckets.for_config(cfg)
+    step = bk.bucket(F.col("amount")) - bk.bucket(F.lit(0))
+    d = amounts.where(F.col("amount").isNotNull()).withColumn(
+        "_seg", F.when(F.col("amount") < 0, -1 - step).otherwise(step))
+    within = Window.partitionBy(*keys, "_seg").orderBy("amount")
+    across = Window.partitionBy(*keys).orderBy("_seg")
+    ends = (d.groupBy(*keys, "_seg").agg(F.max("amount").alias("_hi"))
+            .select(*keys, "_seg", F.lag("_hi").over(across).alias("_below")))
+    d = (d.withColumn("_prev", F.lag("amount").over(within)).join(ends, [*keys, "_seg"], "inner")
+         .withColumn("_prev", F.coalesce("_prev", "_below")))
+    larger = F.greatest(F.abs("_prev"), F.abs("amount"), F.lit(Decimal("0.01")))
+    gap = F.col("amount") - F.col("_prev")
+    linked = (gap <= dec_lit(cfg.amount_abs_tolerance)) | (gap <= dec_lit(cfg.amount_rel_tolerance) * larger)
+    d = d.withColumn("_start", F.when(~F.coalesce(linked, F.lit(False)), F.col("amount")))
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    carried = (d.groupBy(*keys, "_seg").agg(F.max("_start").alias("_s"))
+               .select(*keys, "_seg", F.last("_s", ignorenulls=True).over(before).alias("_carried")))
+    so_far = F.last("_start", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    return (d.withColumn("_start", so_far).join(carried, [*keys, "_seg"], "inner")
+            .withColumn(name, F.coalesce("_start", "_carried"))
+            .drop("_seg", "_prev", "_below", "_start", "_carried"))
+
+
 ALLOC_SCHEMA = ("operator_code string, txn_type string, business_date date, p_amount decimal(12,2), "
                 "i_amount decimal(12,2), n long, p_skip long, i_skip long")
 
@@ -183,7 +223,7 @@ class OneToOneMatch(Match):
 
     @cached_property
     def allocations(self) -> DataFrame:
-        """Phase-2 rank ranges per (operator, type, date), from distinct amounts."""
+        """Phase-2 rank ranges per (operator, type, date), chain by chain, from distinct amounts."""
         # Only plain values reach the executors: the helper and this module are
         # pickled by value, so workers need no copy of the package.
         abs_tol, rel_tol = Decimal(self.cfg.amount_abs_tolerance), Decimal(self.cfg.amount_rel_tolerance)
@@ -195,18 +235,29 @@ class OneToOneMatch(Match):
             F.least(F.col("np"), F.col("ni")).alias("zipped"),
         ).where((F.col("lp") > 0) | (F.col("li") > 0))
 
-        def alloc(pdf: pd.DataFrame) -> pd.DataFrame:
-            zipped = {a: int(z) for a, z in zip(pdf["amount"], pdf["zipped"])}
-            rows = greedy_allocate([(a, int(lp), int(li)) for a, lp, li in
-                                    zip(pdf["amount"], pdf["lp"], pdf["li"])], None, abs_tol, rel_tol)
-            head = pdf.iloc[0]
-            return pd.DataFrame(
-                [(head["operator_code"], head["txn_type"], head["business_date"], pa, ia, n,
-                  zipped[pa] + ps, zipped[ia] + is_) for pa, ia, n, ps, is_ in rows],
-                columns=["operator_code", "txn_type", "business_date", "p_amount", "i_amount", "n",
-                         "p_skip", "i_skip"])
-
-        return left.groupBy(*AMOUNT_KEY).applyInPandas(alloc, ALLOC_SCHEMA)
+        def of_chain(key, amounts) -> list[tuple]:
+            if not (any(lp for _, lp, _, _ in amounts) and any(li for _, _, li, _ in amounts)):
+                return []
+            zipped = {a: int(z) for a, _, _, z in amounts}
+            found = greedy_allocate([(a, int(lp), int(li)) for a, lp, li, _ in amounts], None, abs_tol, rel_tol)
+            return [(*key[:3], pa, ia, n, zipped[pa] + ps, zipped[ia] + is_) for pa, ia, n, ps, is_ in found]
+
+        def alloc(batches):
+            names = [c.split()[0] for c in ALLOC_SCHEMA.split(", ")]
+            now, amounts = None, []
+            for pdf in batches:
+                out = []
+                for key, rows in groupby(pdf.itertuples(index=False, name=None), key=lambda r: r[:4]):
+                    if key != now:
+                        out += of_chain(now, amounts)
+                        now, amounts = key, []
+                    amounts += [r[4:] for r in rows]
+                yield pd.DataFrame(out, columns=names)
+            yield pd.DataFrame(of_chain(now, amounts), columns=names)
+
+        chains = tolerance_chains(left, AMOUNT_KEY, self.cfg).select(*AMOUNT_KEY, "chain", "amount", "lp", "li", "zipped")
+        return (chains.repartition(*AMOUNT_KEY, "chain").sortWithinPartitions(*AMOUNT_KEY, "chain", "amount")
+                .mapInPandas(alloc, ALLOC_SCHEMA))
 
     @cached_property
     def _paired_ranks(self) -> DataFrame:

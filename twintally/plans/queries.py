@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import CDC_TABLES, DEFAULT_RECON, FEEDS, ReconConfig
 from ..functions import money
+from ..operators import feed_rules as FR
 from ..operators import gate as G
 from ..operators import marts as M
 from ..operators import normalize as N
@@ -867,6 +868,46 @@ def q_match_fallback_one_to_one(spark, sf_dir):
     return m.release_with(m.fallback)
 
 
+@register("match_fallback_one_to_one_tolerance")
+def q_match_fallback_one_to_one_tolerance(spark, sf_dir):
+    """The same over amounts at and around the tolerances, where leftovers are allocated chain by chain.
+    The greedy order is beyond SQL; tests hold the result against a row-level version."""
+    f = _fx(spark, sf_dir)
+    from ..operators.reconcile import matcher
+    m = matcher(f.partner_events(), f.platform_events(), ReconConfig(pairing="one_to_one"))
+    return m.release_with(m.fallback)
+
+
+@register("tolerance_chains", O.engine(O.CHAINS))
+def q_tolerance_chains(spark, sf_dir):
+    """Distinct amounts of both remainders, cut where no valid pair can span the gap."""
+    from ..operators.matching import AMOUNT_KEY
+    from ..operators.pairing import tolerance_chains
+    from ..operators.reconcile import matcher
+    f = _fx(spark, sf_dir)
+    m = matcher(f.partner_events(), f.platform_events(), ReconConfig(pairing="one_to_one"))
+    amounts = m._counts.select(*AMOUNT_KEY, "amount")
+    return m.release_with(tolerance_chains(amounts, AMOUNT_KEY, m.cfg))
+
+
+def _dated_rules(spark):
+    """The feeds' rules, with two codes that telco_a re-maps in the test week."""
+    dates = "CAST(valid_from AS DATE) AS valid_from, CAST(valid_to AS DATE) AS valid_to"
+    more = spark.sql(f"SELECT operator_code, kind, name, value, {dates} FROM VALUES "
+                     f"('telco_a', 'type', 'RENEW_OK', 'refund', '{WEEK[0]}', '{WEEK[1]}'), "
+                     f"('telco_a', 'type', 'SUB', 'cancel', '{WEEK[1]}', NULL) AS t(operator_code, kind, name, value, valid_from, valid_to)")
+    return FR.rules_of_feeds(spark).unionByName(more)
+
+
+@register("silver_by_feed_rules", O.fx(
+    "SELECT * REPLACE (CASE WHEN operator_code = 'telco_a' AND txn_type = 'recursion_success' "
+    f"AND file_arrival_date >= DATE '{WEEK[0]}' AND file_arrival_date < DATE '{WEEK[1]}' THEN 'refund' "
+    f"WHEN operator_code = 'telco_a' AND txn_type = 'subscription_success' AND file_arrival_date >= DATE '{WEEK[1]}' "
+    "THEN 'cancel' ELSE txn_type END AS txn_type) FROM fx_partner"))
+def q_silver_by_feed_rules(spark, sf_dir):
+    return FR.silver_by_rules(_bronze(spark, sf_dir), _dated_rules(spark))
+
+
 @register("dq_matched_balanced_tolerance", O.engine(
     "SELECT business_date, operator_code, partner_txn_id, partner_amount, internal_amount, amount_variance "
     f"FROM o_fact WHERE (recon_status = 'MATCHED' OR (operator_code = '{PLANTED}' AND recon_status = 'AMOUNT_MISMATCH')) "
