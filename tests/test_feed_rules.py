@@ -85,3 +85,14 @@ def test_plan_does_not_grow_with_the_feeds(spark):
     size = [len(FR.normalize_by_rules(bronze_of(spark, []), r)._jdf.queryExecution().analyzed().treeString())
             for r in (FR.rules_of_feeds(spark, dict(list(FEEDS.items())[:1])), many)]
     assert size[1] < size[0] * 1.1
+
+
+def test_a_book_too_large_to_broadcast_gives_the_same_rows(spark, monkeypatch):
+    bronze, rules = queries._bronze(spark, SF), FR.rules_of_feeds(spark)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    small = FR.normalize_by_rules(bronze, rules)
+    assert "BroadcastHashJoin" in plan(small)
+    monkeypatch.setattr(FR, "BROADCAST_RULES", 3)
+    large = FR.normalize_by_rules(bronze, rules)
+    assert "BroadcastHashJoin" not in plan(large)
+    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0

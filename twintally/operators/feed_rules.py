@@ -46,6 +46,8 @@ RULE_SCHEMA = "operator_code string, kind string, name string, value string, val
 KINDS = ("column", "type", "time", "zone", "currency")
 BETWEEN = "\u001f"
 FOREVER = "9999-12-31"
+#: up to this many rules the book is broadcast; counted before each use
+BROADCAST_RULES = 100_000
 
 
 def rules_of_feeds(spark: SparkSession, feeds: dict = FEEDS) -> DataFrame:
@@ -113,13 +115,16 @@ def normalize_by_rules(bronze: DataFrame, rules: DataFrame) -> DataFrame:
     """Bronze -> canonical rows with quarantine reasons, each read by the rules
     of its arrival date (the counterpart of ``normalize.normalize_partner``).
 
-    The join is a left join on the operator; the planner broadcasts the rule
-    book if it is below its threshold and otherwise splits a hot operator's
-    rows (``spark.sql.adaptive.skewJoin``). Operators without rules keep their
+    The join is a left join on the operator. The rules are counted first: up to
+    ``BROADCAST_RULES`` the book is broadcast and bronze is not shuffled; beyond,
+    it is a shuffled join in which adaptive execution splits a hot operator's
+    rows (they are on the preserved side). Operators without rules keep their
     rows, as quarantined. Bronze columns that no rule names are not read.
     """
     raw = [c for c in bronze.columns if c not in BRONZE_META]
     book = rule_book(rules).withColumnRenamed("operator_code", "_op")
+    if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
+        book = F.broadcast(book)
     quoted = [f"`{c.replace('`', '``')}`" for c in raw]
     cells = F.map_from_arrays(F.array(*[F.lit(c) for c in raw]), F.array(*[F.col(q).cast("string") for q in quoted]))
     d = (bronze.select("operator_code", "file_arrival_date", cells.alias("_cells"))

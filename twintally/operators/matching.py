@@ -241,6 +241,11 @@ class Match:
         pc, ic = self.partner.columns, self.platform.columns
         p = self.partner.select(*[F.col(k) for k in STRONG_KEY], F.struct(*pc).alias("p"))
         i = self.platform.select(*[F.col(k) for k in STRONG_KEY], F.struct(*ic).alias("i"))
+        return self._tier1_of(p, i, p, i)
+
+    def _tier1_of(self, p: DataFrame, i: DataFrame, p_unkeyed: DataFrame, i_unkeyed: DataFrame) -> DataFrame:
+        """Tier 1 of rows with a complete key in ``p`` and ``i`` and of rows without one in the
+        other two; each frame may hold further rows, which count for nothing."""
         # a row with any NULL key part can never match; stating the not-null
         # filter in full keeps the partner input of both joins below one plan
         # (no inferred filters on one side only), so its exchange is reused
@@ -262,8 +267,8 @@ class Match:
         p_only = pk.join(ik.select(*keys).distinct(), keys, "left_anti").select("p", no_i)
         joined = i_side.unionByName(p_only)
         # a NULL key part never matches: those rows are remainders by construction
-        p_null = p.where(~keyed).select("p", no_i)
-        i_null = i.where(~keyed).select(no_p, "i")
+        p_null = p_unkeyed.where(~keyed).select("p", no_i)
+        i_null = i_unkeyed.where(~keyed).select(no_p, "i")
         t = joined.unionByName(p_null).unionByName(i_null)
         if self.persist:
             t = t.persist(StorageLevel.MEMORY_AND_DISK)
@@ -425,3 +430,22 @@ def _partner_side_rows(df: DataFrame) -> DataFrame:
 
     return fact_rows(df, _labels(pick("MATCHED", "MISSING_ON_PLATFORM"), pick("fallback", "none"),
                                  pick(MATCH_KEY_FALLBACK, MATCH_KEY_UNMATCHED_PARTNER)), partner="", platform="w")
+
+
+class ColocatedMatch(Match):
+    """A ``Match`` over streams kept by ``sinks.colocated``: each side is given as
+    ``(keyed, unkeyed)`` frames, and the keyed ones, bucketed alike, join
+    without an exchange."""
+
+    def __init__(self, partner: tuple[DataFrame, DataFrame], platform: tuple[DataFrame, DataFrame],
+                 cfg: ReconConfig = DEFAULT_RECON, dates=None, persist: bool | None = None, slim: bool = False):
+        super().__init__(partner[0], platform[0], cfg, dates, persist, slim)
+        self._unkeyed = Match(partner[1], platform[1], cfg, dates, False, slim)
+
+    @cached_property
+    def tier1(self) -> DataFrame:
+        def side(df: DataFrame, name: str) -> DataFrame:
+            return df.select(*[F.col(k) for k in STRONG_KEY], F.struct(*df.columns).alias(name))
+        rest = self._unkeyed
+        return self._tier1_of(side(self.partner, "p"), side(self.platform, "i"),
+                              side(rest.partner, "p"), side(rest.platform, "i"))

@@ -8,6 +8,7 @@ a plain-SQL statement of the same result in ``oracles.py`` unless noted.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid as _uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,10 @@ from ..operators import normalize as N
 from ..operators import overlays
 from ..operators import platform as PL
 from ..operators import quality as Q
-from ..operators.matching import DateRange, Match
+from ..operators.matching import ColocatedMatch, DateRange, Match
 from ..operators.reconcile import fact_breaks, status_summary
 from ..session import scratch_path
+from ..sinks import colocated as B
 from ..sinks import partitions as K
 from ..sources import fixture, fixture_files, landing
 from ..sources import tables as T
@@ -85,6 +87,35 @@ def q_match_strong(spark, sf_dir):
     return _piece(spark, sf_dir, "strong")
 
 
+def _colocated(spark, sf_dir):
+    """Both silver streams as bucketed tables: all days, then the test week once more, from half of its rows and
+    then whole."""
+    f, week = _fx(spark, sf_dir), _week_dates()
+    db = f"colocated_{_uuid.uuid4().hex[:8]}"
+    root = scratch_path(spark, db)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/db'")
+    out = []
+    for name, df in (("partner", f.partner_events()), ("platform", f.platform_events())):
+        days = [r[0] for r in df.select("business_date").where("business_date IS NOT NULL").distinct().collect()]
+        half = df.where((F.hash("operator_code", "partner_txn_id", "business_date") % 2 == 0) & (F.dayofweek("business_date") > 3))
+        for rows, dates in ((df, days), (half, week), (df, week)):
+            B.replace_days(rows, f"{db}.{name}", f"{root}/{name}", dates, buckets=16)
+        out.append(B.read_days(spark, f"{db}.{name}"))
+    return ColocatedMatch(*out)
+
+
+@register("match_strong_colocated", O.engine(f"SELECT {O.PAIR_COLS} FROM o_strong"))
+def q_match_strong_colocated(spark, sf_dir):
+    m = _colocated(spark, sf_dir)
+    return m.release_with(m.strong)
+
+
+@register("match_classified_colocated", O.engine(f"SELECT {O.PAIR_COLS} FROM o_classified"))
+def q_match_classified_colocated(spark, sf_dir):
+    m = _colocated(spark, sf_dir)
+    return m.release_with(m.classified)
+
+
 @register("partner_unmatched", O.engine("SELECT * FROM o_pleft"))
 def q_partner_unmatched(spark, sf_dir):
     return _piece(spark, sf_dir, "partner_left")
