@@ -106,7 +106,8 @@ def replace_days(df: DataFrame, name: str, path: str, dates, buckets: int, hot_r
 
 def relayout(spark: SparkSession, name: str, path: str, buckets: int, hot_rows: int = HOT_ROWS) -> None:
     """Write the keyed table anew below ``path`` (a fresh folder), with or without buckets as its rows now
-    call for, and let the catalog name point to it. The old folder stays for its readers."""
+    call for, and let the catalog name point to it. Running readers keep the old folder; between dropping
+    and renaming the name is missing for a moment, so this belongs between runs."""
     table = f"{name}_keyed"
     rows = spark.table(table)
     hot = has_hot_bucket(rows, buckets, hot_rows)
