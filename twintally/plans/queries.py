@@ -25,7 +25,7 @@ from ..operators import platform as PL
 from ..operators import quality as Q
 from ..operators.matching import ColocatedMatch, DateRange, Match
 from ..operators.reconcile import fact_breaks, status_summary
-from ..session import scratch_path
+from ..session import scratch_path, together
 from ..sinks import colocated as B
 from ..sinks import partitions as K
 from ..sources import fixture, fixture_files, landing
@@ -397,17 +397,30 @@ _LANDING: dict = {}
 WEEK = ("2024-01-03", "2024-01-09")
 
 
-def landing_root(spark: SparkSession, sf_dir: str) -> dict:
-    """Landing files rendered from the fixture, written once per session."""
+def landing_root(spark: SparkSession, sf_dir: str, feeds: bool = True, tables=tuple(CDC_TABLES)) -> dict:
+    """Landing files rendered from the fixture, each written once per session: the feeds, and the change
+    files of the tables. A query names those that it reads."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDING:
-        root = scratch_path(spark, "landing")
-        _LANDING[key] = fixture_files.write_landing(_fx(spark, sf_dir), root)
-    return _LANDING[key]
+        _LANDING[key] = (scratch_path(spark, "landing"), set())
+    root, written = _LANDING[key]
+    zones = {"operator_feeds": f"{root}/operator_feeds", "internal": f"{root}/internal"}
+    wanted = ({"operator_feeds"} if feeds else set()) | set(tables)
+    fx, lacking = _fx(spark, sf_dir), wanted - written
+    steps = [lambda: fixture_files.write_partner_feeds(fx, zones["operator_feeds"])] if "operator_feeds" in lacking else []
+    if changes := [t for t in CDC_TABLES if t in lacking]:
+        steps.append(lambda: fixture_files.write_cdc_files(fx, zones["internal"], changes))
+    together(spark, steps)
+    written |= wanted
+    return zones
+
+
+def feeds_root(spark: SparkSession, sf_dir: str) -> str:
+    return landing_root(spark, sf_dir, tables=())["operator_feeds"]
 
 
 def _bronze(spark, sf_dir, dates=None):
-    return N.bronze_operator_feeds(spark, landing_root(spark, sf_dir)["operator_feeds"], dates=dates,
+    return N.bronze_operator_feeds(spark, feeds_root(spark, sf_dir), dates=dates,
                                    ingested_at=O.RUN_TS)
 
 
@@ -424,7 +437,7 @@ def _week_dates():
     f"SELECT operator_code, r_id AS partner_txn_id, file_arrival_date FROM o_raw "
     f"WHERE file_arrival_date BETWEEN DATE '{WEEK[0]}' AND DATE '{WEEK[1]}'"))
 def q_scan_by_arrival_token(spark, sf_dir):
-    root = landing_root(spark, sf_dir)["operator_feeds"]
+    root = feeds_root(spark, sf_dir)
     frames = []
     for feed in FEEDS.values():
         df = landing.scan_feed(spark, root, feed, dates=_week_dates())
@@ -440,18 +453,18 @@ def q_scan_by_arrival_token(spark, sf_dir):
 
 @register("scan_csv_feed", O.raw_feed_select("telco_b"))
 def q_scan_csv_feed(spark, sf_dir):
-    return landing.scan_csv_feed(spark, landing_root(spark, sf_dir)["operator_feeds"], FEEDS["telco_b"])
+    return landing.scan_csv_feed(spark, feeds_root(spark, sf_dir), FEEDS["telco_b"])
 
 
 @register("scan_json_feed", O.raw_feed_select("telco_c"))
 def q_scan_json_feed(spark, sf_dir):
-    return landing.scan_json_feed(spark, landing_root(spark, sf_dir)["operator_feeds"], FEEDS["telco_c"])
+    return landing.scan_json_feed(spark, feeds_root(spark, sf_dir), FEEDS["telco_c"])
 
 
 @register("bronze_natural_key", O.raw(
     "SELECT operator_code, r_id AS partner_txn_id, file_arrival_date FROM o_raw"))
 def q_bronze_natural_key(spark, sf_dir):
-    root = landing_root(spark, sf_dir)["operator_feeds"]
+    root = feeds_root(spark, sf_dir)
     frames = [N.bronze_natural_key(landing.scan_feed(spark, root, f), f)
               .select(F.lit(op).alias("operator_code"), "partner_txn_id", "file_arrival_date")
               for op, f in FEEDS.items()]
@@ -466,7 +479,7 @@ def q_bronze_natural_key(spark, sf_dir):
     "CASE WHEN operator_code IN ('telco_c', 'wallet_x') THEN 'json' ELSE 'csv' END AS _source_format, "
     f"TIMESTAMP '{O.RUN_TS}' AS _ingested_at FROM o_raw"))
 def q_stamp_ingest_metadata(spark, sf_dir):
-    root = landing_root(spark, sf_dir)["operator_feeds"]
+    root = feeds_root(spark, sf_dir)
     frames = [N.stamp_ingest_metadata(landing.scan_feed(spark, root, f), f, ingested_at=O.RUN_TS)
               .select(*N.BRONZE_META) for f in FEEDS.values()]
     out = frames[0]
@@ -624,7 +637,7 @@ def q_normalize_partner_rows(spark, sf_dir):
 
 
 def _cdc(spark, sf_dir, table, dates=None):
-    root = landing_root(spark, sf_dir)["internal"]
+    root = landing_root(spark, sf_dir, feeds=False, tables=(table,))["internal"]
     return PL.read_cdc(spark, root, table, dates=dates, ingested_at=O.RUN_TS)
 
 

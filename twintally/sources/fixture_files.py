@@ -9,16 +9,22 @@ unparsable time/amount text. Platform rows become the internal change files
 operator and one ``user_churn_events``); some subscriptions are first sent as
 ``pending`` and corrected by a later file, so the bronze merge has updates to
 apply. Everything is a Spark job over the derived tables; nothing is
-collected to the driver.
+collected to the driver. The derived rows are written once, by feed or change folder; each
+folder's files are rendered from its own rows, several folders at a time.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import CANONICAL_TXN_TYPES, FEEDS, OPERATORS, FeedSpec
+from ..config import CANONICAL_TXN_TYPES, CDC_TABLES, FEEDS, OPERATORS, FeedSpec
+from ..session import scratch_path, together
 from .fixture import Fixture
+from .tables import delete_path, table_exists
 
 UNMAPPED_CODE = "ZZ_UNMAPPED"
 
@@ -47,6 +53,11 @@ def _type_code(feed: FeedSpec) -> Column:
     return F.when(F.col("unk"), F.lit(UNMAPPED_CODE)).otherwise(m[F.col("txn_type")])
 
 
+# Columns of the derived partner rows that the files are rendered from.
+FEED_INPUT = ("partner_txn_id", "msisdn_or_account", "txn_type", "plan_code", "amount", "currency", "utc_s", "local_s", "off_h", "k",
+              "unk", "bad_ts", "bad_amt", "dup", "file_arrival_date", "operator_code")
+
+
 def feed_rows(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
     """One feed's raw rows (all text) plus the ``batch`` folder name."""
     rows = bronze.where(F.col("operator_code") == feed.operator_code)
@@ -69,6 +80,17 @@ def feed_rows(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
     return out.unionByName(out.where(F.col("dup"))).drop("dup")
 
 
+@contextmanager
+def _split(df: DataFrame, by: list[str]):
+    """The rows, written once by the columns ``by``; removed afterwards."""
+    path = scratch_path(df.sparkSession, "fixture-rows")
+    df.write.partitionBy(*by).parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path) if table_exists(df.sparkSession, path) else df.limit(0)
+    finally:
+        delete_path(df.sparkSession, path)
+
+
 def _json_lines(df: DataFrame, numeric: tuple = ()) -> DataFrame:
     """Rows -> JSON text lines; listed columns are written as JSON numbers
     when their text is numeric (as feeds send them)."""
@@ -81,8 +103,7 @@ def _json_lines(df: DataFrame, numeric: tuple = ()) -> DataFrame:
 
 def write_partner_feeds(fx: Fixture, root: str, feeds=None) -> None:
     """Write every feed under ``root/<operator>/batch=<operator>_<yyyyMMdd>/``."""
-    bronze = fx.partner_bronze()
-    for feed in (feeds or FEEDS).values():
+    def write(bronze: DataFrame, feed: FeedSpec) -> None:
         rows = feed_rows(bronze, feed).hint("rebalance", "batch")
         w = rows.write.mode("overwrite").partitionBy("batch")
         if feed.file_format == "csv":
@@ -91,6 +112,11 @@ def write_partner_feeds(fx: Fixture, root: str, feeds=None) -> None:
             _json_lines(rows, numeric=(feed.raw_for("amount"),)).write.mode("overwrite") \
                 .partitionBy("batch").text(f"{root}/{feed.operator_code}")
 
+    some = list((feeds or FEEDS).values())
+    rows = fx.partner_bronze().where(F.col("operator_code").isin([f.operator_code for f in some])).select(*FEED_INPUT)
+    with _split(rows, ["operator_code"]) as bronze:
+        together(fx.spark, [partial(write, bronze, feed) for feed in some])
+
 
 # ---------------------------------------------------------------------------
 # Internal change files
@@ -104,9 +130,13 @@ def _day_token(seconds: Column, plus_days: int = 0) -> Column:
     return F.date_format(F.date_add(F.to_date(F.timestamp_seconds(seconds)), plus_days), "yyyyMMdd")
 
 
-def cdc_rows(fx: Fixture) -> dict[str, DataFrame]:
-    """Change rows per physical folder, each with its ``batch`` name."""
-    pa = fx.platform_all()
+EVENT_TYPE = {"sub_initial": "subscription_success", "sub_recursion_success": "recursion_success",
+              "sub_recursion_failure": "recursion_failure"}
+
+
+def cdc_rows(fx: Fixture, pa: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Change rows per physical folder, each with its ``batch`` name; ``pa`` are the platform rows."""
+    pa = fx.platform_all() if pa is None else pa
     out: dict[str, DataFrame] = {}
     # sub_initial: k % 5 == 0 is first sent as pending, then corrected a day later
     si = pa.where(F.col("event_type") == "subscription_success").select(
@@ -146,17 +176,21 @@ def cdc_rows(fx: Fixture) -> dict[str, DataFrame]:
 NUMERIC_CDC = ("amount", "billing_cycle", "retry_count")
 
 
-def write_cdc_files(fx: Fixture, root: str) -> None:
+def write_cdc_files(fx: Fixture, root: str, tables=tuple(CDC_TABLES)) -> None:
     """Write ``root/<folder>/batch=<folder>_<yyyyMMdd>/`` JSON lines per table."""
-    for folder, df in cdc_rows(fx).items():
+    def write(folder: str, df: DataFrame) -> None:
         nums = tuple(c for c in NUMERIC_CDC if c in df.columns)
         (_json_lines(df, numeric=nums).hint("rebalance", "batch")
          .write.mode("overwrite").partitionBy("batch").text(f"{root}/{folder}"))
 
+    folders = {f"{t}_{op}" if CDC_TABLES[t].per_operator else t for t in tables for op in OPERATORS}
+    kinds = [EVENT_TYPE[t] for t in tables if t in EVENT_TYPE]
+    with _split(fx.platform_all().where(F.col("event_type").isin(kinds)), ["event_type", "operator_code"]) as pa:
+        together(fx.spark, [partial(write, folder, df) for folder, df in cdc_rows(fx, pa).items() if folder in folders])
+
 
 def write_landing(fx: Fixture, root: str) -> dict:
     """Both zones; returns their roots."""
     feeds, internal = f"{root}/operator_feeds", f"{root}/internal"
-    write_partner_feeds(fx, feeds)
-    write_cdc_files(fx, internal)
+    together(fx.spark, [partial(write_partner_feeds, fx, feeds), partial(write_cdc_files, fx, internal)])
     return {"operator_feeds": feeds, "internal": internal}
