@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from twintally.operators import platform as PL
+from twintally.plans import pipeline as P
 from twintally.plans import queries as Q
 from twintally.session import together
 from twintally.sources import fixture, fixture_files
@@ -33,6 +34,14 @@ def test_steps_run_side_by_side_and_keep_their_order(spark):
     assert ended == [10]
 
 
+def test_change_tables_are_merged_side_by_side(spark, orders, tmpdir_path, monkeypatch):
+    zones = fixture_files.write_landing(fixture.load(spark, orders), f"{tmpdir_path}/landing")
+    all_in = threading.Barrier(4, timeout=120)
+    monkeypatch.setattr(P, "merge_upsert", lambda *a, **k: (all_in.wait(), {"partitions": []})[1])
+    log = P.ingest_cdc(spark, zones["internal"], P.Lake(f"{tmpdir_path}/lake"), P.landed_arrival_dates(spark, zones))
+    assert list(log) == ["sub_initial", "sub_recursion_success", "sub_recursion_failure", "user_churn_events"]
+
+
 def test_a_query_renders_only_the_files_it_reads(spark, orders):
     root = Q.landing_root(spark, orders, feeds=False, tables=("sub_recursion_failure",))
     assert list_dirs(spark, root["operator_feeds"]) == []

@@ -19,6 +19,7 @@ than a ``row_number`` window.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from ..config import FEEDS, FeedSpec
 from ..functions.money import cast_amount
 from ..functions.timestamps import business_date as to_business_date
 from ..functions.timestamps import parse_feed_time
+from ..session import together
 from ..sources.landing import scan_feed
 from .matching import filter_dates
 
@@ -96,8 +98,8 @@ def bronze_operator_feeds(spark: SparkSession, root: str, feeds: dict = FEEDS, d
     """All feeds' landing files for the arrival dates as one bronze frame:
     raw text columns (merged super-schema) + metadata, de-duplicated."""
     frames = []
-    for feed in feeds.values():
-        raw = scan_feed(spark, root, feed, dates)
+    scans = together(spark, [partial(scan_feed, spark, root, feed, dates) for feed in feeds.values()])
+    for feed, raw in zip(feeds.values(), scans):
         if raw is not None:
             frames.append(dedupe_batch(stamp_ingest_metadata(raw, feed, ingested_at)))
     if not frames:

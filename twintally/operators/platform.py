@@ -9,6 +9,7 @@ recursion_failure (amount 0, no partner key). Internal times are UTC.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql.types import (DateType, DoubleType, LongType, StringType, Struc
 from ..config import CDC_TABLES, CHARGING_SUB_STATUSES, OPERATORS
 from ..functions.money import cast_amount, zero_amount
 from ..functions.timestamps import business_date
+from ..session import together
 from ..sources.landing import scan_json_cdc
 from .matching import filter_dates
 
@@ -78,8 +80,8 @@ def read_cdc(spark: SparkSession, root: str, table: str, dates=None, ingested_at
     schema = CDC_SCHEMAS[table]
     frames = []
     folders = [(f"{table}_{op}", op) for op in OPERATORS] if spec.per_operator else [(table, None)]
-    for folder, op in folders:
-        df = scan_json_cdc(spark, root, folder, schema, dates)
+    scans = together(spark, [partial(scan_json_cdc, spark, root, folder, schema, dates) for folder, _ in folders])
+    for (_, op), df in zip(folders, scans):
         if df is None:
             continue
         if op is not None:

@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import threading
 import time
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +36,7 @@ from ..operators import platform as PL
 from ..operators.matching import filter_dates
 from ..operators.overlays import finish_fact
 from ..operators.reconcile import matcher
-from ..session import configure, scratch_path
+from ..session import configure, scratch_path, together
 from ..sinks.directory import DirectoryStale, KeyDirectory, key_hash
 from ..sinks.partitions import (NULL_PARTITION, export_snapshot, full_overwrite, in_partitions, merge_upsert, observed,
                                 read_table, register_external_table, replace_partitions)
@@ -150,10 +152,14 @@ def landed_arrival_dates(spark: SparkSession, landing: dict) -> list:
 # Dates owed to the published tables
 # ---------------------------------------------------------------------------
 
+_NOTING = threading.Lock()      # steps of a run that go side by side note dates one after the other
+
+
 def note_pending(spark: SparkSession, lake: Lake, dates) -> None:
     """Remember dates before something they depend on changes: an empty file named after each."""
-    for d in sorted({d for d in dates if d is not None} - pending_dates(spark, lake)):
-        write_text(spark, f"{lake.pending}/{d.isoformat()}")
+    with _NOTING:
+        for d in sorted({d for d in dates if d is not None} - pending_dates(spark, lake)):
+            write_text(spark, f"{lake.pending}/{d.isoformat()}")
 
 
 def pending_dates(spark: SparkSession, lake: Lake) -> set:
@@ -347,19 +353,18 @@ def ingest_cdc(spark: SparkSession, internal_root: str, lake: Lake, arrival_date
     business date of the event), so a merge rewrites only the days its
     changes touch and a restatement reads only the days it needs. Older
     versions are found through the image's key directory."""
-    out = {}
-    for t, spec in CDC_TABLES.items():
+    def merge(t: str, spec) -> dict:
         folders = [f"{t}_{op}" for op in OPERATORS] if spec.per_operator else [t]
         if not any(landing_paths(spark, f"{internal_root}/{f}", f, arrival_dates) for f in folders):
-            out[t] = {"rows": 0, "partitions": []}          # nothing landed: the image stays as it is
-            continue
+            return {"rows": 0, "partitions": []}            # nothing landed: the image stays as it is
         changes = PL.read_cdc(spark, internal_root, t, dates=arrival_dates, ingested_at=ingested_at)
         changes = changes.withColumn("event_date", F.to_date(F.try_to_timestamp(F.col(spec.event_ts))))
         day = CDC_PARTITIONS.index("event_date")
         noted = (lambda parts: note_pending(spark, lake, [p[day] for p in parts])) if t in EVENT_TABLES else None
-        out[t] = merge_upsert(changes, lake.bronze_cdc(t), spec.keys, CDC_PARTITIONS,
-                              ["file_arrival_date", spec.event_ts], use_directory=True, before_replace=noted)
-    return out
+        return merge_upsert(changes, lake.bronze_cdc(t), spec.keys, CDC_PARTITIONS,
+                            ["file_arrival_date", spec.event_ts], use_directory=True, before_replace=noted)
+
+    return dict(zip(CDC_TABLES, together(spark, [partial(merge, t, spec) for t, spec in CDC_TABLES.items()])))
 
 
 def cdc_image_schema(table: str):
@@ -392,9 +397,9 @@ def touched_business_dates(spark: SparkSession, landing: dict, arrival_dates, br
         dates |= {p[CDC_PARTITIONS.index("event_date")] for p in cdc_log[t].get("partitions", [])}
     churned = PL.read_cdc(spark, landing["internal"], "user_churn_events", dates=arrival_dates)
     users = churned.select("user_id", "operator_code").distinct()
-    for t in EVENT_TABLES:
-        hit = cdc_image(spark, lake, t).join(users, ["user_id", "operator_code"], "left_semi")
-        dates |= {r[0] for r in hit.select("event_date").distinct().collect()}
+    events = [cdc_image(spark, lake, t).select("user_id", "operator_code", "event_date") for t in EVENT_TABLES]
+    hit = reduce(DataFrame.unionByName, events).join(users, ["user_id", "operator_code"], "left_semi")
+    dates |= {r[0] for r in hit.select("event_date").distinct().collect()}
     return sorted(d for d in dates if d is not None)
 
 
@@ -439,17 +444,18 @@ def build_quarantine(spark: SparkSession, lake: Lake, arrivals, cdc_log: dict) -
     """Rows of the arrivals that no silver table can hold, with the reason and
     the raw text: partner rows by arrival partition, change rows by image
     partition (rows without a readable event time lie in the NULL date)."""
-    out = {}
-    if arrivals:
+    def partner() -> dict:
         keys = ["operator_code", "file_arrival_date"]
         bronze = read_table(spark, lake.bronze_feeds).where(in_partitions(keys, arrivals))
-        out["partner"] = replace_partitions(N.quarantined(N.normalize_partner(bronze)), lake.quarantine_partner, keys, arrivals)
-    for t, spec in CDC_TABLES.items():
-        parts = cdc_log[t].get("partitions", [])
-        if parts:
-            image = cdc_image(spark, lake, t).where(in_partitions(CDC_PARTITIONS, parts))
-            out[t] = replace_partitions(PL.quarantined_changes(image, spec), lake.quarantine_cdc(t), CDC_PARTITIONS, parts)
-    return out
+        return replace_partitions(N.quarantined(N.normalize_partner(bronze)), lake.quarantine_partner, keys, arrivals)
+
+    def changes(t: str, spec, parts: list) -> dict:
+        image = cdc_image(spark, lake, t).where(in_partitions(CDC_PARTITIONS, parts))
+        return replace_partitions(PL.quarantined_changes(image, spec), lake.quarantine_cdc(t), CDC_PARTITIONS, parts)
+
+    steps = {"partner": partner} if arrivals else {}
+    steps |= {t: partial(changes, t, spec, cdc_log[t]["partitions"]) for t, spec in CDC_TABLES.items() if cdc_log[t].get("partitions")}
+    return dict(zip(steps, together(spark, list(steps.values()))))
 
 
 def _images(spark: SparkSession, lake: Lake, dates=None):
@@ -533,10 +539,12 @@ def run_checks(spark: SparkSession, lake: Lake, dates, fact: DataFrame, daily: D
             cond = cond & s
         scope = fact.unionByName(others.select(*fact.columns).join(new, cond, "left_semi"))
     found = dict(counted)
-    for table, df, some in ((G.FACT, scope, keyed), (G.DAILY, daily, G.of_table(constraints, G.DAILY)),
-                            (G.MONTHLY, monthly, G.of_table(constraints, G.MONTHLY))):
-        for r in G.findings(df, some).collect() if some else []:      # one row per violated constraint
-            found[(table, r["constraint_name"])] = r["violations"]
+    scans = [(G.FACT, scope, keyed), (G.DAILY, daily, G.of_table(constraints, G.DAILY)),
+             (G.MONTHLY, monthly, G.of_table(constraints, G.MONTHLY))]
+    scans = [s for s in scans if s[2]]
+    violated = together(spark, [lambda df=df, some=some: G.findings(df, some).collect() for _, df, some in scans])
+    for (table, _, _), rows in zip(scans, violated):                   # one row per violated constraint
+        found |= {(table, r["constraint_name"]): r["violations"] for r in rows}
     return G.decide(constraints, found)
 
 
@@ -557,8 +565,9 @@ def build_and_publish(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig =
     row_checks = G.row_metrics(G.of_table(constraints, G.FACT))
     summary = [F.count_if(F.col("recon_status") == s).alias(f"status_{s}") for s in RECON_STATUSES]
     fact, seen = gold_fact(spark, lake, dates, cfg, run_ts, [*row_checks, *summary])
-    daily, _ = _staged(daily_mart_for(spark, lake, dates, fact, run_ts), "daily")
-    days, _ = _staged(M.close_by_day(M.stg_reconciliation_break(fact)), "close-days")
+    (daily, _), (days, _) = together(spark, [
+        lambda: _staged(daily_mart_for(spark, lake, dates, fact, run_ts), "daily"),
+        lambda: _staged(M.close_by_day(M.stg_reconciliation_break(fact)), "close-days")])
     after = close_days_after(spark, lake, dates, days, fact.schema)
     if not table_exists(spark, lake.close_days):
         after = _stored(after, "close-days-all")
@@ -571,13 +580,17 @@ def build_and_publish(spark: SparkSession, lake: Lake, dates, cfg: ReconConfig =
     _keep_results(spark, lake, log["checks"], run_ts, not (refused and stop))
     if refused and stop:
         raise G.QualityGateError(log["checks"])
-    log["gold"] = replace_partitions(fact, lake.fact, ["business_date"], parts)
-    if table_exists(spark, lake.close_days):
-        replace_partitions(days, lake.close_days, ["business_date"], parts)
-    else:
-        full_overwrite(after, lake.close_days, ["business_date"])
-    log["marts"] = {"daily": replace_partitions(daily, lake.daily, ["business_date"], parts)}
-    full_overwrite(monthly, lake.monthly)
+    def close_days() -> None:
+        if table_exists(spark, lake.close_days):
+            replace_partitions(days, lake.close_days, ["business_date"], parts)
+        else:
+            full_overwrite(after, lake.close_days, ["business_date"])
+
+    log["gold"], in_daily, *_ = together(spark, [
+        lambda: replace_partitions(fact, lake.fact, ["business_date"], parts),
+        lambda: replace_partitions(daily, lake.daily, ["business_date"], parts),
+        close_days, lambda: full_overwrite(monthly, lake.monthly)])
+    log["marts"] = {"daily": in_daily}
     return log
 
 
@@ -618,18 +631,21 @@ def restate(spark: SparkSession, landing: dict, lake: Lake, arrival_dates=None,
         arrival_dates = landed_arrival_dates(spark, landing)
     constraints = G.default_constraints(cfg) if constraints is None else constraints
     log = {"arrival_dates": len(arrival_dates)}
-    log["bronze_feeds"] = ingest_operator_feeds(spark, landing["operator_feeds"], lake, arrival_dates, run_ts, cfg)
-    log["bronze_cdc"] = ingest_cdc(spark, landing["internal"], lake, arrival_dates, run_ts)
+    log["bronze_feeds"], log["bronze_cdc"] = together(spark, [
+        lambda: ingest_operator_feeds(spark, landing["operator_feeds"], lake, arrival_dates, run_ts, cfg),
+        lambda: ingest_cdc(spark, landing["internal"], lake, arrival_dates, run_ts)])
     touched = touched_business_dates(spark, landing, arrival_dates, log["bronze_feeds"], log["bronze_cdc"], lake)
     note_pending(spark, lake, touched)
     dates = sorted(set(touched) | pending_dates(spark, lake))
     log["business_dates"] = len(dates)
-    log["quarantine"] = build_quarantine(spark, lake, log["bronze_feeds"].get("arrivals"), log["bronze_cdc"])
+    on_silver = G.of_table(constraints, G.PARTNER)
+    steps = {"quarantine": lambda: build_quarantine(spark, lake, log["bronze_feeds"].get("arrivals"), log["bronze_cdc"])}
+    if dates:
+        steps["silver_partner"] = lambda: build_silver_partner(spark, lake, dates, cfg, G.row_metrics(on_silver))
+        steps["silver_platform"] = lambda: build_silver_platform(spark, lake, dates)
+    log |= zip(steps, together(spark, list(steps.values())))
     if dates:
-        on_silver = G.of_table(constraints, G.PARTNER)
-        log["silver_partner"] = build_silver_partner(spark, lake, dates, cfg, G.row_metrics(on_silver))
         counted = {(G.PARTNER, c.name): log["silver_partner"].get("metrics", {}).get(c.name, 0) for c in on_silver}
-        log["silver_platform"] = build_silver_platform(spark, lake, dates)
         log |= build_and_publish(spark, lake, dates, cfg, run_ts, counted, constraints, stop)
         delete_path(spark, lake.pending)
     if register_as is not None:
