@@ -61,3 +61,12 @@ def test_rendered_rows_are_those_of_the_fixture(spark, orders, tmpdir_path, monk
     key = [F.col("operator_code"), F.col("user_id"), F.col("sub_id"), F.col("partner_txn_id"), F.col("amount").cast("double")]
     got, exp = (image.select("recursion_id", *key), want.select("platform_event_id", *key))
     assert got.count() == exp.count() > 1000 and got.exceptAll(exp).isEmpty()
+
+
+def test_streams_to_colocate_are_derived_once(spark, orders, monkeypatch):
+    written = []
+    replace = Q.B.replace_days
+    monkeypatch.setattr(Q.B, "replace_days", lambda df, *a, **k: (written.append(df), replace(df, *a, **k))[1])
+    Q._colocated(spark, orders)
+    assert len(written) == 6
+    assert all("orders.parquet" not in f for df in written for f in df.inputFiles())

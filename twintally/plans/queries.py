@@ -94,8 +94,13 @@ def _colocated(spark, sf_dir):
     db = f"colocated_{_uuid.uuid4().hex[:8]}"
     root = scratch_path(spark, db)
     spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/db'")
+    def stored(df: DataFrame) -> DataFrame:        # read five times below, derived once
+        path = scratch_path(spark, "silver")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     out = []
-    for name, df in (("partner", f.partner_events()), ("platform", f.platform_events())):
+    for name, df in zip(("partner", "platform"), together(spark, [lambda: stored(f.partner_events()), lambda: stored(f.platform_events())])):
         days = [r[0] for r in df.select("business_date").where("business_date IS NOT NULL").distinct().collect()]
         half = df.where((F.hash("operator_code", "partner_txn_id", "business_date") % 2 == 0) & (F.dayofweek("business_date") > 3))
         for rows, dates in ((df, days), (half, week), (df, week)):
