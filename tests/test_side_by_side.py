@@ -63,6 +63,14 @@ def test_rendered_rows_are_those_of_the_fixture(spark, orders, tmpdir_path, monk
     assert got.count() == exp.count() > 1000 and got.exceptAll(exp).isEmpty()
 
 
+def test_planted_rows_are_repeated_without_a_second_computation(spark):
+    df = spark.createDataFrame([("telco_a", 1), ("telco_a", 1), ("telco_b", 2), (None, 3)], "operator_code string, n int")
+    out = Q._repeated(df, F.col("operator_code") == Q.PLANTED)
+    plain = df.unionByName(df.where(F.col("operator_code") == Q.PLANTED))
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect())) and out.count() == 6
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_streams_to_colocate_are_derived_once(spark, orders, monkeypatch):
     written = []
     replace = Q.B.replace_days
