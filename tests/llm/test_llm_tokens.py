@@ -142,3 +142,12 @@ def test_crossover_keeps_every_piece_once():
     for child in (genetic_packing.crossover(a, b, sizes, 100, rng), genetic_packing.mutate(a, sizes, 100, rng)):
         assert sorted(i for items, _ in child for i in items) == list(range(300))
         assert all(sum(sizes[i] for i in items) + room == 100 and room >= 0 for items, room in child)
+
+
+def test_pair_kinds_as_numpy_has_them():
+    from twintally.llm.repair_tokens import _kinds
+
+    rng = np.random.default_rng(3)
+    for pair in (rng.integers(0, 1 << 63, 5000).astype(np.uint64) % np.uint64(97) << np.uint64(33), np.zeros(0, np.uint64)):
+        for got, want in zip(_kinds(pair), np.unique(pair, return_inverse=True, return_counts=True)):
+            assert np.array_equal(got, want)

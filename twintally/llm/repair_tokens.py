@@ -28,6 +28,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -57,6 +58,16 @@ def _pair_slots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - _HASH_BITS)
 
 
+def _kinds(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ascending distinct pairs, the place of each pair among them, counts): only distinct pairs are sorted."""
+    which, kinds = pd.factorize(pair)
+    order = np.argsort(kinds)
+    place = np.empty(len(kinds), np.int64)
+    place[order] = np.arange(len(kinds))
+    which = place[which]
+    return kinds[order], which, np.bincount(which, minlength=len(kinds))
+
+
 def compress(ids: np.ndarray, doc_at: np.ndarray, rounds: int = ROUNDS, min_count: int = MIN_COUNT,
              max_rules: int = MAX_RULES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, symbol_at, rules, rule_length) of ids whose documents begin at ``doc_at``.
@@ -82,7 +93,7 @@ def compress(ids: np.ndarray, doc_at: np.ndarray, rounds: int = ROUNDS, min_coun
         hot[edge] = False
         pos = np.flatnonzero(hot)
         pair = sym[pos].astype(np.uint64) << np.uint64(32) | sym[pos + 1]
-        kinds, which, n = np.unique(pair, return_inverse=True, return_counts=True)
+        kinds, which, n = _kinds(pair)
         best = np.argsort(-n, kind="stable")[:room]      # a slot may hold several pairs: count each exactly
         best = best[n[best] >= min_count]
         if not len(best):
