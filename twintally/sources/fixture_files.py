@@ -110,7 +110,7 @@ def write_partner_feeds(fx: Fixture, root: str, feeds=None) -> None:
             w.options(header="true", sep=feed.csv_options["sep"]).csv(f"{root}/{feed.operator_code}")
         else:
             _json_lines(rows, numeric=(feed.raw_for("amount"),)).write.mode("overwrite") \
-                .partitionBy("batch").text(f"{root}/{feed.operator_code}")
+                .partitionBy("batch").text(f"{root}/{feed.operator_code}", compression="gzip")
 
     some = list((feeds or FEEDS).values())
     rows = fx.partner_bronze().where(F.col("operator_code").isin([f.operator_code for f in some])).select(*FEED_INPUT)
@@ -181,7 +181,7 @@ def write_cdc_files(fx: Fixture, root: str, tables=tuple(CDC_TABLES)) -> None:
     def write(folder: str, df: DataFrame) -> None:
         nums = tuple(c for c in NUMERIC_CDC if c in df.columns)
         (_json_lines(df, numeric=nums).hint("rebalance", "batch")
-         .write.mode("overwrite").partitionBy("batch").text(f"{root}/{folder}"))
+         .write.mode("overwrite").partitionBy("batch").text(f"{root}/{folder}", compression="gzip"))
 
     folders = {f"{t}_{op}" if CDC_TABLES[t].per_operator else t for t in tables for op in OPERATORS}
     kinds = [EVENT_TYPE[t] for t in tables if t in EVENT_TYPE]
