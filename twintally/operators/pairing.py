@@ -206,12 +206,12 @@ class OneToOneMatch(Match):
     @cached_property
     def _p_ranked(self) -> DataFrame:
         order = [c for c in self.P_ORDER if c in self._p_in.columns]
-        return rank_within(self._p_in, [*AMOUNT_KEY, "amount"], order, self.chunk_rows, "_rank")
+        return self._kept(rank_within(self._p_in, [*AMOUNT_KEY, "amount"], order, self.chunk_rows, "_rank"))     # read three times
 
     @cached_property
     def _i_ranked(self) -> DataFrame:
         order = [c for c in self.I_ORDER if c in self._i_in.columns]
-        return rank_within(self._i_in, [*AMOUNT_KEY, "amount"], order, self.chunk_rows, "_rank")
+        return self._kept(rank_within(self._i_in, [*AMOUNT_KEY, "amount"], order, self.chunk_rows, "_rank"))     # read twice
 
     @cached_property
     def _counts(self) -> DataFrame:
