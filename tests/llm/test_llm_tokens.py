@@ -151,3 +151,19 @@ def test_pair_kinds_as_numpy_has_them():
     for pair in (rng.integers(0, 1 << 63, 5000).astype(np.uint64) % np.uint64(97) << np.uint64(33), np.zeros(0, np.uint64)):
         for got, want in zip(_kinds(pair), np.unique(pair, return_inverse=True, return_counts=True)):
             assert np.array_equal(got, want)
+
+
+def test_unit_ids_end_to_end_match_the_tokenizer():
+    """New units are cut and looked up in one go; those with the separator, other scripts or special
+    strings lie between plain ones, and a full table of pieces is begun anew."""
+    import public_tokenizers
+
+    words = ["plain", "don't", "a\x00b", "Ünder", "日本語x", "12ab", "_x_", "<|endoftext|>", "x日", "\x00", "İst", "plain2", "ß"]
+    for file, mode, lead in (("word_bpe_49k.json", "word", ""), ("byte_bpe_50k.json", "spaced", " ")):
+        units = [(lead + w).encode() for w in words] + [b"ab\xc3", b"end"]
+        coder = UnitTokenizer(public_tokenizers.path(file), mode, table_pieces=6)
+        for some in (units, units[::-1], units[:1], units[2:3]):
+            flat, n = coder._ids_of(some)
+            want = [coder.tokenizer.encode(u.decode("utf-8", "replace"), add_special_tokens=False).ids for u in some]
+            assert n.tolist() == [len(x) for x in want]
+            assert flat.tolist() == [i for x in want for i in x]

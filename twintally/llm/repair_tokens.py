@@ -41,6 +41,9 @@ from twintally.llm.unit_tokens import ranges, tokenizer_for, with_end
 SHARD_IDS = 3_000_000
 #: text bytes that are encoded at a time
 ENCODE_BYTES = 2 << 20
+#: units and pieces whose ids a worker remembers (a new one costs far more than a known one)
+TABLE_UNITS = 800_000
+TABLE_PIECES = 500_000
 #: nonterminals are numbered from here; ids of the vocabulary lie below
 FIRST_RULE = 1 << 16
 MAX_RULES = 1 << 15
@@ -128,23 +131,25 @@ def _apart(pos: np.ndarray, rank: np.ndarray) -> np.ndarray:
     repeated until nothing is open. Long runs of one rank (aaaa) are settled by
     parity within the run.
     """
-    keep = np.zeros(len(pos), bool)
-    open_ = np.arange(len(pos))
+    keep = np.ones(len(pos), bool)                       # those that touch no other stay at once
+    near = np.flatnonzero(pos[1:] == pos[:-1] + 1)
+    keep[near] = keep[near + 1] = False
+    open_ = np.flatnonzero(~keep)
     while len(open_):
         p, r = pos[open_], rank[open_]
         touch = np.zeros(len(p) + 1, bool)               # touches the one before
         touch[1:-1] = p[1:] == p[:-1] + 1
-        worse_left = touch[:-1] & (np.append(-1, r[:-1]) <= r)     # the left one is at least as good
+        left = np.append(-1, r[:-1])
+        worse_left = touch[:-1] & (left <= r)            # the left one is at least as good
         worse_right = touch[1:] & (np.append(r[1:], -1) < r)
         win = ~worse_left & ~worse_right
         # runs of equal rank: every second one after a winner or the run's start
-        equal = touch[:-1] & (np.append(-1, r[:-1]) == r)
+        equal = touch[:-1] & (left == r)
         if equal.any():
             start = np.flatnonzero(~equal)
             place = np.arange(len(p)) - np.repeat(start, np.diff(np.append(start, len(p))))
             lead = np.repeat(win[start], np.diff(np.append(start, len(p))))
-            after = touch[1:] & (np.append(r[1:], -1) < r)
-            win |= equal & lead & (place % 2 == 0) & ~after
+            win |= equal & lead & (place % 2 == 0) & ~worse_right
         keep[open_[win]] = True
         gone = win.copy()
         gone[1:] |= win[:-1] & touch[1:-1]
@@ -212,7 +217,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 1, mode: st
     arrow_kind = pa.large_string() if kind.simpleString() == "string" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokenizer_for(tokenizer_path, mode)
+        coder = tokenizer_for(tokenizer_path, mode, table_units=TABLE_UNITS, table_pieces=TABLE_PIECES)
         part, seq = 0, 0
         ids, sizes, names = [], [], []
 

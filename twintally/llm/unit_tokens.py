@@ -35,8 +35,8 @@ TABLE_PIECES = 200_000
 _BETWEEN = "\x00"
 #: \s beyond the six characters: control separators, NEL, no-break and wide blanks
 ODD_SPACE = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
-#: ASCII and Latin letters with one plain lower-case form
-_PLAIN = re.compile("[\x01-\x7fÀ-įĲ-ž]*")
+#: anything but ASCII and Latin letters with one plain lower-case form
+_STRANGE = re.compile("[^\x00-\x7fÀ-įĲ-ž]+")
 _WORD_PIECES = re.compile(r"\x00|'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w\x00]|_)+")
 _SPACED_PIECES = re.compile(r"\x00|'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w\x00]|_)+|\s+(?![^\s\x00])|\s+")
 
@@ -51,66 +51,88 @@ def _byte_letters() -> dict[int, str]:
 class UnitTokenizer:
     """Encodes chunks of texts; holds the units met so far."""
 
-    def __init__(self, path: str, mode: str, table_units: int = TABLE_UNITS, plain_specials: bool = False):
+    def __init__(self, path: str, mode: str, table_units: int = TABLE_UNITS, plain_specials: bool = False,
+                 table_pieces: int = TABLE_PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials    # their strings in a text are then ordinary text
-        self.mode, self.table_units = mode, table_units
+        self.mode, self.table_units, self.table_pieces = mode, table_units, table_pieces
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)")
         self.letters = _byte_letters()
         self._reset()
 
     def _reset(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
+        self._reset_pieces()
         self.keys = np.zeros(0, np.uint64)          # sorted
         self.at = np.zeros(0, np.int64)             # where a unit's ids begin in flat
         self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
         self.met = np.zeros(0, np.int32)            # chunks that a unit was met in
 
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= TABLE_PIECES:
-                self.pieces.clear()
-            plain = piece.isascii() and piece.isalpha()          # spelled as they are
-            spelled = piece if plain else piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-        return ids
-
-    def _ids_of(self, texts: list[bytes]) -> list[list[int]]:
-        """Ids of units; plain units by pieces, cut all at once, anything else by the whole tokenizer."""
-        units = [t.decode("utf-8", "replace") for t in texts]
-        out: list[list[int]] = [[]] * len(units)
-        plain = []
-        for i, u in enumerate(units):
-            if _PLAIN.fullmatch(u) and not self.special.search(u):
-                plain.append(i)
-            else:
-                out[i] = self.tokenizer.encode(u, add_special_tokens=False).ids
-        if not plain:
-            return out
-        joined = _BETWEEN.join([units[i] for i in plain])
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        """Add pieces; none is known yet or holds the separator."""
+        # spelled all at once: the separator's letter occurs in no other piece
+        spelled = _BETWEEN.join(pieces).encode().decode("latin-1").translate(self.letters).split(self.letters[0])
+        tokenize = self.tokenizer.model.tokenize
+        ids = [[t.id for t in tokenize(s)] for s in spelled]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.pieces.update(zip(pieces, range(len(self.piece_size), len(self.piece_size) + len(pieces))))
+        self.piece_at = np.concatenate([self.piece_at, len(self.piece_flat) + np.cumsum(size) - size])
+        self.piece_size = np.concatenate([self.piece_size, size])
+        self.piece_flat = np.concatenate([self.piece_flat, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))])
+
+    def _reset_pieces(self) -> None:
+        self.pieces: dict[str, int] = {_BETWEEN: 0}
+        self.piece_at = np.zeros(1, np.int64)       # where a piece's ids begin in piece_flat
+        self.piece_size = np.zeros(1, np.int64)
+        self.piece_flat = np.zeros(0, np.int32)
+
+    def _ids_of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of units end to end, ids of each); plain units by pieces, cut all at once, anything else by the
+        whole tokenizer."""
+        joined = _BETWEEN.encode().join(texts).decode("utf-8", "replace")
+        units = joined.split(_BETWEEN)
+        apart: set[int] = set()
+        if len(units) != len(texts):                # some unit holds the separator
+            units = [t.decode("utf-8", "replace") for t in texts]
+            apart = {i for i, u in enumerate(units) if _BETWEEN in u}
+            joined = _BETWEEN.join(["" if i in apart else u for i, u in enumerate(units)])
+        length = np.fromiter(map(len, units), np.int64, len(units))
+        length[list(apart)] = 0
+        stop = np.cumsum(length + 1)
+        strange = [m.start() for rx in (_STRANGE, self.special) for m in rx.finditer(joined)]
+        apart.update(np.searchsorted(stop, np.array(strange, np.int64), "right").tolist())
+        if apart:
+            joined = _BETWEEN.join(["" if i in apart else u for i, u in enumerate(units)])
         found = _WORD_PIECES.findall(joined.lower()) if self.mode == "word" else _SPACED_PIECES.findall(joined)
-        known, k, ids = self.pieces.get, 0, []
-        for p in found:
-            if p == _BETWEEN:
-                out[plain[k]] = ids
-                k, ids = k + 1, []
-            else:
-                x = known(p) or self._piece(p)
-                ids = ids + x if ids else x
-        out[plain[k]] = ids
-        return out
+        which = list(map(self.pieces.get, found))
+        if None in which:
+            new = {p for p, k in zip(found, which) if k is None}
+            if len(self.pieces) + len(new) > self.table_pieces:
+                self._reset_pieces()
+                new = {*found} - {_BETWEEN}
+            self._learn_pieces([*new])
+            which = list(map(self.pieces.get, found))
+        at = np.array(which, np.int64)
+        size = self.piece_size[at]
+        run = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=run[1:])
+        flat = self.piece_flat[ranges(self.piece_at[at], size, run)]
+        ends = np.append(run[np.flatnonzero(at == 0)], run[-1])         # of each unit's ids
+        sizes = np.diff(ends, prepend=0)
+        if apart:
+            others = {i: self.tokenizer.encode(units[i], add_special_tokens=False).ids for i in sorted(apart)}
+            where = [*others]
+            sizes[where] = [len(x) for x in others.values()]
+            flat = np.insert(flat, np.repeat(ends[where], sizes[where]), np.fromiter(chain.from_iterable(others.values()), np.int32))
+        return flat, sizes
 
     def _learn(self, keys: np.ndarray, texts: list[bytes]) -> None:
         """Add units; ``keys`` are sorted and new."""
-        ids = self._ids_of(texts)
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat, size = self._ids_of(texts)
         at = len(self.flat) + np.cumsum(size) - size
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
         self.at = np.insert(self.at, where, at)
@@ -223,9 +245,10 @@ def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarra
 _held: dict[tuple, UnitTokenizer] = {}
 
 
-def tokenizer_for(path: str, mode: str, plain_specials: bool = False) -> UnitTokenizer:
+def tokenizer_for(path: str, mode: str, plain_specials: bool = False, table_units: int = TABLE_UNITS,
+                  table_pieces: int = TABLE_PIECES) -> UnitTokenizer:
     """The worker's tokenizer for a vocabulary file, kept between tasks."""
-    key = (path, mode, plain_specials)
+    key = (path, mode, plain_specials, table_units, table_pieces)
     if key not in _held:
-        _held[key] = UnitTokenizer(path, mode, plain_specials=plain_specials)
+        _held[key] = UnitTokenizer(path, mode, table_units, plain_specials, table_pieces)
     return _held[key]
