@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FEEDS, FeedSpec
+from ..functions.groups import OWN_GROUP, with_own_group
 from ..functions.money import cast_amount
 from ..functions.timestamps import business_date as to_business_date
 from ..functions.timestamps import parse_feed_time
@@ -88,9 +89,8 @@ def dedupe_batch(df: DataFrame, keys=BRONZE_KEY) -> DataFrame:
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     has_key = F.col("partner_txn_id").isNotNull() if "partner_txn_id" in keys else F.lit(True)
-    keyed = (df.where(has_key).groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r"))
-             .select(*keys, "_r.*"))
-    return keyed.unionByName(df.where(~has_key)).select(*df.columns)
+    return (with_own_group(df, has_key).groupBy(*keys, OWN_GROUP).agg(F.min(F.struct(*rest)).alias("_r"))
+            .select(*keys, "_r.*")).select(*df.columns)
 
 
 def bronze_operator_feeds(spark: SparkSession, root: str, feeds: dict = FEEDS, dates=None,
@@ -177,19 +177,24 @@ def business_date_of_raw(bronze_columns, feeds: dict = FEEDS) -> Column:
     return to_business_date(utc)
 
 
+def parsed_once(df: DataFrame, **parsed: Column) -> DataFrame:
+    """``df`` with a struct ``_parsed`` of the columns. The optimizer copies an expression into every
+    filter and column that names it; it never copies what a generator makes, so text is parsed once a row."""
+    return df.withColumn("_parsed", F.explode(F.array(F.struct(*[c.alias(name) for name, c in parsed.items()]))))
+
+
 def normalize_partner(bronze: DataFrame, feeds: dict = FEEDS) -> DataFrame:
     """Bronze -> canonical rows with quarantine reasons (not yet filtered)."""
-    t = normalize_columns(bronze, feeds)
     utc, local = parse_times(feeds)
-    amount = cast_amount("amount")
+    t = parsed_once(normalize_columns(bronze, feeds), utc=utc, local=local, amount=cast_amount("amount"))
     t = t.select(
         "operator_code", "partner_txn_id", "msisdn_or_account",
         map_txn_type(feeds).alias("txn_type"),
         "plan_code",
-        amount.alias("amount"),
+        F.col("_parsed.amount").alias("amount"),
         normalize_currency(feeds).alias("currency"),
-        utc.alias("txn_ts_utc"),
-        local.alias("txn_ts_local"),
+        F.col("_parsed.utc").alias("txn_ts_utc"),
+        F.col("_parsed.local").alias("txn_ts_local"),
         "file_arrival_date",
         F.col("amount").alias("_amount_text"),
         F.col("txn_ts_local").alias("_time_text"),
@@ -217,11 +222,10 @@ def latest_arrival(df: DataFrame, per_business_date: bool = True) -> DataFrame:
     keys = ["operator_code", "partner_txn_id"] + (["business_date"] if per_business_date else [])
     rest = [c for c in df.columns if c not in keys and c != "file_arrival_date"]
     arrival_rank = F.col("file_arrival_date").isNotNull()
-    keyed = (df.where(F.col("partner_txn_id").isNotNull())
-             .groupBy(*keys)
-             .agg(F.max(F.struct(arrival_rank.alias("_a"), F.col("file_arrival_date"), *rest)).alias("_r"))
-             .select(*keys, "_r.file_arrival_date", *[F.col(f"_r.{c}") for c in rest]))
-    return keyed.unionByName(df.where(F.col("partner_txn_id").isNull())).select(*df.columns)
+    return (with_own_group(df, F.col("partner_txn_id").isNotNull())
+            .groupBy(*keys, OWN_GROUP)
+            .agg(F.max(F.struct(arrival_rank.alias("_a"), F.col("file_arrival_date"), *rest)).alias("_r"))
+            .select(*keys, "_r.file_arrival_date", *[F.col(f"_r.{c}") for c in rest])).select(*df.columns)
 
 
 def silver_partner_events(bronze: DataFrame, feeds: dict = FEEDS, dates=None,

@@ -9,7 +9,6 @@ recursion_failure (amount 0, no partner key). Internal times are UTC.
 from __future__ import annotations
 
 import datetime as _dt
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +16,9 @@ from pyspark.sql.types import (DateType, DoubleType, LongType, StringType, Struc
                                TimestampType)
 
 from ..config import CDC_TABLES, CHARGING_SUB_STATUSES, OPERATORS
+from ..functions.groups import OWN_GROUP, with_own_group
 from ..functions.money import cast_amount, zero_amount
 from ..functions.timestamps import business_date
-from ..session import together
 from ..sources.landing import scan_json_cdc
 from .matching import filter_dates
 
@@ -78,23 +77,12 @@ def read_cdc(spark: SparkSession, root: str, table: str, dates=None, ingested_at
     ``operator_code`` taken from the folder and ingest metadata."""
     spec = CDC_TABLES[table]
     schema = CDC_SCHEMAS[table]
-    frames = []
-    folders = [(f"{table}_{op}", op) for op in OPERATORS] if spec.per_operator else [(table, None)]
-    scans = together(spark, [partial(scan_json_cdc, spark, root, folder, schema, dates) for folder, _ in folders])
-    for (_, op), df in zip(folders, scans):
-        if df is None:
-            continue
-        if op is not None:
-            df = df.withColumn("operator_code", F.lit(op))
-        frames.append(df.withColumn("_ingested_at", _ts(ingested_at)))
-    if not frames:
+    df = scan_json_cdc(spark, root, table, schema, dates, OPERATORS if spec.per_operator else None)
+    if df is None:
         st = StructType(schema.fields + schema_of(
             "file_arrival_date date, _ingested_at timestamp").fields)
         return spark.createDataFrame([], st)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    return df.withColumn("_ingested_at", _ts(ingested_at))
 
 
 def latest_image(changes: DataFrame, keys, event_ts: str | None = None) -> DataFrame:
@@ -110,10 +98,9 @@ def latest_image(changes: DataFrame, keys, event_ts: str | None = None) -> DataF
         c = F.col(k).isNotNull()
         has_key = c if has_key is None else has_key & c
     lead = [x for k, c in enumerate(order) for x in (F.col(c).isNotNull().alias(f"_o{k}"), F.col(c))]
-    keyed = (changes.where(has_key).groupBy(*keys)
-             .agg(F.max(F.struct(*lead, *rest)).alias("_r"))
-             .select(*keys, *[F.col(f"_r.{c}") for c in [*order, *rest]]))
-    return keyed.unionByName(changes.where(~has_key)).select(*changes.columns)
+    return (with_own_group(changes, has_key).groupBy(*keys, OWN_GROUP)
+            .agg(F.max(F.struct(*lead, *rest)).alias("_r"))
+            .select(*keys, *[F.col(f"_r.{c}") for c in [*order, *rest]])).select(*changes.columns)
 
 
 def quarantined_changes(image: DataFrame, spec) -> DataFrame:

@@ -530,7 +530,7 @@ def run_checks(spark: SparkSession, lake: Lake, dates, fact: DataFrame, daily: D
     keyed = [c for c in G.of_table(constraints, G.FACT) if c.unique]
     scope = fact
     others = published_except(spark, lake.fact, dates, fact.schema)
-    if keyed and others is not None:
+    if keyed and others is not None and not others.isEmpty():      # as when a run restates every date
         names = sorted({k for c in keyed for k in c.unique})
         new = fact.select(*[F.col(k).alias(f"_k_{k}") for k in names]).distinct()
         same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in names]

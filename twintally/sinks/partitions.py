@@ -28,6 +28,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.groups import OWN_GROUP, with_own_group
 from ..session import configure, scratch_path
 from ..sources.tables import delete_path, first_data_file, table_exists
 from .directory import DirectoryStale, KeyDirectory, key_hash
@@ -330,10 +331,9 @@ def _latest_per_key(df: DataFrame, keys: list[str], order: Sequence[str]) -> Dat
     order = [c for c in order if c in df.columns and c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     lead = [x for k, c in enumerate(order) for x in (F.col(c).isNotNull().alias(f"_o{k}"), F.col(c))]
-    keyed = (df.where(_all_not_null(keys)).groupBy(*keys)
-             .agg(F.max(F.struct(*lead, *rest)).alias("_r"))
-             .select(*keys, *[F.col(f"_r.{c}") for c in [*order, *rest]]))
-    return keyed.unionByName(df.where(~_all_not_null(keys))).select(*df.columns)
+    return (with_own_group(df, _all_not_null(keys)).groupBy(*keys, OWN_GROUP)
+            .agg(F.max(F.struct(*lead, *rest)).alias("_r"))
+            .select(*keys, *[F.col(f"_r.{c}") for c in [*order, *rest]])).select(*df.columns)
 
 
 def export_snapshot(df: DataFrame, path: str, files: int | None = None) -> None:

@@ -10,6 +10,7 @@ distributed and many days load in one job.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from fnmatch import fnmatch
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,12 +135,19 @@ def scan_feed(spark: SparkSession, root: str, feed: FeedSpec, dates=None) -> Dat
     raise ValueError(f"unsupported file_format {feed.file_format!r} for {feed.operator_code}")
 
 
-def scan_json_cdc(spark: SparkSession, root: str, folder: str, schema: StructType,
-                  dates=None) -> DataFrame | None:
+def scan_json_cdc(spark: SparkSession, root: str, folder: str, schema: StructType, dates=None,
+                  operators=None) -> DataFrame | None:
     """Internal change files (JSON lines) read with the table's contract
     schema, so a file whose key column is all NULL types the same as others;
-    fields beyond the contract are kept as text."""
-    paths = landing_paths(spark, f"{root}/{folder}", folder, dates, f"{folder}_*.json")
+    fields beyond the contract are kept as text. With ``operators``, the files lie in
+    one folder per operator, named ``folder`` and the operator, which gives ``operator_code``:
+    one scan reads them all."""
+    folders = [folder] if operators is None else [f"{folder}_{op}" for op in operators]
+    paths = [p for f in folders for p in landing_paths(spark, f"{root}/{f}", f, dates, f"{f}_*.json")]
     if not paths:
         return None
-    return _scan_json(spark, paths, schema, folder)
+    if operators is None:
+        return _scan_json(spark, paths, schema, folder)
+    some = "|".join(map(re.escape, operators))
+    df = _scan_json(spark, paths, schema, f"{folder}_(?:{some})")
+    return df.withColumn("operator_code", F.regexp_extract(F.col("_metadata.file_path"), f".*/{folder}_({some})/", 1))
